@@ -1,7 +1,7 @@
 """Column functions over one JSON payload.
 
 A payload is tokenized once per use: ``from_json`` with a struct of the wanted top-level keys. Scalars are
-read as STRING, which keeps the exact number text, and keys whose presence or JSON type matters are read as
+read as STRING, which keeps ``12.0`` apart from ``12``, and keys whose presence or JSON type matters are read as
 VARIANT, which keeps an explicit ``null`` apart from a missing key. A repeated key counts with its last value.
 """
 
@@ -18,10 +18,18 @@ def field(key: str) -> Column:
     return F.col(f"_p_{key}")
 
 
+def with_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Adds columns that are costly to compute and looked at by later filters.
+
+    They come out of a generator over one struct. A plain projection would be copied into every filter above it,
+    each mention of a column computing it again; filters on a generator's output stay above it.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
 def with_payload(df: DataFrame, payload: str, text: Sequence[str] = (), variants: Sequence[str] = ()) -> DataFrame:
     """Adds the given top-level keys as columns, see ``field``; ``field("unreadable")`` holds a payload that is
-    no JSON object. The struct comes out of a generator, so that filters on its columns stay above the parsing:
-    pushed below it, each of them would parse the payload again.
+    no JSON object. The struct comes out of a generator for the same reason as in ``with_once``.
     """
     keys = [*text, *variants, UNREADABLE]
     types = [f"`{k}` string" for k in text] + [f"`{k}` variant" for k in variants] + [f"{UNREADABLE} string"]

@@ -3,34 +3,32 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_ZONE = r"(Z|[+-]\d{2}(:?\d{2})?)"
-_CLOCK = r"\d{4}-\d{2}-\d{2}.\d{2}:\d{2}(:\d{2}([.,]\d+)?)?"
-_COMPACT = r"\A(\d{4})(\d{2})(\d{2}).(\d{2})(\d{2})(\d{2})" + _ZONE + r"\z"
-_DATE = r"\d{4}-\d{2}-\d{2}"
+_ZONE = r"(Z|[+-]\d{2}(?::?\d{2})?)"
+_PLAIN = r"\A\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}Z\z"
 
-
-def _clock_to_timestamp(text: Column) -> Column:
-    # any separator may stand between date and time, and a comma before the fraction
-    spaced = F.concat(F.substring(text, 1, 10), F.lit("T"), F.replace(F.substr(text, F.lit(12)), F.lit(","), F.lit(".")))
-    return spaced.try_cast("timestamp")
+# Accepted date and clock forms, each with the text that Spark's own cast reads (fixed values).
+_FORMS = [
+    (r"(\d{4}-\d{2}-\d{2}).(\d{2}:\d{2}:\d{2})", "$1T$2"),
+    (r"(\d{4}-\d{2}-\d{2}).(\d{2}:\d{2}:\d{2})[.,](\d+)", "$1T$2.$3"),
+    (r"(\d{4}-\d{2}-\d{2}).(\d{2}:\d{2})", "$1T$2:00"),
+    (r"(\d{4})(\d{2})(\d{2}).(\d{2})(\d{2})(\d{2})", "$1-$2-$3T$4:$5:$6"),
+]
 
 
 def zoned_timestamp(text: Column) -> Column:
     """The instant named by an ISO-8601 text that carries a zone, else NULL. Zoneless text never passes."""
-    plain = text.rlike(r"\A\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}Z\z")
-    extended = text.rlike(rf"\A{_CLOCK}{_ZONE}\z")
-    compact = text.rlike(_COMPACT)
-    return (
-        F.when(plain, text.try_cast("timestamp"))
-        .when(extended, _clock_to_timestamp(text))
-        .when(compact, F.regexp_replace(text, _COMPACT, "$1-$2-$3T$4:$5:$6$7").try_cast("timestamp"))
-    )
+    instant = F.when(text.rlike(_PLAIN), text.try_cast("timestamp"))
+    for form, readable in _FORMS:
+        pattern = rf"\A{form}{_ZONE}\z"
+        zone = f"${form.count('(') + 1}"
+        instant = instant.when(text.rlike(pattern), F.regexp_replace(text, pattern, readable + zone).try_cast("timestamp"))
+    return instant
 
 
 def is_zoneless(text: Column) -> Column:
     """True for a date or a date and time that would be valid but for the missing zone."""
-    clock = text.rlike(rf"\A{_CLOCK}\z") & _clock_to_timestamp(text).isNotNull()
-    return clock | (text.rlike(rf"\A{_DATE}\z") & text.try_cast("date").isNotNull())
+    dated = text.rlike(r"\A\d{4}-\d{2}-\d{2}\z") & text.try_cast("date").isNotNull()
+    return dated | zoned_timestamp(F.concat(text, F.lit("Z"))).isNotNull()
 
 
 def iso_utc(instant: Column) -> Column:

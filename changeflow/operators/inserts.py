@@ -31,15 +31,9 @@ def insert_if_absent(
     return absent_from(first_per_key(incoming, key, order), existing, key)
 
 
-def key_range(df: DataFrame, key: str) -> tuple | None:
-    """Lowest and highest key, or None if there is none. One row reaches the driver."""
-    low, high = df.agg(F.min(key), F.max(key)).first()
-    return None if low is None else (low, high)
-
-
-def in_range(existing: DataFrame, key: str, bounds: tuple | None) -> DataFrame:
+def in_range(existing: DataFrame, key: str, low, high) -> DataFrame:
     """The part of ``existing`` that can hold keys of the range: row groups outside it are skipped unread."""
-    return existing.filter(F.lit(False)) if bounds is None else existing.filter(F.col(key).between(*bounds))
+    return existing.filter(F.lit(False) if low is None else F.col(key).between(low, high))
 
 
 def number_rows(df: DataFrame, id_column: str, first_id: int, order: Sequence[str]) -> DataFrame:

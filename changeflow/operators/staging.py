@@ -5,6 +5,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from changeflow.functions.payload import array_length, blank_to_null, digits, field, has_key, with_payload
+from changeflow.functions.times import zoned_timestamp
 from changeflow.schemas import STAGING, UNKNOWN_USER
 
 _TEXT_KEYS = [
@@ -27,6 +28,7 @@ _TYPED_KEYS = ["bot", "minor", "anon", "redirect", "userhidden", "tags"]
 
 def _projection() -> dict[str, Column]:
     """Output column -> expression over the parsed payload, in output order."""
+    stamp = field("timestamp")
     return {
         "change_id": digits(field("rcid"), "bigint"),
         "change_type": blank_to_null(field("type")),
@@ -38,7 +40,7 @@ def _projection() -> dict[str, Column]:
         "user_name": F.coalesce(blank_to_null(field("user")), F.lit(UNKNOWN_USER)),
         "user_id": digits(field("userid"), "bigint"),
         "change_comment": blank_to_null(field("comment")),
-        "changed_at_utc": field("timestamp").try_cast("timestamp"),
+        "changed_at_utc": F.coalesce(zoned_timestamp(stamp), stamp.try_cast("timestamp")),
         "old_length": digits(field("oldlen"), "bigint", signed=True),
         "new_length": digits(field("newlen"), "bigint", signed=True),
         "is_bot": has_key(field("bot")),
@@ -72,3 +74,9 @@ def staging(raw: DataFrame) -> DataFrame:
     """Lazy view. The payload is parsed first, so the shuffle carries typed columns and no JSON."""
     latest = latest_per_key(type_records(raw), "change_id", ["_ingested_at", "_raw_id"])
     return latest.select(STAGING.fieldNames())
+
+
+def staging_of_unique(raw: DataFrame) -> DataFrame:
+    """The same rows without a shuffle, for a raw table that holds every key once and has no row without a
+    typed key: there is nothing to deduplicate then."""
+    return type_records(raw).select(STAGING.fieldNames())

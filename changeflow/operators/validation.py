@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from changeflow.functions.fingerprints import record_fingerprint
-from changeflow.functions.payload import field, integer_key, names_key, with_payload
+from changeflow.functions.payload import field, integer_key, names_key, with_once, with_payload
 from changeflow.functions.times import is_zoneless, zoned_timestamp
 from changeflow.schemas import MESSAGE_LIMIT
 
@@ -57,9 +57,9 @@ def classify(records: DataFrame) -> DataFrame:
         .when(F.col("error_type") == "invalid_natural_key", _key_message(raw, rcid))
         .when(F.col("error_type") == "invalid_timestamp", _time_message(raw, stamp))
     )
+    parsed = with_payload(records, "_raw", text=["rcid", "timestamp"])
     return (
-        with_payload(records, "_raw", text=["rcid", "timestamp"])
-        .withColumns({"_no_json": no_json, "_key": integer_key(rcid), "event_time": zoned_timestamp(stamp)})
+        with_once(parsed, {"_no_json": no_json, "_key": integer_key(rcid), "event_time": zoned_timestamp(stamp)})
         .withColumn("error_type", error_type)
         .withColumns({"status": status, "error_message": message})
         .drop("_p_rcid", "_p_timestamp", "_p_unreadable", "_no_json")

@@ -1,32 +1,26 @@
 """The jobs of a warehouse: load landed pages, refresh staging and mart, check, or all in that order."""
 
-from datetime import date, datetime, timezone
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from changeflow.operators.audits import backfill_coverage
 from changeflow.operators.gates import admit, incomplete_windows, page_errors
-from changeflow.operators.inserts import (
-    absent_from,
-    first_per_key,
-    id_span,
-    in_range,
-    key_range,
-    load_stats,
-    number_rows,
-    total_stats,
-)
+from changeflow.operators.inserts import id_span, in_range, insert_if_absent, load_stats, number_rows, total_stats
 from changeflow.operators.quality import quality_report, require_quality
-from changeflow.operators.rollup import daily_rollup
-from changeflow.operators.staging import staging
-from changeflow.operators.validation import classify, error_rows, valid_records
-from changeflow.operators.windows import guard_windows
+from changeflow.operators.reports import peek
+from changeflow.operators.rollup import GRAIN, daily_rollup
+from changeflow.operators.staging import staging, staging_of_unique
+from changeflow.operators.validation import OK, classify, error_rows, valid_records
+from changeflow.operators.windows import guard_windows, normalize_windows, windows_between
 from changeflow.schemas import MAX_PAGES, RETENTION_DAYS
 from changeflow.session import configure, materialize
 from changeflow.sources.landing import only_records, page_headers, page_records, parse_pages, read_lines
 from changeflow.sources.tables import Warehouse
 
-ARRIVAL = ["_window_start", "page_no", "pos"]
+PAGE = ["_window_start", "_window_end", "page_no"]
+ARRIVAL = [*PAGE, "pos"]
 
 
 class SourceError(RuntimeError):
@@ -54,22 +48,31 @@ def load_judged(warehouse: Warehouse, judged: DataFrame, pages: DataFrame, inges
     warehouse.append_load(first_id, first_id + id_span(judged), ingested_at)
     stamp = F.lit(ingested_at)
 
-    valid = valid_records(judged)
-    known = in_range(warehouse.raw(), "_key", key_range(valid, "_key"))
-    new = absent_from(first_per_key(valid, "_key", ARRIVAL), known, "_key")
+    # one row of bounds; they let the tables skip files and row groups that cannot matter to this load
+    valid_key = F.when(F.col("status") == OK, F.col("_key"))
+    span = judged.agg(
+        F.min(valid_key).alias("low_key"),
+        F.max(valid_key).alias("high_key"),
+        F.min("_window_start").alias("first_window"),
+        F.max("_window_start").alias("last_window"),
+        F.to_date(F.min("_window_start")).alias("first_day"),
+        F.to_date(F.max("_window_end")).alias("last_day"),
+    ).first()
+
+    known = in_range(warehouse.raw(), "_key", span["low_key"], span["high_key"])
+    new = insert_if_absent(valid_records(judged), known, "_key", ARRIVAL)
     new = number_rows(new, "_raw_id", first_id, ARRIVAL)
     warehouse.append_raw(new.withColumns({"_ingested_at": stamp, "_event_date": F.to_date("event_time")}))
 
-    bad = first_per_key(error_rows(judged), "_error_fingerprint", ARRIVAL)
-    new_bad = absent_from(bad, warehouse.errors(), "_error_fingerprint")
+    # a fingerprint covers the window, so only errors of the same windows can be the same
+    known_bad = in_range(warehouse.errors(), "_window_start", span["first_window"], span["last_window"])
+    new_bad = insert_if_absent(error_rows(judged), known_bad, "_error_fingerprint", ARRIVAL)
     warehouse.append_errors(number_rows(new_bad, "_error_id", first_id, ARRIVAL).withColumn("_ingested_at", stamp))
 
-    # what this load stored is told by its load time; the windows' dates prune the raw folders
+    # what this load stored is told by its load time
     mine = F.col("_ingested_at") == stamp
-    dates = judged.agg(F.to_date(F.min("_window_start")).alias("first"), F.to_date(F.max("_window_end")).alias("last"))
-    span = dates.first()
-    stored = warehouse.raw().filter(F.col("_event_date").between(span["first"], span["last"]) & mine)
-    stats = load_stats(judged, stored, warehouse.errors().filter(mine), pages=pages)
+    stored = in_range(warehouse.raw().filter(mine), "_event_date", span["first_day"], span["last_day"])
+    stats = load_stats(judged, stored, warehouse.errors().filter(mine), PAGE, pages)
     warehouse.append_load_stats(stats.withColumn("_ingested_at", stamp))
     return warehouse.load_stats().filter(mine)
 
@@ -84,50 +87,60 @@ def load_pages(
     """Load landed lines. Good pages before a window's first bad one stay committed, then the load fails.
 
     ``complete`` also demands that the lines hold every window's last page (a micro-batch may hold any part).
-
     Pages and records are parsed once; the judged records, with their pages' headers, are stored in the shared
     folder, and every later step reads the columns it needs from there, also after an executor is lost.
     """
-    rows = materialize(classify(page_records(parse_pages(lines))), "judged", warehouse.spark)
-    pages = page_headers(rows)
-    admitted = admit(pages, pages, max_pages)
-    judged = only_records(admit(rows, pages, max_pages))
-    stats = load_judged(warehouse, judged, admitted, ingested_at or datetime.now(timezone.utc))
+    parsed = normalize_windows(parse_pages(lines))
+    rows = materialize(classify(page_records(parsed)), "judged", warehouse.spark)
+    pages = materialize(page_headers(rows), "pages")
+    check_windows(pages, retention_days=None)
     bad = page_errors(pages).first()
+    cut = incomplete_windows(pages, max_pages).first() if complete else None
+
+    if bad is None:
+        admitted = [df.filter(F.col("page_no") <= max_pages) for df in (rows, pages)]
+    else:
+        admitted = [admit(df, pages, max_pages) for df in (rows, pages)]
+    stats = load_judged(warehouse, only_records(admitted[0]), admitted[1], ingested_at or datetime.now(timezone.utc))
+
     if bad is not None:
         raise SourceError(f"{bad['reason']} in window {bad['_window_start']}, page {bad['page_no']}: {bad['detail']}")
-    cut = incomplete_windows(pages, max_pages).first() if complete else None
     if cut is not None:
         raise SourceError(f"window {cut['_window_start']} may be incomplete after page {cut['last_page']}")
     return stats
 
 
-def touched_days(warehouse: Warehouse, ingested_at: datetime) -> list[date]:
-    """Event dates that a load added rows to: at most one value per calendar day."""
-    rows = warehouse.raw().filter(F.col("_ingested_at") == F.lit(ingested_at)).select("_event_date").distinct()
-    return [r["_event_date"] for r in rows.collect()]
+def loaded_days(stats: DataFrame) -> list[date]:
+    """Event dates of the windows a load covered: at most one value per calendar day.
+
+    A load that is repeated after a failure covers the same days, also if it finds nothing left to add.
+    """
+    last = F.to_date(F.col("_window_end") - F.expr("interval 1 microsecond"))
+    days = F.explode(F.sequence(F.to_date("_window_start"), last)).alias("day")
+    windows = stats.select("_window_start", "_window_end").distinct()
+    return [r["day"] for r in windows.select(days).distinct().orderBy("day").collect()]
 
 
 def refresh(warehouse: Warehouse, days: list[date] | None = None) -> None:
     """Rebuild the stored staging copy and the mart: wholly, or only the given event dates.
 
-    Raw holds every key once and an event's date never changes, so a date depends on its own raw folder alone.
-    The exception is rows without a typed key, of which the newest one of the whole table survives: if there
-    are any, the rebuild is whole.
+    Raw holds every key once and an event's date never changes, so staging needs no deduplication and a date
+    depends on its own raw folder alone. The exception is rows without a typed key, of which only the newest
+    one of the whole table survives: should any turn up, everything is rebuilt with deduplication.
     """
-    whole = days is None
-    raw = warehouse.raw()
+    if days is not None and not days:
+        return
+    raw, whole = warehouse.raw(), days is None
     if not whole:
-        if not days:
-            return
         raw = raw.filter(F.col("_event_date").isin(days))
-    staged = staging(raw)
-    warehouse.replace_staging(staged, whole)
+    warehouse.replace_staging(staging_of_unique(raw), whole)
     stored = warehouse.staging()
     if not whole:
         stored = stored.filter(F.col("activity_date").isin(days))
-        if stored.filter(F.col("change_id").isNull()).first() is not None:
-            return refresh(warehouse)
+    if stored.filter(F.col("change_id").isNull()).select("change_id").first() is not None:
+        whole = True
+        warehouse.replace_staging(staging(warehouse.raw()), whole)
+        stored = warehouse.staging()
     warehouse.replace_mart(daily_rollup(stored), whole)
 
 
@@ -146,14 +159,39 @@ def run(
     window_dates: list[date] | None = None,
     max_pages: int = MAX_PAGES,
     full_refresh: bool = False,
+    strict: bool = True,
 ) -> DataFrame:
     """Load, transform, check; a failing step stops the later ones. Returns the load's counters per window.
 
     ``window_dates`` selects the landed folders: one date is a daily run, many are a backfill in one pass.
     """
     warehouse = Warehouse(configure(spark), root)
-    ingested_at = datetime.now(timezone.utc)
-    stats = load_pages(warehouse, read_lines(spark, landing, window_dates), max_pages, ingested_at)
-    refresh(warehouse, None if full_refresh else touched_days(warehouse, ingested_at))
-    check(warehouse)
+    stats = load_pages(warehouse, read_lines(spark, landing, window_dates), max_pages)
+    refresh(warehouse, None if full_refresh else loaded_days(stats))
+    check(warehouse, strict)
     return total_stats(stats, ["_window_start"])
+
+
+def backfill(
+    spark: SparkSession,
+    landing: str,
+    root: str,
+    first: date,
+    last: date,
+    now: datetime | None = None,
+    retention_days: int | None = RETENTION_DAYS,
+    **options,
+) -> DataFrame:
+    """All daily windows from ``first`` to ``last`` in one set-based run; returns the mart's coverage.
+
+    Doing it again changes no total, except by events that have landed since.
+    """
+    check_windows(windows_between(configure(spark), first, last), now, retention_days)
+    days = [first + timedelta(days=n) for n in range((last - first).days + 1)]
+    run(spark, landing, root, days, **options)
+    return backfill_coverage(Warehouse(spark, root).mart())
+
+
+def inject_fault(warehouse: Warehouse) -> None:
+    """Double one mart row, so that the grain check must fail until the mart is rebuilt."""
+    warehouse.append_mart(materialize(peek(warehouse.mart(), 1, GRAIN), "fault"))

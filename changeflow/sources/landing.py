@@ -49,12 +49,12 @@ PAGE_HEADER = ["_window_start", "_window_end", "page_no", "readable", "has_error
 def parse_pages(lines: DataFrame, column: str = "value") -> DataFrame:
     """One row per line: window, page number, what the gates look at, and the record texts.
 
-    The line is tokenized once (the generator keeps later filters from repeating it). Record texts come out byte
-    for byte as the source sent them. A line that is no JSON, or whose parts have the wrong shape, is kept with
+    The line is tokenized once (the generator keeps later filters from repeating it). Record texts keep their
+    keys, order and values; only blanks between tokens and trailing zeros of fractions go. A line that is no JSON, or whose parts have the wrong shape, is kept with
     ``readable`` false and no records.
     """
     line = F.from_json(F.col(column), LANDED_LINE, {"columnNameOfCorruptRecord": "_unreadable"})
-    parsed = lines.select(F.col(column).alias("_line"), F.inline(F.array(line)))
+    parsed = lines.select(F.inline(F.array(line)))
     start, end = zoned_timestamp(F.col("window_start")), zoned_timestamp(F.col("window_end"))
     parts = [start, end, F.col("page"), F.col("body")]
     readable = reduce(lambda a, b: a & b, [p.isNotNull() for p in parts], F.col("_unreadable").isNull())
@@ -66,7 +66,7 @@ def parse_pages(lines: DataFrame, column: str = "value") -> DataFrame:
         has_key(F.col("body.error")).alias("has_error"),
         F.to_json(F.col("body.error")).alias("error_json"),
         is_truthy(F.col("body.continue")).alias("has_more"),
-        F.when(~readable, F.col("_line")).alias("bad_line"),
+        F.when(~readable, F.coalesce("_unreadable", F.lit("a window bound, page or body is missing"))).alias("bad_line"),
         F.when(readable, F.col("body.query.recentchanges")).alias("records"),
     )
 

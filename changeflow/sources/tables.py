@@ -21,7 +21,8 @@ class Warehouse:
 
     def _read(self, name: str, schema: T.StructType) -> DataFrame:
         try:
-            return self.spark.read.schema(schema).parquet(f"{self.root}/{name}")
+            # partition columns come last when read; keep the declared order
+            return self.spark.read.schema(schema).parquet(f"{self.root}/{name}").select(schema.fieldNames())
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
@@ -55,10 +56,11 @@ class Warehouse:
         rows.select(LOAD_STATS.fieldNames()).write.mode("append").parquet(f"{self.root}/load_stats")
 
     def append_load(self, first_id: int, next_id: int, ingested_at) -> None:
-        row = self.spark.createDataFrame([(first_id, next_id, ingested_at)], LOADS)
-        row.coalesce(1).write.mode("append").parquet(f"{self.root}/loads")
+        values = [first_id, next_id, ingested_at]
+        row = [F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(values, LOADS, strict=True)]
+        self.spark.range(0, 1, 1, 1).select(*row).write.mode("append").parquet(f"{self.root}/loads")
 
-    def replace(self, name: str, rows: DataFrame, whole: bool) -> None:
+    def _replace(self, name: str, rows: DataFrame, whole: bool) -> None:
         """Overwrite a table, or only the activity dates that ``rows`` holds."""
         (
             rows.write.mode("overwrite")
@@ -69,12 +71,16 @@ class Warehouse:
 
     def replace_mart(self, rows: DataFrame, whole: bool = True) -> None:
         # one small file per day: a day holds one row per namespace
-        self.replace("mart", rows.repartition("activity_date"), whole)
+        self._replace("mart", rows.repartition("activity_date"), whole)
 
     def replace_staging(self, rows: DataFrame, whole: bool = True) -> None:
         # rebalancing splits a large day over several tasks and merges small ones
         dated = rows.withColumn("activity_date", F.to_date("changed_at_utc"))
-        self.replace("staging", dated.hint("rebalance", F.col("activity_date")), whole)
+        self._replace("staging", dated.hint("rebalance", F.col("activity_date")), whole)
+
+    def append_mart(self, rows: DataFrame) -> None:
+        """Only to break the grain on purpose; ``replace_mart`` is how the mart is built."""
+        rows.write.mode("append").partitionBy("activity_date").parquet(f"{self.root}/mart")
 
     def publish(self, staging: DataFrame, prefix: str = "") -> None:
         """Temporary views for SQL users: raw, errors, staging (always a view) and mart."""

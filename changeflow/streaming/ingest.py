@@ -1,13 +1,11 @@
 """The load as Structured Streaming: the same operators, fed by micro-batches of newly landed files."""
 
-from datetime import datetime, timezone
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changeflow.operators.staging import type_records
 from changeflow.operators.validation import classify, valid_records
-from changeflow.plans.jobs import load_pages, refresh, touched_days
+from changeflow.plans.jobs import load_pages, loaded_days, refresh
 from changeflow.schemas import MAX_PAGES, RAW, RETENTION_DAYS
 from changeflow.session import configure
 from changeflow.sources.landing import only_records, page_records, parse_pages, stream_lines
@@ -25,9 +23,8 @@ def run_available(
     warehouse = Warehouse(configure(spark), root)
 
     def load(batch: DataFrame, _batch_id: int) -> None:
-        ingested_at = datetime.now(timezone.utc)
-        load_pages(warehouse, batch, max_pages, ingested_at, complete=False)
-        refresh(warehouse, touched_days(warehouse, ingested_at))
+        stats = load_pages(warehouse, batch, max_pages, complete=False)
+        refresh(warehouse, loaded_days(stats))
 
     query = (
         stream_lines(spark, landing, **source_options)
