@@ -13,22 +13,24 @@ def first_per_key(df: DataFrame, key: str, order: Sequence[str | Column]) -> Dat
     return df.withColumn("_position", position).filter("_position = 1").drop("_position")
 
 
-def absent_from(df: DataFrame, existing: DataFrame, key: str) -> DataFrame:
-    """Rows of ``df`` (unique by ``key``) whose key ``existing`` does not hold.
+def known_keys(existing: DataFrame, incoming: DataFrame, key: str, few: bool = False) -> DataFrame:
+    """The incoming keys that a long history already holds; only the history's key column is read.
 
-    The long history is first cut to the keys at hand: a semi join, where Spark broadcasts the increment's keys
-    if they are small and otherwise filters the history with them. Only those hits, never more than ``df`` has
-    rows, meet ``df`` in the anti join.
+    ``few`` says that the caller has counted the incoming rows (see ``BROADCAST_KEYS``): their keys are broadcast
+    and the history is filtered where it lies. Otherwise both sides meet by key, without payloads.
     """
-    hits = existing.select(key).join(df.select(key), key, "left_semi")
-    return df.join(hits, key, "left_anti")
+    wanted = incoming.select(key).distinct()
+    return existing.select(key).join(F.broadcast(wanted) if few else wanted, key, "left_semi")
 
 
 def insert_if_absent(
-    incoming: DataFrame, existing: DataFrame, key: str, order: Sequence[str | Column]
+    incoming: DataFrame, existing: DataFrame, key: str, order: Sequence[str | Column], few: bool = False
 ) -> DataFrame:
-    """The rows an append must write so that each key is stored once and the first writer wins."""
-    return absent_from(first_per_key(incoming, key, order), existing, key)
+    """The rows an append must write so that each key is stored once and the first writer wins.
+
+    The anti join needs no shuffle of its own: its left side is already partitioned by key, one row each.
+    """
+    return first_per_key(incoming, key, order).join(known_keys(existing, incoming, key, few), key, "left_anti")
 
 
 def in_range(existing: DataFrame, key: str, low, high) -> DataFrame:

@@ -12,9 +12,9 @@ from changeflow.operators.quality import quality_report, require_quality
 from changeflow.operators.reports import peek
 from changeflow.operators.rollup import GRAIN, daily_rollup
 from changeflow.operators.staging import staging, staging_of_unique
-from changeflow.operators.validation import OK, classify, error_rows, valid_records
+from changeflow.operators.validation import ERROR, OK, classify, error_rows, valid_records
 from changeflow.operators.windows import guard_windows, normalize_windows, windows_between
-from changeflow.schemas import MAX_PAGES, RETENTION_DAYS
+from changeflow.schemas import BROADCAST_KEYS, MAX_PAGES, RETENTION_DAYS
 from changeflow.session import configure, materialize
 from changeflow.sources.landing import only_records, page_headers, page_records, parse_pages, read_lines
 from changeflow.sources.tables import Warehouse
@@ -48,9 +48,11 @@ def load_judged(warehouse: Warehouse, judged: DataFrame, pages: DataFrame, inges
     warehouse.append_load(first_id, first_id + id_span(judged), ingested_at)
     stamp = F.lit(ingested_at)
 
-    # one row of bounds; they let the tables skip files and row groups that cannot matter to this load
+    # one row of counts and bounds: the bounds let the tables skip what cannot matter to this load
     valid_key = F.when(F.col("status") == OK, F.col("_key"))
     span = judged.agg(
+        F.count_if(F.col("status") == OK).alias("valid"),
+        F.count_if(F.col("status") == ERROR).alias("bad"),
         F.min(valid_key).alias("low_key"),
         F.max(valid_key).alias("high_key"),
         F.min("_window_start").alias("first_window"),
@@ -60,13 +62,14 @@ def load_judged(warehouse: Warehouse, judged: DataFrame, pages: DataFrame, inges
     ).first()
 
     known = in_range(warehouse.raw(), "_key", span["low_key"], span["high_key"])
-    new = insert_if_absent(valid_records(judged), known, "_key", ARRIVAL)
+    new = insert_if_absent(valid_records(judged), known, "_key", ARRIVAL, span["valid"] <= BROADCAST_KEYS)
     new = number_rows(new, "_raw_id", first_id, ARRIVAL)
     warehouse.append_raw(new.withColumns({"_ingested_at": stamp, "_event_date": F.to_date("event_time")}))
 
     # a fingerprint covers the window, so only errors of the same windows can be the same
     known_bad = in_range(warehouse.errors(), "_window_start", span["first_window"], span["last_window"])
-    new_bad = insert_if_absent(error_rows(judged), known_bad, "_error_fingerprint", ARRIVAL)
+    few_bad = span["bad"] <= BROADCAST_KEYS
+    new_bad = insert_if_absent(error_rows(judged), known_bad, "_error_fingerprint", ARRIVAL, few_bad)
     warehouse.append_errors(number_rows(new_bad, "_error_id", first_id, ARRIVAL).withColumn("_ingested_at", stamp))
 
     # what this load stored is told by its load time
@@ -139,7 +142,7 @@ def refresh(warehouse: Warehouse, days: list[date] | None = None) -> None:
         stored = stored.filter(F.col("activity_date").isin(days))
     if stored.filter(F.col("change_id").isNull()).select("change_id").first() is not None:
         whole = True
-        warehouse.replace_staging(staging(warehouse.raw()), whole)
+        warehouse.replace_staging(staging(warehouse.raw()), whole, clustered=False)
         stored = warehouse.staging()
     warehouse.replace_mart(daily_rollup(stored), whole)
 

@@ -392,6 +392,18 @@ ORACLES: dict[str, str] = {
             {_rate("sum(anonymous_changes)", "sum(total_changes)")} as anonymous_rate
         from mart where activity_date = (select max(activity_date) from mart) group by 1""",
     ),
+    "latest_day": _q(_MART, "select max(activity_date) as activity_date from mart"),
+    "staging_counts": _q(
+        _STAGED,
+        """select cast(changed_at_utc as date) as activity_date, namespace_id, count(*) as expected_count
+        from staged group by 1, 2""",
+    ),
+    "published_views": _q(
+        _STAGED,
+        """select cast(changed_at_utc as date) as activity_date, namespace_id, count(*) as total_changes,
+            count(change_id) as staged, count(distinct page_title) as pages
+        from staged where namespace_id is not null group by 1, 2""",
+    ),
     "change_types_daily": _q(
         _MART,
         """select activity_date, cast(sum(edit_count) as bigint) as edit_count,

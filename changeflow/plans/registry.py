@@ -278,6 +278,16 @@ def latest_day_kpis(spark, sf_dir):
     return double_rates(reports.latest_day_kpis(mart_table(spark, sf_dir)))
 
 
+@query
+def latest_day(spark, sf_dir):
+    return reports.latest_day(mart(spark, sf_dir))
+
+
+@query
+def staging_counts(spark, sf_dir):
+    return rollup.event_counts(staged(spark, sf_dir))
+
+
 @query
 def change_types_daily(spark, sf_dir):
     return reports.change_types_daily(mart(spark, sf_dir))
@@ -527,6 +537,26 @@ def daily_run_stats(spark, sf_dir):
     return totals[0].unionByName(totals[1])
 
 
+@query
+def published_views(spark, sf_dir):
+    """SQL over the published views, as a dashboard or an analyst writes it."""
+    root = shared_dir(spark, "run")
+    lines = landing.read_lines(spark, land(spark, feed(spark, sf_dir), f"{root}/landing"))
+    warehouse = Warehouse(spark, f"{root}/warehouse")
+    jobs.load_pages(warehouse, lines)
+    jobs.refresh(warehouse)
+    warehouse.publish(stg.staging(warehouse.raw()))
+    return spark.sql(
+        """
+        select m.activity_date, m.namespace_id, m.total_changes, count(s.change_id) as staged,
+            count(distinct s.page_title) as pages
+        from agg_changes_daily m
+        join stg_changes s on to_date(s.changed_at_utc) = m.activity_date and s.namespace_id = m.namespace_id
+        group by m.activity_date, m.namespace_id, m.total_changes
+        """
+    )
+
+
 # ---- streaming ------------------------------------------------------------------------------------
 
 

@@ -140,3 +140,6 @@ MESSAGE_LIMIT = 2000
 RETENTION_DAYS = 30
 MAX_PAGES = 5000
 TOP_NAMESPACES = 10
+
+# Most rows whose keys a load may broadcast: 64-character fingerprints make about 50 MB.
+BROADCAST_KEYS = 500_000

@@ -73,10 +73,11 @@ class Warehouse:
         # one small file per day: a day holds one row per namespace
         self._replace("mart", rows.repartition("activity_date"), whole)
 
-    def replace_staging(self, rows: DataFrame, whole: bool = True) -> None:
-        # rebalancing splits a large day over several tasks and merges small ones
+    def replace_staging(self, rows: DataFrame, whole: bool = True, clustered: bool = True) -> None:
+        """``clustered`` rows come straight from raw, whose files hold one date each, and are written as they
+        lie. Others are rebalanced: a large date is split over several tasks, small ones share one."""
         dated = rows.withColumn("activity_date", F.to_date("changed_at_utc"))
-        self._replace("staging", dated.hint("rebalance", F.col("activity_date")), whole)
+        self._replace("staging", dated if clustered else dated.hint("rebalance", F.col("activity_date")), whole)
 
     def append_mart(self, rows: DataFrame) -> None:
         """Only to break the grain on purpose; ``replace_mart`` is how the mart is built."""

@@ -55,6 +55,19 @@ def test_history_is_cut_by_range_and_by_keys(spark, tmp_path):
     assert [r["k"] for r in new.collect()] == [2000]
 
 
+def test_a_counted_increment_leaves_the_history_unshuffled(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    spark.range(1000).select(F.col("id").alias("k")).write.parquet(path)
+    incoming = keyed(spark, [(5, 1), (5, 2), (5000, 3)])
+    few = inserts.known_keys(spark.read.parquet(path), incoming, "k", few=True)
+    many = inserts.known_keys(spark.read.parquet(path), incoming, "k")
+    assert [r["k"] for r in few.collect()] == [r["k"] for r in many.collect()] == [5]
+    history = plan_of(few).split("BroadcastExchange")[0]
+    assert "BroadcastHashJoin" in history and "Exchange hashpartitioning" not in history
+    new = inserts.insert_if_absent(incoming, spark.read.parquet(path), "k", ["n"], few=True)
+    assert [tuple(r) for r in new.collect()] == [(5000, 3)]
+
+
 def test_an_empty_range_matches_nothing(spark):
     assert inserts.in_range(keyed(spark, [(1, 1)]), "k", None, None).count() == 0
 
