@@ -38,44 +38,69 @@ def check_windows(windows: DataFrame, now: datetime | None = None, retention_day
         raise ValueError(f"window {bad['_window_start']} .. {bad['_window_end']}: {bad['status']}")
 
 
+def days_between(first: date, last: date) -> list[date]:
+    return [first + timedelta(days=n) for n in range((last - first).days + 1)]
+
+
+def days_of_keys(loads: DataFrame, low: int | None, high: int | None) -> list[date]:
+    """Event dates that can hold keys of a range, told by the earlier loads: at most one value per calendar day."""
+    overlapping = loads.filter((F.col("low_key") <= F.lit(high)) & (F.col("high_key") >= F.lit(low)))
+    days = overlapping.select(F.explode(F.sequence("first_day", "last_day")).alias("day")).distinct()
+    return sorted(r["day"] for r in days.collect())
+
+
 def load_judged(warehouse: Warehouse, judged: DataFrame, pages: DataFrame, ingested_at: datetime) -> DataFrame:
     """Append new valid records to raw and new errors to quarantine; returns the stats per page.
 
-    ``judged`` must be stored (it is read several times). Running the same load again adds nothing.
+    ``judged`` must be stored (it is read several times). Running the same load again adds nothing. What is read
+    of the tables is bounded by the days that matter to this load, not by their history.
     """
-    first_id = warehouse.loads().agg(F.coalesce(F.max("next_id"), F.lit(1)).alias("next_id")).first()["next_id"]
-    # ids are reserved before they are used, so a load that dies half-way leaves a gap and no repeated id
-    warehouse.append_load(first_id, first_id + id_span(judged), ingested_at)
-    stamp = F.lit(ingested_at)
-
-    # one row of counts and bounds: the bounds let the tables skip what cannot matter to this load
     valid_key = F.when(F.col("status") == OK, F.col("_key"))
     span = judged.agg(
         F.count_if(F.col("status") == OK).alias("valid"),
         F.count_if(F.col("status") == ERROR).alias("bad"),
         F.min(valid_key).alias("low_key"),
         F.max(valid_key).alias("high_key"),
-        F.min("_window_start").alias("first_window"),
-        F.max("_window_start").alias("last_window"),
         F.to_date(F.min("_window_start")).alias("first_day"),
-        F.to_date(F.max("_window_end")).alias("last_day"),
+        F.to_date(F.max("_window_start")).alias("last_window_day"),
+        F.to_date(F.max("_window_end") - F.expr("interval 1 microsecond")).alias("last_day"),
     ).first()
-
-    known = in_range(warehouse.raw(), "_key", span["low_key"], span["high_key"])
-    new = insert_if_absent(valid_records(judged), known, "_key", ARRIVAL, span["valid"] <= BROADCAST_KEYS)
-    new = number_rows(new, "_raw_id", first_id, ARRIVAL)
-    warehouse.append_raw(new.withColumns({"_ingested_at": stamp, "_event_date": F.to_date("event_time")}))
-
-    # a fingerprint covers the window, so only errors of the same windows can be the same
-    known_bad = in_range(warehouse.errors(), "_window_start", span["first_window"], span["last_window"])
-    few_bad = span["bad"] <= BROADCAST_KEYS
-    new_bad = insert_if_absent(error_rows(judged), known_bad, "_error_fingerprint", ARRIVAL, few_bad)
-    warehouse.append_errors(number_rows(new_bad, "_error_id", first_id, ARRIVAL).withColumn("_ingested_at", stamp))
+    loads = warehouse.loads()
+    first_id = loads.agg(F.coalesce(F.max("next_id"), F.lit(1)).alias("next_id")).first()["next_id"]
+    known_days = days_of_keys(loads, span["low_key"], span["high_key"])
+    # recorded before any row is stored: a load that dies half-way leaves a gap in the ids and no repeated id,
+    # and its rows are found by the next one
+    warehouse.append_load(
+        first_id=first_id,
+        next_id=first_id + id_span(judged),
+        low_key=span["low_key"],
+        high_key=span["high_key"],
+        first_day=span["first_day"],
+        last_day=span["last_day"],
+        _ingested_at=ingested_at,
+    )
+    stamp = F.lit(ingested_at)
+    if span["first_day"] is not None:
+        known = in_range(warehouse.raw(known_days), "_key", span["low_key"], span["high_key"])
+        new = insert_if_absent(valid_records(judged), known, "_key", ARRIVAL, span["valid"] <= BROADCAST_KEYS)
+        new = number_rows(new, "_raw_id", first_id, ARRIVAL)
+        warehouse.append_raw(new.withColumns({"_ingested_at": stamp, "_event_date": F.to_date("event_time")}))
+
+        # a fingerprint covers the window, so only errors of the same windows can be the same
+        window_days = days_between(span["first_day"], span["last_window_day"])
+        few_bad = span["bad"] <= BROADCAST_KEYS
+        new_bad = insert_if_absent(
+            error_rows(judged), warehouse.errors(window_days), "_error_fingerprint", ARRIVAL, few_bad
+        )
+        warehouse.append_errors(number_rows(new_bad, "_error_id", first_id, ARRIVAL).withColumn("_ingested_at", stamp))
+        event_days = days_between(span["first_day"], span["last_day"])
+    else:
+        window_days = event_days = []
 
     # what this load stored is told by its load time
     mine = F.col("_ingested_at") == stamp
-    stored = in_range(warehouse.raw().filter(mine), "_event_date", span["first_day"], span["last_day"])
-    stats = load_stats(judged, stored, warehouse.errors().filter(mine), PAGE, pages)
+    stored, stored_bad = warehouse.raw(event_days).filter(mine), warehouse.errors(window_days).filter(mine)
+    stats = load_stats(judged, stored, stored_bad, PAGE, pages)
     warehouse.append_load_stats(stats.withColumn("_ingested_at", stamp))
     return warehouse.load_stats().filter(mine)
 
@@ -133,13 +158,9 @@ def refresh(warehouse: Warehouse, days: list[date] | None = None) -> None:
     """
     if days is not None and not days:
         return
-    raw, whole = warehouse.raw(), days is None
-    if not whole:
-        raw = raw.filter(F.col("_event_date").isin(days))
-    warehouse.replace_staging(staging_of_unique(raw), whole)
-    stored = warehouse.staging()
-    if not whole:
-        stored = stored.filter(F.col("activity_date").isin(days))
+    whole = days is None
+    warehouse.replace_staging(staging_of_unique(warehouse.raw(days)), whole)
+    stored = warehouse.staging(days)
     if stored.filter(F.col("change_id").isNull()).select("change_id").first() is not None:
         whole = True
         warehouse.replace_staging(staging(warehouse.raw()), whole, clustered=False)
@@ -190,8 +211,7 @@ def backfill(
     Doing it again changes no total, except by events that have landed since.
     """
     check_windows(windows_between(configure(spark), first, last), now, retention_days)
-    days = [first + timedelta(days=n) for n in range((last - first).days + 1)]
-    run(spark, landing, root, days, **options)
+    run(spark, landing, root, days_between(first, last), **options)
     return backfill_coverage(Warehouse(spark, root).mart())
 
 

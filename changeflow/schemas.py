@@ -30,6 +30,7 @@ ERRORS = T.StructType(
         T.StructField("_window_end", T.TimestampType()),
         T.StructField("_ingested_at", T.TimestampType()),
         T.StructField("page_no", T.LongType()),
+        T.StructField("_window_date", T.DateType()),
     ]
 )
 
@@ -98,11 +99,16 @@ LOAD_STATS = T.StructType(
     ]
 )
 
-# One row per load: the first row id handed out and the first one still free (a gap-tolerant sequence).
+# One row per load, written before its rows: the first row id handed out and the first one still free (a sequence
+# with gaps), the range of its valid keys, and the range of event dates its windows cover.
 LOADS = T.StructType(
     [
         T.StructField("first_id", T.LongType()),
         T.StructField("next_id", T.LongType()),
+        T.StructField("low_key", T.LongType()),
+        T.StructField("high_key", T.LongType()),
+        T.StructField("first_day", T.DateType()),
+        T.StructField("last_day", T.DateType()),
         T.StructField("_ingested_at", T.TimestampType()),
     ]
 )

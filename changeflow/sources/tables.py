@@ -4,6 +4,9 @@
 view over raw, with an optional stored copy that is replaced by date like the mart. One writer at a time.
 """
 
+from collections.abc import Sequence
+from datetime import date
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,28 +17,41 @@ from changeflow.schemas import ERRORS, LOAD_STATS, LOADS, MART, RAW, STAGING
 STORED_STAGING = T.StructType([*STAGING.fields, T.StructField("activity_date", T.DateType())])
 
 
+# Above this many days a read lists the whole table and filters, instead of naming the folders.
+NAMED_DAYS = 1000
+
+
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
 
-    def _read(self, name: str, schema: T.StructType) -> DataFrame:
+    def _read(
+        self, name: str, schema: T.StructType, partition: str | None = None, days: Sequence[date] | None = None
+    ) -> DataFrame:
+        """A table, or only the given days of it. Naming their folders keeps the listing of files, too, as short
+        as the days, however long the table's history is."""
+        base = f"{self.root}/{name}"
+        named = days is not None and 0 < len(days) <= NAMED_DAYS
+        path = f"{base}/{partition}={{{','.join(d.isoformat() for d in days)}}}" if named else base
         try:
-            # partition columns come last when read; keep the declared order
-            return self.spark.read.schema(schema).parquet(f"{self.root}/{name}").select(schema.fieldNames())
+            table = self.spark.read.schema(schema).option("basePath", base).parquet(path)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             return self.spark.createDataFrame([], schema)
+        # partition columns come last when read; keep the declared order
+        table = table.select(schema.fieldNames())
+        return table if days is None else table.filter(F.col(partition).isin(list(days)))
 
-    def raw(self) -> DataFrame:
-        return self._read("raw", RAW)
+    def raw(self, days: Sequence[date] | None = None) -> DataFrame:
+        return self._read("raw", RAW, "_event_date", days)
 
-    def errors(self) -> DataFrame:
-        return self._read("errors", ERRORS)
+    def errors(self, days: Sequence[date] | None = None) -> DataFrame:
+        return self._read("errors", ERRORS, "_window_date", days)
 
-    def staging(self) -> DataFrame:
-        return self._read("staging", STORED_STAGING)
+    def staging(self, days: Sequence[date] | None = None) -> DataFrame:
+        return self._read("staging", STORED_STAGING, "activity_date", days)
 
     def mart(self) -> DataFrame:
         return self._read("mart", MART)
@@ -50,14 +66,14 @@ class Warehouse:
         rows.select(RAW.fieldNames()).write.mode("append").partitionBy("_event_date").parquet(f"{self.root}/raw")
 
     def append_errors(self, rows: DataFrame) -> None:
-        rows.select(ERRORS.fieldNames()).write.mode("append").parquet(f"{self.root}/errors")
+        dated = rows.withColumn("_window_date", F.to_date("_window_start")).select(ERRORS.fieldNames())
+        dated.write.mode("append").partitionBy("_window_date").parquet(f"{self.root}/errors")
 
     def append_load_stats(self, rows: DataFrame) -> None:
         rows.select(LOAD_STATS.fieldNames()).write.mode("append").parquet(f"{self.root}/load_stats")
 
-    def append_load(self, first_id: int, next_id: int, ingested_at) -> None:
-        values = [first_id, next_id, ingested_at]
-        row = [F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(values, LOADS, strict=True)]
+    def append_load(self, **values) -> None:
+        row = [F.lit(values[f.name]).cast(f.dataType).alias(f.name) for f in LOADS]
         self.spark.range(0, 1, 1, 1).select(*row).write.mode("append").parquet(f"{self.root}/loads")
 
     def _replace(self, name: str, rows: DataFrame, whole: bool) -> None:

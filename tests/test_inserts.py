@@ -21,7 +21,7 @@ def test_first_writer_wins_and_known_keys_stay(spark):
     assert got == [(1, 3), (3, 8)]
 
 
-@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.integers(0, 12), max_size=40), st.integers(0, 40))
 def test_loading_in_two_parts_stores_what_one_load_stores(spark, keys, cut):
     rows = [(k, n) for n, k in enumerate(keys)]

@@ -195,6 +195,32 @@ def test_ids_never_repeat_over_loads(place):
     assert ordered == sorted(ordered)
 
 
+def test_a_key_stored_on_another_day_is_found(place, spark):
+    place.land((DAY, 1, page([record(1), record(50)])))
+    place.run(DAY.date())
+    place.land((NEXT, 1, page([record(50, day=NEXT), record(60, day=NEXT)])))
+    assert place.counters(place.run(NEXT.date()))["inserted"] == 1
+    assert place.keys() == [1, 50, 60]
+    loads = place.warehouse.loads()
+    assert jobs.days_of_keys(loads, 1, 10) == [DAY.date()]
+    assert jobs.days_of_keys(loads, 55, 99) == [NEXT.date()]
+    assert jobs.days_of_keys(loads, 50, 50) == [DAY.date(), NEXT.date()]
+    assert jobs.days_of_keys(loads, 61, 99) == [] and jobs.days_of_keys(loads, None, None) == []
+
+
+def test_reading_some_days_lists_their_folders_only(place):
+    place.land((DAY, 1, page([record(1)])), (NEXT, 1, page([record(2, day=NEXT)])))
+    jobs.load_pages(place.warehouse, landing.read_lines(place.spark, place.landing))
+    one_day = place.warehouse.raw([NEXT.date()])
+    assert [r["_key"] for r in one_day.collect()] == [2]
+    listed = one_day.inputFiles()
+    assert listed and all("_event_date=2024-05-02" in f for f in listed)
+    assert place.warehouse.raw([]).count() == 0
+    assert place.warehouse.raw([date(2030, 1, 1)]).count() == 0
+    everything = place.warehouse.raw([date(2020, 1, 1) + timedelta(days=n) for n in range(4000)])
+    assert sorted(r["_key"] for r in everything.collect()) == [1, 2]
+
+
 def test_a_third_of_all_records_under_one_key(place, spark):
     hot = [record(7, comment=str(i)) for i in range(400)] + [{"rcid": "bad"}] * 400 + [record(1000 + i) for i in range(400)]
     place.land((DAY, 1, page(hot)))

@@ -99,7 +99,7 @@ _records = st.fixed_dictionaries(
 )
 
 
-@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(_records, min_size=1, max_size=40))
 def test_routing_agrees_with_a_plain_judgement(spark, records):
     got = [(s, t) for s, t, _ in judge(spark, *[json.dumps(r) for r in records])]

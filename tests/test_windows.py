@@ -32,7 +32,7 @@ _times = st.datetimes(datetime(2024, 5, 1), datetime(2024, 5, 4)).map(lambda t:
 _spans = st.tuples(_times, st.timedeltas(timedelta(0), timedelta(days=2)))
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(_times, min_size=1, max_size=25), st.lists(_spans, min_size=1, max_size=6))
 def test_assignment_agrees_with_testing_all_pairs(spark, times, spans):
     events = spark.createDataFrame(list(enumerate(times)), "id int, t timestamp")
