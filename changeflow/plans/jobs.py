@@ -55,15 +55,21 @@ def load_judged(warehouse: Warehouse, judged: DataFrame, pages: DataFrame, inges
     ``judged`` must be stored (it is read several times). Running the same load again adds nothing. What is read
     of the tables is bounded by the days that matter to this load, not by their history.
     """
+    covered = pages.agg(
+        F.to_date(F.min("_window_start")).alias("first_day"),
+        F.to_date(F.max("_window_start")).alias("last_window_day"),
+        F.to_date(F.max("_window_end") - F.expr("interval 1 microsecond")).alias("last_day"),
+    ).first()
+    if covered["first_day"] is None:
+        return warehouse.load_stats([])
+    event_days = days_between(covered["first_day"], covered["last_day"])
+    window_days = days_between(covered["first_day"], covered["last_window_day"])
     valid_key = F.when(F.col("status") == OK, F.col("_key"))
     span = judged.agg(
         F.count_if(F.col("status") == OK).alias("valid"),
         F.count_if(F.col("status") == ERROR).alias("bad"),
         F.min(valid_key).alias("low_key"),
         F.max(valid_key).alias("high_key"),
-        F.to_date(F.min("_window_start")).alias("first_day"),
-        F.to_date(F.max("_window_start")).alias("last_window_day"),
-        F.to_date(F.max("_window_end") - F.expr("interval 1 microsecond")).alias("last_day"),
     ).first()
     loads = warehouse.loads()
     first_id = loads.agg(F.coalesce(F.max("next_id"), F.lit(1)).alias("next_id")).first()["next_id"]
@@ -75,34 +81,30 @@ def load_judged(warehouse: Warehouse, judged: DataFrame, pages: DataFrame, inges
         next_id=first_id + id_span(judged),
         low_key=span["low_key"],
         high_key=span["high_key"],
-        first_day=span["first_day"],
-        last_day=span["last_day"],
+        first_day=event_days[0],
+        last_day=event_days[-1],
         _ingested_at=ingested_at,
     )
     stamp = F.lit(ingested_at)
-    if span["first_day"] is not None:
+
+    if span["valid"]:
         known = in_range(warehouse.raw(known_days), "_key", span["low_key"], span["high_key"])
         new = insert_if_absent(valid_records(judged), known, "_key", ARRIVAL, span["valid"] <= BROADCAST_KEYS)
         new = number_rows(new, "_raw_id", first_id, ARRIVAL)
         warehouse.append_raw(new.withColumns({"_ingested_at": stamp, "_event_date": F.to_date("event_time")}))
-
+    if span["bad"]:
         # a fingerprint covers the window, so only errors of the same windows can be the same
-        window_days = days_between(span["first_day"], span["last_window_day"])
-        few_bad = span["bad"] <= BROADCAST_KEYS
-        new_bad = insert_if_absent(
-            error_rows(judged), warehouse.errors(window_days), "_error_fingerprint", ARRIVAL, few_bad
-        )
-        warehouse.append_errors(number_rows(new_bad, "_error_id", first_id, ARRIVAL).withColumn("_ingested_at", stamp))
-        event_days = days_between(span["first_day"], span["last_day"])
-    else:
-        window_days = event_days = []
+        known_bad, few = warehouse.errors(window_days), span["bad"] <= BROADCAST_KEYS
+        new_bad = insert_if_absent(error_rows(judged), known_bad, "_error_fingerprint", ARRIVAL, few)
+        new_bad = number_rows(new_bad, "_error_id", first_id, ARRIVAL)
+        warehouse.append_errors(new_bad.withColumn("_ingested_at", stamp))
 
     # what this load stored is told by its load time
     mine = F.col("_ingested_at") == stamp
     stored, stored_bad = warehouse.raw(event_days).filter(mine), warehouse.errors(window_days).filter(mine)
     stats = load_stats(judged, stored, stored_bad, PAGE, pages)
     warehouse.append_load_stats(stats.withColumn("_ingested_at", stamp))
-    return warehouse.load_stats().filter(mine)
+    return warehouse.load_stats(window_days).filter(mine)
 
 
 def load_pages(

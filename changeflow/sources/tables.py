@@ -31,15 +31,19 @@ class Warehouse:
     ) -> DataFrame:
         """A table, or only the given days of it. Naming their folders keeps the listing of files, too, as short
         as the days, however long the table's history is."""
+        # known to be empty to the optimizer, too, which then drops joins with it
+        nothing = self.spark.createDataFrame([], schema).filter(F.lit(False))
+        if days is not None and not days:
+            return nothing
         base = f"{self.root}/{name}"
-        named = days is not None and 0 < len(days) <= NAMED_DAYS
+        named = days is not None and len(days) <= NAMED_DAYS
         path = f"{base}/{partition}={{{','.join(d.isoformat() for d in days)}}}" if named else base
         try:
             table = self.spark.read.schema(schema).option("basePath", base).parquet(path)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], schema)
+            return nothing
         # partition columns come last when read; keep the declared order
         table = table.select(schema.fieldNames())
         return table if days is None else table.filter(F.col(partition).isin(list(days)))
@@ -56,21 +60,25 @@ class Warehouse:
     def mart(self) -> DataFrame:
         return self._read("mart", MART)
 
-    def load_stats(self) -> DataFrame:
-        return self._read("load_stats", LOAD_STATS)
+    def load_stats(self, days: Sequence[date] | None = None) -> DataFrame:
+        return self._read("load_stats", LOAD_STATS, "_window_date", days)
 
     def loads(self) -> DataFrame:
         return self._read("loads", LOADS)
 
+    def _append(self, name: str, rows: DataFrame, schema: T.StructType, partition: str) -> None:
+        rows.select(schema.fieldNames()).write.mode("append").partitionBy(partition).parquet(f"{self.root}/{name}")
+
     def append_raw(self, rows: DataFrame) -> None:
-        rows.select(RAW.fieldNames()).write.mode("append").partitionBy("_event_date").parquet(f"{self.root}/raw")
+        self._append("raw", rows, RAW, "_event_date")
 
     def append_errors(self, rows: DataFrame) -> None:
-        dated = rows.withColumn("_window_date", F.to_date("_window_start")).select(ERRORS.fieldNames())
-        dated.write.mode("append").partitionBy("_window_date").parquet(f"{self.root}/errors")
+        self._append("errors", rows.withColumn("_window_date", F.to_date("_window_start")), ERRORS, "_window_date")
 
     def append_load_stats(self, rows: DataFrame) -> None:
-        rows.select(LOAD_STATS.fieldNames()).write.mode("append").parquet(f"{self.root}/load_stats")
+        dated = rows.withColumn("_window_date", F.to_date("_window_start"))
+        # one file per day: a day holds one row per page
+        self._append("load_stats", dated.repartition("_window_date"), LOAD_STATS, "_window_date")
 
     def append_load(self, **values) -> None:
         row = [F.lit(values[f.name]).cast(f.dataType).alias(f.name) for f in LOADS]

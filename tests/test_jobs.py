@@ -70,6 +70,15 @@ def test_a_run_loads_transforms_and_checks_and_a_rerun_changes_nothing(place):
     assert place.warehouse.load_stats().count() == 4
 
 
+def test_pages_without_records_are_counted(place):
+    place.land((DAY, 1, page([])), (NEXT, 1, {}))
+    stats = jobs.load_pages(place.warehouse, landing.read_lines(place.spark, place.landing))
+    assert place.counters(stats)["pages"] == 2 and place.warehouse.raw().count() == 0
+    assert jobs.loaded_days(stats) == [DAY.date(), NEXT.date()]
+    nothing = jobs.load_pages(place.warehouse, landing.read_lines(place.spark, place.landing, [date(2020, 1, 1)]))
+    assert place.counters(nothing)["pages"] == 0
+
+
 def test_late_events_only_add(place):
     place.land((DAY, 1, page([record(1)])))
     place.run()
