@@ -45,7 +45,8 @@ def query(function: Query) -> Query:
 def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _feeds:
-        _feeds[key] = materialize(fixture.deliveries(spark, sf_dir), "feed")
+        # spread by page, as pages land; the events file alone would make one or two tasks
+        _feeds[key] = materialize(fixture.deliveries(spark, sf_dir).repartition("_window_start", "page_no"), "feed")
     return _feeds[key]
 
 
