@@ -1,4 +1,4 @@
-"""``spark-submit -m changeflow`` style entry point: one subcommand per job, results as JSON lines on stdout."""
+"""Entry point of ``python -m changeflow`` and ``spark-submit``: one subcommand per job, results as JSON lines on stdout."""
 
 import argparse
 from datetime import date

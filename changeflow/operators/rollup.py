@@ -25,9 +25,8 @@ def event_counts(staged: DataFrame, name: str = "expected_count") -> DataFrame:
 def daily_rollup(staged: DataFrame) -> DataFrame:
     """The mart. The condition on the distinct users sits inside the aggregate instead of in a FILTER, so rows
     are not expanded: partial sums per (grain, user) leave the map tasks, spread over users, then per grain."""
-    byte_change = F.when(
-        F.col("old_length").isNotNull() & F.col("new_length").isNotNull(), F.col("new_length") - F.col("old_length")
-    ).otherwise(F.lit(0))
+    # NULL if one of the lengths is unknown
+    byte_change = F.coalesce(F.col("new_length") - F.col("old_length"), F.lit(0))
     counted = staged.groupBy(F.to_date("changed_at_utc").alias("activity_date"), "namespace_id").agg(
         F.count("*").alias("total_changes"),
         F.count_if(F.col("change_type") == "edit").alias("edit_count"),
@@ -38,7 +37,7 @@ def daily_rollup(staged: DataFrame) -> DataFrame:
         F.count_if("is_minor").alias("minor_changes"),
         F.count_if("is_user_missing").alias("missing_user_changes"),
         F.count_distinct(F.when(~F.col("is_user_missing"), F.col("user_name"))).alias("unique_users"),
-        F.coalesce(F.sum(byte_change), F.lit(0)).cast("long").alias("net_bytes_change"),
+        F.sum(byte_change).alias("net_bytes_change"),
     )
     return counted.withColumns(
         {

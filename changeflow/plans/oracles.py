@@ -129,16 +129,15 @@ counted as (
     select cast(changed_at_utc as date) as activity_date, namespace_id,
         case namespace_id {_LABELS} else 'Namespace ' || namespace_id end as namespace_name,
         count(*) as total_changes,
-        count(*) filter (where change_type = 'edit') as edit_count,
-        count(*) filter (where change_type = 'new') as new_page_count,
-        count(*) filter (where change_type = 'log') as log_count,
-        count(*) filter (where is_bot) as bot_changes,
-        count(*) filter (where is_anonymous) as anonymous_changes,
-        count(*) filter (where is_minor) as minor_changes,
-        count(*) filter (where is_user_missing) as missing_user_changes,
-        count(distinct user_name) filter (where not is_user_missing) as unique_users,
-        cast(coalesce(sum(case when old_length is not null and new_length is not null
-                               then new_length - old_length else 0 end), 0) as bigint) as net_bytes_change
+        cast(count_if(change_type = 'edit') as bigint) as edit_count,
+        cast(count_if(change_type = 'new') as bigint) as new_page_count,
+        cast(count_if(change_type = 'log') as bigint) as log_count,
+        cast(count_if(is_bot) as bigint) as bot_changes,
+        cast(count_if(is_anonymous) as bigint) as anonymous_changes,
+        cast(count_if(is_minor) as bigint) as minor_changes,
+        cast(count_if(is_user_missing) as bigint) as missing_user_changes,
+        count(distinct case when not is_user_missing then user_name end) as unique_users,
+        cast(sum(coalesce(new_length - old_length, 0)) as bigint) as net_bytes_change
     from staged group by all
 ),
 mart as (
@@ -224,11 +223,10 @@ def _null_counts(source: str, columns: list[str]) -> str:
 
 
 _RECONCILED = """
-select coalesce(s.activity_date, m.activity_date) as activity_date, coalesce(s.namespace_id, m.namespace_id) as namespace_id,
-    s.expected_count, m.total_changes as actual_count
-from (select cast(changed_at_utc as date) as activity_date, namespace_id, count(*) as expected_count from staged group by all) s
-full join mart m on s.activity_date = m.activity_date and s.namespace_id = m.namespace_id
-where s.expected_count is distinct from m.total_changes"""
+select activity_date, namespace_id, expected_count, total_changes as actual_count
+from (select cast(changed_at_utc as date) as activity_date, namespace_id, count(*) as expected_count from staged group by all)
+full join mart using (activity_date, namespace_id)
+where expected_count is distinct from total_changes"""
 
 _NEGATIVE = " or ".join(
     f"{c} < 0"
