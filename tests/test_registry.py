@@ -3,6 +3,8 @@
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from changeflow.plans.oracles import ORACLES
+from changeflow.plans.registry import QUERIES
 from check_oracles import compare, connect
 
 from .helpers import plan_of
@@ -13,14 +15,15 @@ def db(sf_dir):
     return connect(sf_dir)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_its_sql(spark, db, sf_dir, name):
     good, note = compare(spark, db, name, sf_dir)
     assert good, note
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries()) and set(oracle_sql()) <= set(queries())
 
 
 def test_entry(spark):
