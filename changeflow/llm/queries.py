@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from changeflow.session import configure
 
-from . import simhash_mih
+from . import simhash_mih, weak_rules
 from .common import table
 
 QUERIES: dict = {}
@@ -22,3 +22,8 @@ def query(function):
 @query
 def op7_simhash_near_dedup(spark, sf_dir):
     return simhash_mih.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_weak_quality_rules(spark, sf_dir):
+    return weak_rules.judge(table(spark, sf_dir, "documents"))

@@ -6,17 +6,25 @@ of ``documents``.
 
 from pyspark.sql import DataFrame, SparkSession
 
-from changeflow.llm import simhash_mih
+from changeflow.llm import simhash_mih, weak_rules
 from changeflow.llm.common import stored, table
 from changeflow.session import configure
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that fail the base or are more likely bad than good go."""
+    return weak_rules.good_rows(docs)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays: that with the smallest id."""
     return simhash_mih.one_of_each(docs)
 
 
-STAGES = [("simhash_near_dedup", near_dedup)]
+STAGES = [
+    ("quality_rules", quality),
+    ("simhash_near_dedup", near_dedup),
+]
 
 # Fitted models and packing are not expressible in SQL; the tests compare each stage with a plain version.
 ORACLE_SQL = None
