@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from changeflow.session import configure
 
-from . import simhash_mih, weak_rules
+from . import language_mixture, simhash_mih, weak_rules
 from .common import table
 
 QUERIES: dict = {}
@@ -19,6 +19,11 @@ def query(function):
     return run
 
 
+@query
+def op1_language_mixture(spark, sf_dir):
+    return language_mixture.identify(table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_simhash_near_dedup(spark, sf_dir):
     return simhash_mih.near_duplicates(table(spark, sf_dir, "documents"))

@@ -6,7 +6,7 @@ of ``documents``.
 
 from pyspark.sql import DataFrame, SparkSession
 
-from changeflow.llm import simhash_mih, weak_rules
+from changeflow.llm import language_mixture, simhash_mih, weak_rules
 from changeflow.llm.common import stored, table
 from changeflow.session import configure
 
@@ -16,6 +16,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return weak_rules.good_rows(docs)
 
 
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a language, or in which none leads, go."""
+    return language_mixture.rows_with_language(docs)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays: that with the smallest id."""
     return simhash_mih.one_of_each(docs)
@@ -23,6 +28,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality_rules", quality),
+    ("language_id", language),
     ("simhash_near_dedup", near_dedup),
 ]
 
