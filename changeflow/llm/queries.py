@@ -1,10 +1,11 @@
 """The operators of this subpackage as named queries over whole tables, with SQL where SQL can express the result."""
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from changeflow.session import configure
 
-from . import language_mixture, simhash_mih, weak_rules
+from . import certified_packing, language_mixture, simhash_mih, weak_rules
 from .common import table
 
 QUERIES: dict = {}
@@ -24,6 +25,12 @@ def op1_language_mixture(spark, sf_dir):
     return language_mixture.identify(table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_certified_packing(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return certified_packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))[0]
+
+
 @query
 def op7_simhash_near_dedup(spark, sf_dir):
     return simhash_mih.near_duplicates(table(spark, sf_dir, "documents"))

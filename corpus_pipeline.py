@@ -4,9 +4,10 @@ Each stage takes (spark, docs, sf_dir) and works on all rows its predecessor kep
 of ``documents``.
 """
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from changeflow.llm import language_mixture, simhash_mih, weak_rules
+from changeflow.llm import certified_packing, language_mixture, simhash_mih, weak_rules
 from changeflow.llm.common import stored, table
 from changeflow.session import configure
 
@@ -26,10 +27,16 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash_mih.one_of_each(docs)
 
 
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences of 1024 tokens: a row per piece of a document with its sequence and place there."""
+    return certified_packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))[0]
+
+
 STAGES = [
     ("quality_rules", quality),
     ("language_id", language),
     ("simhash_near_dedup", near_dedup),
+    ("best_fit_packing", packing),
 ]
 
 # Fitted models and packing are not expressible in SQL; the tests compare each stage with a plain version.
