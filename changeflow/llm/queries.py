@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from changeflow.session import configure
 
-from . import certified_packing, language_mixture, simhash_mih, weak_rules
+from . import certified_packing, language_mixture, secret_forest, simhash_mih, weak_rules
 from .common import table
 
 QUERIES: dict = {}
@@ -31,6 +31,11 @@ def op4_certified_packing(spark, sf_dir):
     return certified_packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))[0]
 
 
+@query
+def op6_secret_forest(spark, sf_dir):
+    return secret_forest.scan(table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_simhash_near_dedup(spark, sf_dir):
     return simhash_mih.near_duplicates(table(spark, sf_dir, "documents"))

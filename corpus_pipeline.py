@@ -7,7 +7,7 @@ of ``documents``.
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from changeflow.llm import certified_packing, language_mixture, simhash_mih, weak_rules
+from changeflow.llm import certified_packing, language_mixture, secret_forest, simhash_mih, weak_rules
 from changeflow.llm.common import stored, table
 from changeflow.session import configure
 
@@ -27,6 +27,11 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash_mih.one_of_each(docs)
 
 
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents stay; secrets in their texts are replaced by a mark."""
+    return secret_forest.redact(docs)
+
+
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of 1024 tokens: a row per piece of a document with its sequence and place there."""
     return certified_packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))[0]
@@ -36,6 +41,7 @@ STAGES = [
     ("quality_rules", quality),
     ("language_id", language),
     ("simhash_near_dedup", near_dedup),
+    ("secret_scans", secrets),
     ("best_fit_packing", packing),
 ]
 

@@ -1,0 +1,95 @@
+import random
+import re
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from changeflow.llm import secret_forest as sf
+from changeflow.llm.common import stored
+
+WORDS = "the quick brown fox jumps over lazy dog while seven wizards brew potions near ancient stone bridges".split()
+
+
+def key(rng, n=40, alphabet="0123456789abcdef"):
+    return "".join(rng.choice(alphabet) for _ in range(n))
+
+
+def make(rng, n):
+    """Texts with one candidate each and whether it is a secret; a third of them without a name beside it."""
+    alnum = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    for i in range(n):
+        prose = " ".join(rng.choice(WORDS) for _ in range(25))
+        yield i, *rng.choice(
+            [
+                (f'{prose} token = "{key(rng)}" {prose}', True),
+                (f"{prose} api_key: '{key(rng, 32, alnum)}' {prose}", True),
+                (f"{prose} AKIA{key(rng, 16, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567')} {prose}", True),
+                (f"{prose} sha256: {key(rng, 64)} {prose}", False),
+                (f"{prose} card {key(rng, 16, '0123456789')} {prose}", False),
+                (f"{prose} see https://example.org/{key(rng, 20)} {prose}", False),
+                (f"{prose} order_id = \"{key(rng, 24, '0123456789')}\" {prose}", False),
+                (f"{prose} quickbrownfoxjumps7 {prose}", False),
+            ]
+        )
+
+
+def test_verdicts_on_findings_with_known_truth(docs_of):
+    cases = list(make(random.Random(1), 400))
+    df = docs_of([(i, t) for i, t, _ in cases])
+    rows = sf.scan(df).collect()
+    truth = {i: s for i, _, s in cases}
+    text = {i: t for i, t, _ in cases}
+    assert rows and all(0 <= r["probability"] <= 1 for r in rows)
+    right = sum(r["is_secret"] == truth[r["doc_id"]] for r in rows)
+    assert right >= 0.97 * len(rows)
+    caught = {r["doc_id"] for r in rows if r["is_secret"]}
+    assert caught >= {i for i, s in truth.items() if s}
+    for r in rows:
+        assert re.fullmatch(sf.CANDIDATE, text[r["doc_id"]][r["start"] : r["stop"]])
+
+
+def test_forest_learns_from_given_labels_and_generalises(spark):
+    rng = random.Random(3)
+    vocabulary = sf.Vocabulary(frozenset(WORDS), np.log(np.full((27, 27), 1 / 27)))
+
+    def finding(secret):
+        value = key(rng, 40) if secret else "".join(rng.choice(WORDS) for _ in range(6)) + "7"
+        return sf._features(value, "generic", " ", " ", "", vocabulary)
+
+    rows = [(finding(n % 2 == 0), n % 2 ^ 1) for n in range(300)]
+    df = spark.createDataFrame(rows, "features array<double>, label int")
+    forest = sf.train(df, limit=100)
+    fresh_rows = spark.createDataFrame([(finding(n % 2 == 0), n % 2 ^ 1) for n in range(200)], "features array<double>, label int")
+    scored = sf.score(fresh_rows, forest).collect()
+    assert sum(r["is_secret"] == bool(r["label"]) for r in scored) >= 195
+    again = sf.score(fresh_rows, sf.train(df, limit=100)).collect()
+    assert [r["probability"] for r in again] == [r["probability"] for r in scored]
+
+
+def test_dictionary_cover_and_counts(docs_of):
+    v = sf.vocabulary(docs_of([(1, "Apple apple pear fig"), (2, None), (3, "pear é x1 ab")]), size=2)
+    assert v.words == {"apple", "pear"}
+    assert sf._covered("applepearxx", v.words) == pytest.approx(9 / 11)
+
+
+def test_redaction_is_exact_and_rows_stay_whole(docs_of):
+    rng = random.Random(6)
+    a, b = key(rng), key(rng)
+    texts = [f'é token = "{a}" mid secret = "{b}"', "clean text", None, "", f'token = "{a}"', "1234567890123456"]
+    pairs = list(enumerate(texts)) + [(0, texts[0]), (None, texts[4])]
+    df = stored(docs_of(pairs).withColumn("row", F.lit(7)).withColumn("spans", F.lit("s")), "docs")
+    out = sf.redact(df)
+    assert out.columns == df.columns and out.schema == df.schema
+    want = [re.sub("[0-9a-f]{40}", "[SECRET]", t) if t else t for _, t in pairs]
+    got = out.collect()
+    assert sorted(((r["doc_id"], r["text"]) for r in got), key=str) == sorted(zip([i for i, _ in pairs], want, strict=True), key=str)
+    assert all(r["n_chars"] == (None if r["text"] is None else len(r["text"])) for r in got)
+
+
+def test_empty_tables_long_texts_and_no_labels(docs_of):
+    assert sf.scan(docs_of([])).count() == 0
+    assert sf.scan(docs_of([(1, "nothing here"), (2, None)])).count() == 0
+    long_text = "word " * 200_000 + 'password = "9f8e7d6c5b4a39281706f5e4d3c2b1a0"'
+    rows = sf.scan(docs_of([(1, long_text)])).collect()
+    assert [(r["doc_id"], r["stop"] - r["start"], r["is_secret"]) for r in rows] == [(1, 32, True)]
