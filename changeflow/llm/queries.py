@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from changeflow.session import configure
 
-from . import certified_packing, language_mixture, license_fuzzy, secret_forest, simhash_mih, weak_rules
+from . import certified_packing, language_mixture, license_fuzzy, secret_forest, simhash_mih, warc_chunks, weak_rules
 from .common import table
 
 QUERIES: dict = {}
@@ -49,3 +49,26 @@ def op7_simhash_near_dedup(spark, sf_dir):
 @query
 def op9_weak_quality_rules(spark, sf_dir):
     return weak_rules.judge(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_warc_chunks(spark, sf_dir):
+    return warc_chunks.round_trip(table(spark, sf_dir, "pages"))
+
+
+ORACLES["op10_warc_chunks"] = """
+    with p as (select page_id, coalesce(html, '') as body from pages),
+    d as (select page_id, octet_length(encode(body)) as n, sha1(body) as h from p),
+    g as (
+        select page_id, n, h, min(page_id) over (partition by h, n) as first_id,
+            row_number() over (partition by h, n order by page_id) as copy
+        from d
+    )
+    select page_id, cast(n as bigint) as payload_bytes,
+        array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+            cast(1 + ((cast('0x' || substr(h, cast(1 + 5 * (i // 4) as int), 5) as bigint) >> cast(15 - 5 * (i % 4) as int)) & 31) as int), 1)), '')
+            as payload_digest,
+        case when copy = 1 then 'response' else 'revisit' end as record_type,
+        case when copy = 1 then null else first_id end as refers_to
+    from g
+"""
