@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from changeflow.session import configure
 
-from . import certified_packing, language_mixture, license_fuzzy, secret_forest, simhash_mih, warc_chunks, weak_rules
+from . import certified_packing, language_mixture, license_fuzzy, link_trust, secret_forest, simhash_mih, warc_chunks, weak_rules
 from .common import table
 
 QUERIES: dict = {}
@@ -25,6 +25,11 @@ def op1_language_mixture(spark, sf_dir):
     return language_mixture.identify(table(spark, sf_dir, "documents"))
 
 
+@query
+def op2_link_trust(spark, sf_dir):
+    return link_trust.judge(table(spark, sf_dir, "pages"))
+
+
 @query
 def op3_license_fuzzy(spark, sf_dir):
     return license_fuzzy.scan(table(spark, sf_dir, "documents"))
