@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from changeflow.session import configure
 
-from . import certified_packing, language_mixture, license_fuzzy, link_trust, secret_forest, simhash_mih, warc_chunks, weak_rules
+from . import certified_packing, language_mixture, license_fuzzy, link_trust, piece_encode, secret_forest, simhash_mih, warc_chunks, weak_rules
 from .common import table
 
 QUERIES: dict = {}
@@ -41,6 +41,11 @@ def op4_certified_packing(spark, sf_dir):
     return certified_packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))[0]
 
 
+@query
+def op5_piece_encode(spark, sf_dir):
+    return piece_encode.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 @query
 def op6_secret_forest(spark, sf_dir):
     return secret_forest.scan(table(spark, sf_dir, "documents"))
