@@ -2,10 +2,11 @@
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from changeflow.session import configure
 
-from . import certified_packing, language_mixture, license_fuzzy, link_trust, piece_encode, secret_forest, simhash_mih, warc_chunks, weak_rules
+from . import certified_packing, collision_ann, language_mixture, license_fuzzy, link_trust, piece_encode, secret_forest, simhash_mih, warc_chunks, weak_rules
 from .common import table
 
 QUERIES: dict = {}
@@ -56,6 +57,11 @@ def op7_simhash_near_dedup(spark, sf_dir):
     return simhash_mih.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query
+def op8_collision_ann(spark, sf_dir):
+    return collision_ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 @query
 def op9_weak_quality_rules(spark, sf_dir):
     return weak_rules.judge(table(spark, sf_dir, "documents"))

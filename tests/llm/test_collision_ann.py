@@ -1,0 +1,82 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from changeflow.llm import collision_ann as ann
+from changeflow.llm.common import table
+
+ASKS = "vec_id % 50 = 0"
+
+
+def brute(rows, asks, wanted=5):
+    """Every usable pair compared; (query, rank, vec, score) per query row."""
+    usable = [(i, np.array(v, dtype=float)) for i, v in rows if i is not None and v and all(x is not None and np.isfinite(x) for x in v) and any(v)]
+    out = []
+    for k, (i, q) in enumerate(usable):
+        if not asks(i):
+            continue
+        scored = [(-(v @ q) / np.sqrt((v @ v) * (q @ q)), j) for n, (j, v) in enumerate(usable) if n != k and len(v) == len(q)]
+        scored.sort(key=lambda x: (round(x[0], 12), x[1]))
+        out += [(i, r, j, -s) for r, (s, j) in enumerate(scored[:wanted], 1)]
+    return sorted(out)
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("row", F.lit("clash")).withColumn("score", F.lit(0))
+
+
+def clustered(count, dim, seed=1):
+    rng = np.random.default_rng(seed)
+    centres = rng.standard_normal((12, dim))
+    return [(i, (centres[rng.integers(12)] + rng.standard_normal(dim)).astype(np.float32).tolist()) for i in range(count)]
+
+
+def test_recall_and_order_over_several_blocks(spark):
+    rows = clustered(3000, 32)
+    got = ann.search(frame(spark, rows), ASKS, block_rows=700, query_batch=25).collect()
+    want = brute(rows, lambda i: i % 50 == 0)
+    found = {(r["query_id"], r["vec_id"]) for r in got}
+    assert len(found & {(q, v) for q, _, v, _ in want}) >= 0.95 * len(want)
+    exact = {(q, v): s for q, _, v, s in brute(rows, lambda i: i % 50 == 0, wanted=3000)}
+    by_query = {}
+    for r in got:
+        assert r["score"] == pytest.approx(exact[r["query_id"], r["vec_id"]], abs=1e-12)
+        by_query.setdefault(r["query_id"], []).append(r)
+    for own in by_query.values():
+        own.sort(key=lambda r: r["rank"])
+        assert [r["rank"] for r in own] == [1, 2, 3, 4, 5] and own == sorted(own, key=lambda r: (-r["score"], r["vec_id"]))
+
+
+def test_few_odd_and_tied_vectors_are_answered_exactly(spark):
+    rows = [
+        (0, [1.0, 0.0]), (1, [2.0, 0.0]), (2, [3.0, 0.0]), (3, [0.0, 1.0]), (4, [-1.0, 0.0]), (5, None), (6, [0.0, 0.0]), (7, [float("nan"), 1.0]),
+        (8, [None, 1.0]), (9, []), (10, [float("inf"), 1.0]), (11, [1.0, 2.0, 3.0]), (50, [1.0, 1.0]), (50, [1.0, 1.0]), (None, [1.0, 0.0]), (100, None), (150, [1.0, 2.0, 4.0]),
+    ]
+    got = sorted(tuple(r) for r in ann.search(frame(spark, rows), ASKS).collect())
+    want = brute(rows, lambda i: i % 50 == 0)
+    assert [g[:3] for g in got] == [w[:3] for w in want]
+    assert [g[3] for g in got] == pytest.approx([w[3] for w in want])
+
+
+def test_a_vector_that_many_rows_share(spark):
+    common = clustered(1, 16)[0][1]
+    rows = [(i, common if i % 3 == 0 else v) for i, v in clustered(900, 16, seed=2)]
+    got = {(r["query_id"], r["rank"]): r["vec_id"] for r in ann.search(frame(spark, rows), ASKS, block_rows=200).collect()}
+    assert [got[0, r] for r in range(1, 6)] == [3, 6, 9, 12, 15]
+    assert [got[150, r] for r in range(1, 6)] == [0, 3, 6, 9, 12]
+
+
+def test_empty_tables(spark):
+    df = frame(spark, [])
+    assert ann.search(df, ASKS).count() == 0
+    assert ann.search(frame(spark, [(1, [1.0])]), ASKS).count() == 0
+    assert ann.search(frame(spark, [(50, [1.0])]), ASKS).count() == 0
+
+
+def test_recall_on_the_given_vectors(spark):
+    sf_dir = "/root/testdata/sf0.01"
+    vectors = table(spark, sf_dir, "embeddings")
+    rows = [(r["vec_id"], list(r["embedding"])) for r in vectors.collect()]
+    want = {(q, v) for q, _, v, _ in brute(rows, lambda i: i % 50 == 0)}
+    got = {(r["query_id"], r["vec_id"]) for r in ann.search(vectors, ASKS).collect()}
+    assert len(got & want) >= 0.9 * len(want) > 0
