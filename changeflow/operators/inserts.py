@@ -1,6 +1,7 @@
 """Insert-if-absent on append-only tables, and the counters of a load."""
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -13,51 +14,49 @@ def first_per_key(df: DataFrame, key: str, order: Sequence[str | Column]) -> Dat
     return df.withColumn("_position", position).filter("_position = 1").drop("_position")
 
 
-def known_keys(existing: DataFrame, incoming: DataFrame, key: str, few: bool = False) -> DataFrame:
-    """The incoming keys that a long history already holds; only the history's key column is read.
-
-    ``few`` says that the caller has counted the incoming rows (see ``BROADCAST_KEYS``): their keys are broadcast
-    and the history is filtered where it lies. Otherwise both sides meet by key, without payloads.
-    """
-    wanted = incoming.select(key).distinct()
-    return existing.select(key).join(F.broadcast(wanted) if few else wanted, key, "left_semi")
-
-
-def insert_if_absent(
-    incoming: DataFrame, existing: DataFrame, key: str, order: Sequence[str | Column], few: bool = False
-) -> DataFrame:
+def insert_if_absent(incoming: DataFrame, existing: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     """The rows an append must write so that each key is stored once and the first writer wins.
 
-    The anti join needs no shuffle of its own: its left side is already partitioned by key, one row each.
+    Who wins is decided on keys and arrival alone, without payloads: the first arrival of each key, less the keys that
+    the history holds. Of the history only the key column is read, and cut down to the incoming keys first, which a
+    small load broadcasts of its own accord. The payload then moves once, to be joined with the winners; copies and
+    known keys never move with theirs. ``order`` must tell the rows of a key apart.
     """
-    return first_per_key(incoming, key, order).join(known_keys(existing, incoming, key, few), key, "left_anti")
+    first = first_per_key(incoming.select(key, *order), key, order)
+    known = existing.select(key).join(first.select(key), key, "left_semi")
+    return incoming.join(first.join(known, key, "left_anti"), [key, *order], "left_semi")
 
 
-def in_range(existing: DataFrame, key: str, low, high) -> DataFrame:
-    """The part of ``existing`` that can hold keys of the range: row groups outside it are skipped unread."""
-    return existing.filter(F.lit(False) if low is None else F.col(key).between(low, high))
+def in_ranges(existing: DataFrame, key: str, spans: Sequence[tuple]) -> DataFrame:
+    """The part of ``existing`` that can hold keys of the ranges: row groups outside them are skipped unread."""
+    tests = [F.col(key).between(low, high) for low, high in spans]
+    return existing.filter(reduce(lambda a, b: a | b, tests, F.lit(False)))
 
 
-def number_rows(df: DataFrame, id_column: str, first_id: int, order: Sequence[str]) -> DataFrame:
+def number_rows(df: DataFrame, id_column: str, first_id: int, order: Sequence[str], rows: int) -> DataFrame:
     """Ids that rise in arrival order, from ``first_id`` on, with gaps. Range partitioning keeps the order
-    without a single-task sort, and splits a hot window over several files."""
+    without a single-task sort, and splits a hot window over several files. ``rows`` bounds the number of rows: each
+    partition gets that many ids."""
     ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    return ranged.withColumn(id_column, F.lit(first_id) + F.monotonically_increasing_id())
+    # partition number above the lower 33 bits, place in the partition in them
+    place = F.monotonically_increasing_id()
+    partition, within = F.shiftrightunsigned(place, 33), place.bitwiseAND(F.lit((1 << 33) - 1))
+    return ranged.withColumn(id_column, F.lit(first_id) + partition * F.lit(rows).cast("long") + within)
 
 
-def id_span(df: DataFrame) -> int:
-    """How many ids ``number_rows`` may use up at most."""
+def id_span(df: DataFrame, rows: int) -> int:
+    """How many ids ``number_rows`` may use up at most for so many rows."""
     conf = df.sparkSession.conf
     partitions = max(
         int(conf.get("spark.sql.shuffle.partitions")),
         int(conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) or 0),
     )
-    return partitions << 33
+    return partitions * max(rows, 1)
 
 
-def constraint_violations(raw: DataFrame, id_column: str = "_raw_id") -> DataFrame:
-    """Rows a raw table must refuse: a missing payload, window bound or load time, or an empty window."""
-    broken = F.array_compact(
+def broken_constraints() -> Column:
+    """Names of the constraints that a raw row breaks: a missing payload, window bound or load time, an empty window."""
+    return F.array_compact(
         F.array(
             *[
                 F.when(F.col(c).isNull(), F.lit(f"{c} not null"))
@@ -66,7 +65,11 @@ def constraint_violations(raw: DataFrame, id_column: str = "_raw_id") -> DataFra
             F.when(F.col("_window_start") >= F.col("_window_end"), F.lit("window order")),
         )
     )
-    return raw.select(id_column, F.explode(broken).alias("constraint"))
+
+
+def constraint_violations(raw: DataFrame, id_column: str = "_raw_id") -> DataFrame:
+    """Rows that a raw table must refuse, and refuses when they are appended."""
+    return raw.select(id_column, F.explode(broken_constraints()).alias("constraint"))
 
 
 def load_stats(

@@ -120,7 +120,7 @@ def staging_mart_reconciliation(staged: DataFrame, mart: DataFrame, null_safe_ke
     return reconcile(event_counts(staged), actual, GRAIN, "expected_count", "actual_count", null_safe_keys)
 
 
-def quality_report(raw: DataFrame, staged: DataFrame, mart: DataFrame) -> DataFrame:
+def quality_report(raw: DataFrame, staged: DataFrame, mart: DataFrame, raw_required: Sequence[str] = RAW_REQUIRED) -> DataFrame:
     """All seventeen checks: name, relation, number of violations, passed.
 
     Row-level checks share one aggregate per relation, whatever their number; only the grouped ones (unique
@@ -143,7 +143,7 @@ def quality_report(raw: DataFrame, staged: DataFrame, mart: DataFrame) -> DataFr
 
     bad_type = F.when(~F.col("change_type").isin(CHANGE_TYPES), F.col("change_type"))
     parts = [
-        one_pass("raw", raw, nulls(RAW_REQUIRED)),
+        one_pass("raw", raw, nulls(raw_required)),
         one_pass(
             "staging",
             staged,

@@ -77,6 +77,6 @@ def staging(raw: DataFrame) -> DataFrame:
 
 
 def staging_of_unique(raw: DataFrame) -> DataFrame:
-    """The same rows without a shuffle, for a raw table that holds every key once and has no row without a
-    typed key: there is nothing to deduplicate then."""
-    return type_records(raw).select(STAGING.fieldNames())
+    """Typed rows without a shuffle, with ``_raw_id``, for a raw table that holds every key once: there is nothing to
+    deduplicate then but the rows without a typed key."""
+    return type_records(raw).select(*STAGING.fieldNames(), "_raw_id")

@@ -34,6 +34,12 @@ def windows_between(spark: SparkSession, first: date, last: date) -> DataFrame:
     )
 
 
+def daily_windows(spark: SparkSession, days: list[date]) -> DataFrame:
+    """The daily windows of the given dates."""
+    starts = spark.createDataFrame([(d,) for d in days], "day date").select(F.col("day").cast("timestamp").alias("_window_start"))
+    return starts.withColumn("_window_end", F.col("_window_start") + F.expr("interval 1 day"))
+
+
 def covering_windows(events: DataFrame, time: str) -> DataFrame:
     """The daily windows from the first to the last event."""
     span = events.agg(F.min(F.to_date(time)).alias("first"), F.max(F.to_date(time)).alias("last"))

@@ -1,26 +1,29 @@
 """The jobs of a warehouse: load landed pages, refresh staging and mart, check, or all in that order."""
 
+import uuid
 from datetime import date, datetime, timedelta, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changeflow.operators.audits import backfill_coverage
-from changeflow.operators.gates import admit, incomplete_windows, page_errors
-from changeflow.operators.inserts import id_span, in_range, insert_if_absent, load_stats, number_rows, total_stats
-from changeflow.operators.quality import quality_report, require_quality
+from changeflow.operators.gates import admit, good_pages, page_errors, violations
+from changeflow.operators.inserts import id_span, in_ranges, insert_if_absent, load_stats, number_rows, total_stats
+from changeflow.operators.quality import RAW_REQUIRED, quality_report, require_quality
 from changeflow.operators.reports import peek
 from changeflow.operators.rollup import GRAIN, daily_rollup
-from changeflow.operators.staging import staging, staging_of_unique
+from changeflow.operators.staging import staging_of_unique
 from changeflow.operators.validation import ERROR, OK, classify, error_rows, valid_records
-from changeflow.operators.windows import guard_windows, normalize_windows, windows_between
-from changeflow.schemas import BROADCAST_KEYS, MAX_PAGES, RETENTION_DAYS
-from changeflow.session import configure, materialize
-from changeflow.sources.landing import only_records, page_headers, page_records, parse_pages, read_lines
+from changeflow.operators.windows import daily_windows, guard_windows, normalize_windows, windows_between
+from changeflow.schemas import MAX_PAGES, RETENTION_DAYS
+from changeflow.session import configure, discard, materialize
+from changeflow.sources.landing import newest_landings, only_records, page_headers, page_records, parse_pages, read_lines
 from changeflow.sources.tables import Warehouse
 
 PAGE = ["_window_start", "_window_end", "page_no"]
-ARRIVAL = [*PAGE, "pos"]
+# the row number keeps two equal landings of one page apart
+ARRIVAL = [*PAGE, "pos", "row"]
 
 
 class SourceError(RuntimeError):
@@ -42,14 +45,29 @@ def days_between(first: date, last: date) -> list[date]:
     return [first + timedelta(days=n) for n in range((last - first).days + 1)]
 
 
-def days_of_keys(loads: DataFrame, low: int | None, high: int | None) -> list[date]:
-    """Event dates that can hold keys of a range, told by the earlier loads: at most one value per calendar day."""
-    overlapping = loads.filter((F.col("low_key") <= F.lit(high)) & (F.col("high_key") >= F.lit(low)))
-    days = overlapping.select(F.explode(F.sequence("first_day", "last_day")).alias("day")).distinct()
-    return sorted(r["day"] for r in days.collect())
+def days_of_keys(loads: DataFrame, spans: list[tuple[int, int]]) -> list[date]:
+    """Event dates that can hold keys of the ranges, told by the earlier loads: at most one value per calendar day."""
+    if not spans:
+        return []
+    overlaps = [(F.col("low_key") <= F.lit(high)) & (F.col("high_key") >= F.lit(low)) for low, high in joined_spans(spans)]
+    found = loads.filter(F.col("event_date").isNotNull() & reduce(lambda x, y: x | y, overlaps))
+    return sorted(r["event_date"] for r in found.select("event_date").distinct().collect())
 
 
-def load_judged(warehouse: Warehouse, judged: DataFrame, pages: DataFrame, ingested_at: datetime) -> DataFrame:
+def joined_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The same ranges, overlapping ones as one."""
+    out: list[tuple[int, int]] = []
+    for low, high in sorted(spans):
+        if out and low <= out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], high))
+        else:
+            out.append((low, high))
+    return out
+
+
+def load_judged(
+    warehouse: Warehouse, judged: DataFrame, pages: DataFrame, ingested_at: datetime, load_id: str | None = None
+) -> DataFrame:
     """Append new valid records to raw and new errors to quarantine; returns the stats per page.
 
     ``judged`` must be stored (it is read several times). Running the same load again adds nothing. What is read
@@ -62,48 +80,44 @@ def load_judged(warehouse: Warehouse, judged: DataFrame, pages: DataFrame, inges
     ).first()
     if covered["first_day"] is None:
         return warehouse.load_stats([])
+    load_id = load_id or uuid.uuid4().hex
     event_days = days_between(covered["first_day"], covered["last_day"])
     window_days = days_between(covered["first_day"], covered["last_window_day"])
-    valid_key = F.when(F.col("status") == OK, F.col("_key"))
-    span = judged.agg(
-        F.count_if(F.col("status") == OK).alias("valid"),
-        F.count_if(F.col("status") == ERROR).alias("bad"),
-        F.min(valid_key).alias("low_key"),
-        F.max(valid_key).alias("high_key"),
-    ).first()
+    counted = judged.agg(F.count_if(F.col("status") == OK).alias("valid"), F.count_if(F.col("status") == ERROR).alias("bad")).first()
+    by_day = (
+        valid_records(judged)
+        .groupBy(F.to_date("event_time").alias("event_date"))
+        .agg(F.min("_key").alias("low_key"), F.max("_key").alias("high_key"))
+    )
+    days = by_day.collect()  # one row per event date of the load
+    spans = [(r["low_key"], r["high_key"]) for r in days]
     loads = warehouse.loads()
     first_id = loads.agg(F.coalesce(F.max("next_id"), F.lit(1)).alias("next_id")).first()["next_id"]
-    known_days = days_of_keys(loads, span["low_key"], span["high_key"])
+    known_days = days_of_keys(loads, spans)
     # recorded before any row is stored: a load that dies half-way leaves a gap in the ids and no repeated id,
     # and its rows are found by the next one
-    warehouse.append_load(
-        first_id=first_id,
-        next_id=first_id + id_span(judged),
-        low_key=span["low_key"],
-        high_key=span["high_key"],
-        first_day=event_days[0],
-        last_day=event_days[-1],
-        _ingested_at=ingested_at,
-    )
-    stamp = F.lit(ingested_at)
-
-    if span["valid"]:
-        known = in_range(warehouse.raw(known_days), "_key", span["low_key"], span["high_key"])
-        new = insert_if_absent(valid_records(judged), known, "_key", ARRIVAL, span["valid"] <= BROADCAST_KEYS)
-        new = number_rows(new, "_raw_id", first_id, ARRIVAL)
-        warehouse.append_raw(new.withColumns({"_ingested_at": stamp, "_event_date": F.to_date("event_time")}))
-    if span["bad"]:
+    most = max(counted["valid"], counted["bad"])
+    ids = (first_id, first_id + id_span(judged, most))
+    rows = [(*ids, r["low_key"], r["high_key"], r["event_date"]) for r in days] + [(*ids, None, None, None)]
+    ledger = warehouse.spark.createDataFrame(rows, "first_id long, next_id long, low_key long, high_key long, event_date date")
+    warehouse.append_load(ledger.withColumns({"_ingested_at": F.lit(ingested_at), "_load_id": F.lit(load_id)}))
+    marks = {"_ingested_at": F.lit(ingested_at), "_load_id": F.lit(load_id)}
+
+    if counted["valid"]:
+        known = in_ranges(warehouse.raw(known_days), "_key", joined_spans(spans))
+        new = insert_if_absent(valid_records(judged), known, "_key", ARRIVAL)
+        new = number_rows(new, "_raw_id", first_id, ARRIVAL, most)
+        warehouse.append_raw(new.withColumns({**marks, "_event_date": F.to_date("event_time")}))
+    if counted["bad"]:
         # a fingerprint covers the window, so only errors of the same windows can be the same
-        known_bad, few = warehouse.errors(window_days), span["bad"] <= BROADCAST_KEYS
-        new_bad = insert_if_absent(error_rows(judged), known_bad, "_error_fingerprint", ARRIVAL, few)
-        new_bad = number_rows(new_bad, "_error_id", first_id, ARRIVAL)
-        warehouse.append_errors(new_bad.withColumn("_ingested_at", stamp))
+        new_bad = insert_if_absent(error_rows(judged), warehouse.errors(window_days), "_error_fingerprint", ARRIVAL)
+        new_bad = number_rows(new_bad, "_error_id", first_id, ARRIVAL, most)
+        warehouse.append_errors(new_bad.withColumns(marks))
 
-    # what this load stored is told by its load time
-    mine = F.col("_ingested_at") == stamp
+    mine = F.col("_load_id") == load_id
     stored, stored_bad = warehouse.raw(event_days).filter(mine), warehouse.errors(window_days).filter(mine)
     stats = load_stats(judged, stored, stored_bad, PAGE, pages)
-    warehouse.append_load_stats(stats.withColumn("_ingested_at", stamp))
+    warehouse.append_load_stats(stats.withColumns(marks))
     return warehouse.load_stats(window_days).filter(mine)
 
 
@@ -113,31 +127,51 @@ def load_pages(
     max_pages: int = MAX_PAGES,
     ingested_at: datetime | None = None,
     complete: bool = True,
+    asked: DataFrame | None = None,
 ) -> DataFrame:
-    """Load landed lines. Good pages before a window's first bad one stay committed, then the load fails.
+    """Load landed lines. Of a page that landed more than once the newest landing counts.
+
+    ``complete`` lines hold whole windows: good pages before a window's first bad one are committed, all others that
+    landed too, and then anything wrong (a bad page, a gap, more pages than ``max_pages``, a window that says more
+    follow, an ``asked`` window that did not land) fails the load. Otherwise, as in a micro-batch, every good page is
+    committed, bad ones go to ``bad_pages``, and the load goes on.
 
-    ``complete`` also demands that the lines hold every window's last page (a micro-batch may hold any part).
     Pages and records are parsed once; the judged records, with their pages' headers, are stored in the shared
-    folder, and every later step reads the columns it needs from there, also after an executor is lost.
+    folder, and every later step reads the columns it needs from there, also after an executor is lost. The folder is
+    cleared when the load is done.
     """
-    parsed = normalize_windows(parse_pages(lines))
-    rows = materialize(classify(page_records(parsed)), "judged", warehouse.spark)
-    pages = materialize(page_headers(rows), "pages")
-    check_windows(pages, retention_days=None)
-    bad = page_errors(pages).first()
-    cut = incomplete_windows(pages, max_pages).first() if complete else None
-
-    if bad is None:
-        admitted = [df.filter(F.col("page_no") <= max_pages) for df in (rows, pages)]
-    else:
-        admitted = [admit(df, pages, max_pages) for df in (rows, pages)]
-    stats = load_judged(warehouse, only_records(admitted[0]), admitted[1], ingested_at or datetime.now(timezone.utc))
-
-    if bad is not None:
-        raise SourceError(f"{bad['reason']} in window {bad['_window_start']}, page {bad['page_no']}: {bad['detail']}")
-    if cut is not None:
-        raise SourceError(f"window {cut['_window_start']} may be incomplete after page {cut['last_page']}")
-    return stats
+    scratch: list[str] = []
+    try:
+        parsed = normalize_windows(parse_pages(lines))
+        judged = classify(page_records(parsed)).withColumn("row", F.monotonically_increasing_id())
+        rows = materialize(judged, "judged", warehouse.spark, scratch)
+        headers = materialize(page_headers(rows), "pages", warehouse.spark, scratch)
+        pages, rows = newest_landings(headers, headers), newest_landings(rows, headers)
+        check_windows(pages, retention_days=None)
+        stamp, load_id = ingested_at or datetime.now(timezone.utc), uuid.uuid4().hex
+
+        admitted = [admit(df, pages) if complete else good_pages(df) for df in (rows, pages)]
+        stats = load_judged(warehouse, only_records(admitted[0]), admitted[1], stamp, load_id)
+        if complete:
+            wrong = violations(pages, max_pages, asked).orderBy("_window_start", "page_no", "reason").first()
+            if wrong is not None:
+                raise SourceError(
+                    f"{wrong['reason']} in window {wrong['_window_start']}, page {wrong['page_no']}: {wrong['detail']}"
+                )
+        else:
+            bad = page_errors(pages).withColumns({"_ingested_at": F.lit(stamp), "_load_id": F.lit(load_id)})
+            if bad.first() is not None:
+                warehouse.append_bad_pages(bad)
+        return stats
+    finally:
+        discard(warehouse.spark, scratch)
+
+
+def open_bad_pages(warehouse: Warehouse) -> DataFrame:
+    """Bad pages that no later load has taken; lines that have lost their window or page stay open."""
+    taken = warehouse.load_stats().groupBy(*PAGE).agg(F.max("_ingested_at").alias("taken_at"))
+    later = warehouse.bad_pages().join(taken, PAGE, "left")
+    return later.filter(F.col("taken_at").isNull() | (F.col("taken_at") <= F.col("_ingested_at"))).drop("taken_at", "_load_id")
 
 
 def loaded_days(stats: DataFrame) -> list[date]:
@@ -155,24 +189,39 @@ def refresh(warehouse: Warehouse, days: list[date] | None = None) -> None:
     """Rebuild the stored staging copy and the mart: wholly, or only the given event dates.
 
     Raw holds every key once and an event's date never changes, so staging needs no deduplication and a date
-    depends on its own raw folder alone. The exception is rows without a typed key, of which only the newest
-    one of the whole table survives: should any turn up, everything is rebuilt with deduplication.
+    depends on its own raw folder alone. Rows without a typed key, of which only the newest one of the whole table
+    survives, are kept in a side table; if the survivor moves, the mart of the date it leaves is rebuilt as well.
     """
     if days is not None and not days:
         return
     whole = days is None
+    before = _survivor_days(warehouse)
     warehouse.replace_staging(staging_of_unique(warehouse.raw(days)), whole)
-    stored = warehouse.staging(days)
-    if stored.filter(F.col("change_id").isNull()).select("change_id").first() is not None:
-        whole = True
-        warehouse.replace_staging(staging(warehouse.raw()), whole, clustered=False)
-        stored = warehouse.staging()
-    warehouse.replace_mart(daily_rollup(stored), whole)
+    warehouse.replace_untyped(days, whole)
+    touched = None if whole else sorted({*days, *(before ^ _survivor_days(warehouse))})
+    rolled = daily_rollup(warehouse.staging(touched))
+    warehouse.replace_mart(rolled, whole)
+    if not whole:
+        # a date that held nothing but the old survivor has no row to be overwritten by
+        warehouse.drop_mart_days(before - {r["activity_date"] for r in warehouse.staging(sorted(before)).select("activity_date").distinct().collect()})
+
+
+def _survivor_days(warehouse: Warehouse) -> set[date]:
+    return {r["activity_date"] for r in warehouse.untyped_survivor().select("activity_date").collect() if r["activity_date"]}
 
 
-def check(warehouse: Warehouse, strict: bool = True) -> DataFrame:
-    """The quality report over the stored tables; in strict mode a violation fails the run."""
-    report = materialize(quality_report(warehouse.raw(), warehouse.staging(), warehouse.mart()), "quality")
+def check(warehouse: Warehouse, strict: bool = True, days: list[date] | None = None) -> DataFrame:
+    """The quality report over the stored tables, or over the given event dates of them; in strict mode a violation
+    fails the run.
+
+    With dates no payload is read: that none is missing is enforced when raw is appended to, as is that no key is
+    stored twice, so it is enough to look for repeated keys within the dates.
+    """
+    raw = warehouse.raw(days)
+    report = quality_report(
+        raw, warehouse.staging(days), warehouse.mart(days), RAW_REQUIRED if days is None else [c for c in RAW_REQUIRED if c != "_raw"]
+    )
+    report = materialize(report, "quality")
     if strict:
         require_quality(report)
     return report
@@ -189,12 +238,15 @@ def run(
 ) -> DataFrame:
     """Load, transform, check; a failing step stops the later ones. Returns the load's counters per window.
 
-    ``window_dates`` selects the landed folders: one date is a daily run, many are a backfill in one pass.
+    ``window_dates`` selects the landed folders: one date is a daily run, many are a backfill in one pass. A date
+    whose window did not land fails the run, after the others are committed.
     """
     warehouse = Warehouse(configure(spark), root)
-    stats = load_pages(warehouse, read_lines(spark, landing, window_dates), max_pages)
-    refresh(warehouse, None if full_refresh else loaded_days(stats))
-    check(warehouse, strict)
+    asked = None if window_dates is None else daily_windows(spark, window_dates)
+    stats = load_pages(warehouse, read_lines(spark, landing, window_dates), max_pages, asked=asked)
+    days = None if full_refresh else loaded_days(stats)
+    refresh(warehouse, days)
+    check(warehouse, strict, days)
     return total_stats(stats, ["_window_start"])
 
 

@@ -1,6 +1,23 @@
 """The same results in plain SQL over the given tables, one statement per query of the registry."""
 
-from changeflow.schemas import CHANGE_TYPES, NAMESPACE_LABELS
+# Fixed values, written out here again so that a slip in the code's own lists shows.
+CHANGE_TYPES = ["edit", "new", "log", "categorize", "external"]
+NAMESPACE_LABELS = {
+    0: "Bài viết",
+    1: "Thảo luận",
+    2: "Thành viên",
+    3: "Thảo luận thành viên",
+    4: "Wikipedia",
+    5: "Thảo luận Wikipedia",
+    6: "Tập tin",
+    7: "Thảo luận tập tin",
+    10: "Bản mẫu",
+    11: "Thảo luận bản mẫu",
+    12: "Trợ giúp",
+    13: "Thảo luận trợ giúp",
+    14: "Thể loại",
+    15: "Thảo luận thể loại",
+}
 
 _FEED = """
 base as (
@@ -160,6 +177,28 @@ pages as (
     from sized
 )"""
 
+_DISTURBED = _PAGES + """,
+copies as (
+    select _window_start, _window_end, page_no, has_error, has_more, _window_end as fetched_at from pages
+    union all
+    select p._window_start, p._window_end, p.page_no, false, p.page_no < l.last_page, p._window_end + interval 1 hour
+    from pages p join (select distinct _window_start, last_page from sized) l using (_window_start)
+    where p.has_error and day(p._window_start) % 2 = 0
+    union all
+    select _window_start, _window_end, page_no, true, false, _window_start from pages where day(_window_start) % 8 = 3
+),
+newest as (
+    select * from copies where (day(_window_start) * 3 + page_no) % 13 <> 0 and day(_window_start) % 10 <> 5
+    qualify row_number() over (partition by _window_start, page_no order by fetched_at desc) = 1
+),
+gaps as (
+    select _window_start, page_no, lag(page_no, 1, 0) over (partition by _window_start order by page_no) as before from newest
+),
+asked_days as (
+    select unnest(generate_series(min(cast(ts as date)), max(cast(ts as date)), interval 1 day)) as _window_start from events
+),
+broken as (select distinct day(_window_start) as d from feed where day(_window_start) % 9 = 0)"""
+
 _STATS = (
     _JUDGED
     + """,
@@ -300,6 +339,34 @@ ORACLES: dict[str, str] = {
         """select _window_start, _window_end, max(page_no) as last_page from pages
         group by all having arg_max(has_more, page_no)""",
     ),
+    "refetched_pages": _q(_DISTURBED, "select _window_start, page_no, cast(fetched_at as timestamp) as fetched_at, has_error from newest"),
+    "page_gaps": _q(
+        _DISTURBED,
+        """select _window_start, before + 1 as first_missing, page_no - 1 as last_missing from gaps where page_no - before > 1""",
+    ),
+    "missing_windows": _q(
+        _DISTURBED,
+        "select cast(_window_start as timestamp) as _window_start from asked_days where _window_start not in (select _window_start from newest)",
+    ),
+    "landing_violations": _q(
+        _DISTURBED,
+        """select * from (
+            select 'source_error' as reason, count(*) as violations from newest where has_error
+            union all select 'unreadable_page', count(*) from broken
+            union all select 'page_gap', count(*) from gaps where page_no - before > 1
+            union all select 'page_limit', count(distinct _window_start) from newest where page_no > 1
+            union all select 'incomplete_window', count(*) from
+                (select _window_start from newest group by all having arg_max(has_more, page_no))
+            union all select 'missing_window', count(*) from asked_days
+                where _window_start not in (select _window_start from newest)
+        ) where violations > 0""",
+    ),
+    "stream_bad_pages": _q(
+        _DISTURBED,
+        """select _window_start, page_no, 'source_error' as reason, '{"code":"busy","page":' || page_no || '}' as detail
+        from newest where has_error
+        union all select null, null, 'unreadable_page', '{broken ' || d from broken""",
+    ),
     "admitted_records": _q(
         _PAGES,
         """select s._window_start, s.page_no, s.pos, s._raw from sized s

@@ -125,6 +125,39 @@ def admitted_records(spark, sf_dir):
     return landing.only_records(admitted).select("_window_start", "page_no", "pos", "_raw")
 
 
+def _disturbed_headers(spark, sf_dir):
+    """Headers of the newest landings of a bad run."""
+    lines = fixture.disturbed_lines(feed(spark, sf_dir))
+    headers = landing.page_headers(materialize(landing.page_records(landing.parse_pages(lines)), "rows"))
+    return landing.newest_landings(headers, headers)
+
+
+@query
+def refetched_pages(spark, sf_dir):
+    """Pages as they count when those fetched again replace their error copies, and stale error copies do not."""
+    counted = _disturbed_headers(spark, sf_dir).filter("readable")
+    return counted.select("_window_start", "page_no", "fetched_at", "has_error")
+
+
+@query
+def page_gaps(spark, sf_dir):
+    return gates.page_gaps(_disturbed_headers(spark, sf_dir)).select("_window_start", "first_missing", "last_missing")
+
+
+@query
+def missing_windows(spark, sf_dir):
+    asked = windows.covering_windows(fixture.table(spark, sf_dir, "events"), "ts")
+    return gates.missing_windows(asked, _disturbed_headers(spark, sf_dir)).select("_window_start")
+
+
+@query
+def landing_violations(spark, sf_dir):
+    """Everything wrong with the bad run, with a limit of one page per window."""
+    asked = windows.covering_windows(fixture.table(spark, sf_dir, "events"), "ts")
+    found = gates.violations(_disturbed_headers(spark, sf_dir), 1, asked)
+    return found.groupBy("reason").agg(F.count("*").alias("violations"))
+
+
 def _asked_windows(spark, sf_dir):
     """The feed's windows, some of them with equal or swapped bounds."""
     day = F.dayofmonth("_window_start")
@@ -591,6 +624,17 @@ def stream_dedup(spark, sf_dir):
     return spark.read.schema(unique.schema).parquet(f"{root}/out")
 
 
+@query
+def stream_bad_pages(spark, sf_dir):
+    """A bad run streamed in: what went to ``bad_pages``; the load went on past them."""
+    root = shared_dir(spark, "bad")
+    fixture.disturbed_lines(feed(spark, sf_dir)).withColumn("window_date", F.lit(date(2024, 1, 1))).write.partitionBy(
+        "window_date"
+    ).text(f"{root}/landing")
+    ingest.run_available(spark, f"{root}/landing", f"{root}/warehouse", f"{root}/checkpoint")
+    return Warehouse(spark, f"{root}/warehouse").bad_pages().select("_window_start", "page_no", "reason", "detail")
+
+
 @query
 def stream_daily_counts(spark, sf_dir):
     root = shared_dir(spark, "counts")

@@ -15,6 +15,7 @@ RAW = T.StructType(
         T.StructField("_ingested_at", T.TimestampType()),
         T.StructField("_key", T.LongType()),
         T.StructField("page_no", T.LongType()),
+        T.StructField("_load_id", T.StringType()),
         T.StructField("_event_date", T.DateType()),
     ]
 )
@@ -30,6 +31,7 @@ ERRORS = T.StructType(
         T.StructField("_window_end", T.TimestampType()),
         T.StructField("_ingested_at", T.TimestampType()),
         T.StructField("page_no", T.LongType()),
+        T.StructField("_load_id", T.StringType()),
         T.StructField("_window_date", T.DateType()),
     ]
 )
@@ -96,27 +98,42 @@ LOAD_STATS = T.StructType(
         T.StructField("outside_window", T.LongType()),
         T.StructField("pages", T.LongType()),
         T.StructField("_ingested_at", T.TimestampType()),
+        T.StructField("_load_id", T.StringType()),
         T.StructField("_window_date", T.DateType()),
     ]
 )
 
-# One row per load, written before its rows: the first row id handed out and the first one still free (a sequence
-# with gaps), the range of its valid keys, and the range of event dates its windows cover.
+# Pages that a load could not take: with an error, or no page at all. A later landing of the page settles it.
+BAD_PAGES = T.StructType(
+    [
+        T.StructField("_window_start", T.TimestampType()),
+        T.StructField("_window_end", T.TimestampType()),
+        T.StructField("page_no", T.LongType()),
+        T.StructField("reason", T.StringType()),
+        T.StructField("detail", T.StringType()),
+        T.StructField("_ingested_at", T.TimestampType()),
+        T.StructField("_load_id", T.StringType()),
+    ]
+)
+
+# Rows written before a load's own: one per event date with the range of its valid keys (so that an odd key widens
+# its own date alone), and one without a date; each holds the first row id handed out and the first one still free
+# (a sequence with gaps).
 LOADS = T.StructType(
     [
         T.StructField("first_id", T.LongType()),
         T.StructField("next_id", T.LongType()),
         T.StructField("low_key", T.LongType()),
         T.StructField("high_key", T.LongType()),
-        T.StructField("first_day", T.DateType()),
-        T.StructField("last_day", T.DateType()),
+        T.StructField("event_date", T.DateType()),
         T.StructField("_ingested_at", T.TimestampType()),
+        T.StructField("_load_id", T.StringType()),
     ]
 )
 
-# A landed line: one source page with the window and page number it was fetched for.
+# A landed line: one source page with the window and page number it was fetched for, and perhaps when.
 LANDED_LINE = (
-    "window_start string, window_end string, page bigint, "
+    "window_start string, window_end string, page bigint, fetched_at string, "
     "body struct<query: struct<recentchanges: array<string>>, `continue`: variant, error: variant>, "
     "_unreadable string"
 )
@@ -147,6 +164,3 @@ MESSAGE_LIMIT = 2000
 RETENTION_DAYS = 30
 MAX_PAGES = 5000
 TOP_NAMESPACES = 10
-
-# Most rows whose keys a load may broadcast: 64-character fingerprints make about 50 MB.
-BROADCAST_KEYS = 500_000

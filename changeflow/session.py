@@ -26,9 +26,24 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, purpose: str, spark: SparkSession | None = None) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: lineage is cut, columns stay prunable."""
+def materialize(
+    df: DataFrame, purpose: str, spark: SparkSession | None = None, scratch: list[str] | None = None
+) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: lineage is cut, columns stay prunable.
+
+    The folder's path is added to ``scratch``, for ``discard`` when nothing reads it any more.
+    """
     spark = spark or df.sparkSession
     path = shared_dir(spark, purpose)
     df.write.parquet(path)
+    if scratch is not None:
+        scratch.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(spark: SparkSession, scratch: list[str]) -> None:
+    """Delete stored intermediate tables that this package wrote."""
+    for text in scratch:
+        path = spark._jvm.org.apache.hadoop.fs.Path(text)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    scratch.clear()

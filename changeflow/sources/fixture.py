@@ -7,6 +7,8 @@ rows to work on; they decide which defect a delivery carries. FIXTURES.md lists
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from changeflow.sources import landing
+
 REPLAY_OFFSET = 10_000_000
 PAGE_SIZE = 500
 
@@ -133,6 +135,21 @@ def pages(feed: DataFrame, faults: bool = True) -> DataFrame:
     )
 
 
+def disturbed_lines(feed: DataFrame) -> DataFrame:
+    """Landed lines of a bad run, by day of the month and page number: pages and whole windows that did not land, pages
+    with an error of which some were fetched again an hour later, good pages of which an older error copy exists, and
+    lines that are no page."""
+    day, n = F.dayofmonth("_window_start"), F.col("page_no")
+    fetched = pages(feed).withColumn("fetched_at", F.col("_window_end"))
+    clean = pages(feed, faults=False)
+    again = clean.filter(((day + n) % 11 == 0) & (day % 2 == 0)).withColumn("fetched_at", F.col("_window_end") + F.expr("interval 1 hour"))
+    body = F.lit('{"error":{"code":"late"}}')
+    stale = clean.filter(day % 8 == 3).withColumn("body", body).withColumn("fetched_at", F.col("_window_start"))
+    landed = fetched.unionByName(again).unionByName(stale).filter(((day * 3 + n) % 13 != 0) & (day % 10 != 5))
+    broken = feed.select("_window_start").distinct().filter(day % 9 == 0).select(F.concat(F.lit("{broken "), day).alias("value"))
+    return landed.select(landing.landed_line(F.col("body"), F.col("fetched_at")).alias("value")).unionByName(broken)
+
+
 def damaged_raw(raw: DataFrame) -> DataFrame:
     """Raw rows of which some break a constraint, by row id."""
     n = F.col("_raw_id")

@@ -1,7 +1,8 @@
 """Landed source pages: JSON lines, one page per line, below ``window_date=`` folders.
 
-A line is ``{"window_start": iso, "window_end": iso, "page": n, "body": {page as the source sent it}}``; the
-body holds ``query.recentchanges[]`` and perhaps ``continue`` or ``error``. The fetching client is not part of
+A line is ``{"window_start": iso, "window_end": iso, "page": n, "fetched_at": iso, "body": {page as the source sent
+it}}``; the body holds ``query.recentchanges[]`` and perhaps ``continue`` or ``error``. A page may land again: its newest
+landing by ``fetched_at`` counts (a line without that time is older than any with it). The fetching client is not part of
 this package: whatever lands such lines is the source.
 """
 
@@ -43,7 +44,9 @@ def stream_lines(spark: SparkSession, path: str, **options: str) -> DataFrame:
     return spark.readStream.options(**options).schema("value string, window_date date").text(path)
 
 
-PAGE_HEADER = ["_window_start", "_window_end", "page_no", "readable", "has_error", "error_json", "has_more", "bad_line"]
+PAGE = ["_window_start", "_window_end", "page_no"]
+GATE = ["fetched_at", "readable", "has_error", "error_json", "has_more", "bad_line"]
+PAGE_HEADER = [*PAGE, *GATE]
 
 
 def parse_pages(lines: DataFrame, column: str = "value") -> DataFrame:
@@ -62,6 +65,7 @@ def parse_pages(lines: DataFrame, column: str = "value") -> DataFrame:
         start.alias("_window_start"),
         end.alias("_window_end"),
         F.col("page").alias("page_no"),
+        zoned_timestamp(F.col("fetched_at")).alias("fetched_at"),
         readable.alias("readable"),
         has_key(F.col("body.error")).alias("has_error"),
         F.to_json(F.col("body.error")).alias("error_json"),
@@ -83,22 +87,44 @@ def page_records(pages: DataFrame) -> DataFrame:
 
 def only_records(rows: DataFrame) -> DataFrame:
     """Without the rows that stand for pages without records, and without the page headers' gate columns."""
-    return rows.filter(F.col("pos").isNotNull()).drop("readable", "has_error", "error_json", "has_more", "bad_line")
+    return rows.filter(F.col("pos").isNotNull()).drop(*GATE)
 
 
 def page_headers(rows: DataFrame) -> DataFrame:
-    """The pages' headers again, one row per page, from rows made by ``page_records``."""
-    return rows.filter("readable").groupBy("_window_start", "_window_end", "page_no").agg(
+    """The pages' headers again, one row per landing of a page, from rows made by ``page_records``."""
+    return rows.filter("readable").groupBy(*PAGE, "fetched_at", "has_error").agg(
         F.lit(True).alias("readable"),
-        F.bool_or("has_error").alias("has_error"),
         F.max("error_json").alias("error_json"),
         F.bool_or("has_more").alias("has_more"),
         F.lit(None).cast("string").alias("bad_line"),
     ).unionByName(rows.filter("not readable").select(PAGE_HEADER))
 
 
-def landed_line(body: Column) -> Column:
-    """A landing line from a page body and its window and page number columns."""
+def _landing() -> Column:
+    """Orders the landings of a page: by time, and of equal times a good one after a bad one."""
+    good = F.col("readable") & ~F.col("has_error")
+    return F.struct(F.coalesce("fetched_at", F.lit(0).cast("timestamp")).alias("at"), F.coalesce(good, F.lit(False)).alias("good"))
+
+
+def newest_landings(rows: DataFrame, headers: DataFrame) -> DataFrame:
+    """``rows`` (or headers) without those of landings that a later one of the same page supersedes.
+
+    Only pages that landed more than once are joined, which are few; the rows themselves need no shuffle for it.
+    """
+    again = (
+        headers.groupBy(*[F.col(c).alias(f"_{c}") for c in PAGE])
+        .agg(F.max(_landing()).alias("_newest"), F.min(_landing()).alias("_oldest"))
+        .filter("_newest <> _oldest")
+        .drop("_oldest")
+    )
+    same = reduce(lambda a, b: a & b, [F.col(c) == F.col(f"_{c}") for c in PAGE])
+    kept = rows.join(again, same, "left").filter(F.col("_newest").isNull() | (_landing() == F.col("_newest")))
+    return kept.select(rows.columns)
+
+
+def landed_line(body: Column, fetched_at: Column | None = None) -> Column:
+    """A landing line from a page body and its window and page number columns, and perhaps the time of the fetch."""
+    stamp = [F.lit(',"fetched_at":"'), iso_utc(fetched_at), F.lit('"')] if fetched_at is not None else []
     return F.concat(
         F.lit('{"window_start":"'),
         iso_utc(F.col("_window_start")),
@@ -106,6 +132,7 @@ def landed_line(body: Column) -> Column:
         iso_utc(F.col("_window_end")),
         F.lit('","page":'),
         F.col("page_no"),
+        *stamp,
         F.lit(',"body":'),
         body,
         F.lit("}"),
@@ -113,9 +140,10 @@ def landed_line(body: Column) -> Column:
 
 
 def write_pages(pages: DataFrame, path: str) -> None:
-    """Land pages (``_window_start, _window_end, page_no, body``), adding to what is there."""
+    """Land pages (``_window_start, _window_end, page_no, body``, perhaps ``fetched_at``), adding to what is there."""
+    stamp = F.col("fetched_at") if "fetched_at" in pages.columns else None
     (
-        pages.select(landed_line(F.col("body")).alias("value"), F.to_date("_window_start").alias("window_date"))
+        pages.select(landed_line(F.col("body"), stamp).alias("value"), F.to_date("_window_start").alias("window_date"))
         .write.mode("append")
         .partitionBy("window_date")
         .text(path)

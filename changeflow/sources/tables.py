@@ -1,24 +1,24 @@
-"""The four tables of a warehouse folder, as Parquet.
+"""The tables of a warehouse folder, as Parquet.
 
-``raw`` and ``errors`` can only be appended to; ``mart`` is replaced whole or by activity date; ``staging`` is a
-view over raw, with an optional stored copy that is replaced by date like the mart. One writer at a time.
+``raw``, ``errors`` and ``bad_pages`` can only be appended to; ``mart`` is replaced whole or by activity date; ``staging``
+is a view over raw, with an optional stored copy that is replaced by date like the mart. One writer at a time.
 """
 
 from collections.abc import Sequence
 from datetime import date
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from changeflow.schemas import ERRORS, LOAD_STATS, LOADS, MART, RAW, STAGING
+from changeflow.operators.inserts import broken_constraints
+from changeflow.schemas import BAD_PAGES, ERRORS, LOAD_STATS, LOADS, MART, RAW, STAGING
 
-STORED_STAGING = T.StructType([*STAGING.fields, T.StructField("activity_date", T.DateType())])
-
-
-# Above this many days a read lists the whole table and filters, instead of naming the folders.
-NAMED_DAYS = 1000
+# The raw id breaks ties between rows without a typed key, of which one survives.
+STORED_STAGING = T.StructType(
+    [*STAGING.fields, T.StructField("_raw_id", T.LongType()), T.StructField("activity_date", T.DateType())]
+)
 
 
 class Warehouse:
@@ -29,17 +29,13 @@ class Warehouse:
     def _read(
         self, name: str, schema: T.StructType, partition: str | None = None, days: Sequence[date] | None = None
     ) -> DataFrame:
-        """A table, or only the given days of it. Naming their folders keeps the listing of files, too, as short
-        as the days, however long the table's history is."""
+        """A table, or only the given days of it: folders of other days are pruned by the filter on the partition."""
         # known to be empty to the optimizer, too, which then drops joins with it
         nothing = self.spark.createDataFrame([], schema).filter(F.lit(False))
         if days is not None and not days:
             return nothing
-        base = f"{self.root}/{name}"
-        named = days is not None and len(days) <= NAMED_DAYS
-        path = f"{base}/{partition}={{{','.join(d.isoformat() for d in days)}}}" if named else base
         try:
-            table = self.spark.read.schema(schema).option("basePath", base).parquet(path)
+            table = self.spark.read.schema(schema).parquet(f"{self.root}/{name}")
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
@@ -55,10 +51,26 @@ class Warehouse:
         return self._read("errors", ERRORS, "_window_date", days)
 
     def staging(self, days: Sequence[date] | None = None) -> DataFrame:
-        return self._read("staging", STORED_STAGING, "activity_date", days)
+        """Rows with a typed key, and the newest of all rows without one if it lies in the days."""
+        stored = self._read("staging", STORED_STAGING, "activity_date", days).filter(F.col("change_id").isNotNull())
+        survivor = self.untyped_survivor()
+        if days is not None:
+            survivor = survivor.filter(F.col("activity_date").isin(list(days)))
+        return stored.unionByName(survivor).drop("_raw_id")
+
+    def untyped(self, days: Sequence[date] | None = None) -> DataFrame:
+        """The side table of staging rows without a typed key."""
+        return self._read("untyped", STORED_STAGING, "activity_date", days)
+
+    def untyped_survivor(self) -> DataFrame:
+        """The one row without a typed key that staging keeps: the newest of the whole table. At most one row."""
+        return self.untyped().orderBy(F.desc_nulls_first("_ingested_at"), F.desc_nulls_first("_raw_id")).limit(1)
+
+    def mart(self, days: Sequence[date] | None = None) -> DataFrame:
+        return self._read("mart", MART, "activity_date", days)
 
-    def mart(self) -> DataFrame:
-        return self._read("mart", MART)
+    def bad_pages(self) -> DataFrame:
+        return self._read("bad_pages", BAD_PAGES)
 
     def load_stats(self, days: Sequence[date] | None = None) -> DataFrame:
         return self._read("load_stats", LOAD_STATS, "_window_date", days)
@@ -70,19 +82,24 @@ class Warehouse:
         rows.select(schema.fieldNames()).write.mode("append").partitionBy(partition).parquet(f"{self.root}/{name}")
 
     def append_raw(self, rows: DataFrame) -> None:
-        self._append("raw", rows, RAW, "_event_date")
+        """Rows that break a constraint make the append fail; the test is part of the write, not a pass of its own."""
+        self._append("raw", rows.withColumn("_raw", _refusing(F.col("_raw"))), RAW, "_event_date")
 
     def append_errors(self, rows: DataFrame) -> None:
-        self._append("errors", rows.withColumn("_window_date", F.to_date("_window_start")), ERRORS, "_window_date")
+        dated = rows.withColumn("_raw", _refusing(F.col("_raw"))).withColumn("_window_date", F.to_date("_window_start"))
+        self._append("errors", dated, ERRORS, "_window_date")
+
+    def append_bad_pages(self, rows: DataFrame) -> None:
+        rows.select(BAD_PAGES.fieldNames()).coalesce(1).write.mode("append").parquet(f"{self.root}/bad_pages")
 
     def append_load_stats(self, rows: DataFrame) -> None:
         dated = rows.withColumn("_window_date", F.to_date("_window_start"))
         # one file per day: a day holds one row per page
         self._append("load_stats", dated.repartition("_window_date"), LOAD_STATS, "_window_date")
 
-    def append_load(self, **values) -> None:
-        row = [F.lit(values[f.name]).cast(f.dataType).alias(f.name) for f in LOADS]
-        self.spark.range(0, 1, 1, 1).select(*row).write.mode("append").parquet(f"{self.root}/loads")
+    def append_load(self, rows: DataFrame) -> None:
+        """One row per event date of a load and one without a date, in one file."""
+        rows.select(LOADS.fieldNames()).coalesce(1).write.mode("append").parquet(f"{self.root}/loads")
 
     def _replace(self, name: str, rows: DataFrame, whole: bool) -> None:
         """Overwrite a table, or only the activity dates that ``rows`` holds."""
@@ -97,11 +114,24 @@ class Warehouse:
         # one small file per day: a day holds one row per namespace
         self._replace("mart", rows.repartition("activity_date"), whole)
 
-    def replace_staging(self, rows: DataFrame, whole: bool = True, clustered: bool = True) -> None:
-        """``clustered`` rows come straight from raw, whose files hold one date each, and are written as they
-        lie. Others are rebalanced: a large date is split over several tasks, small ones share one."""
+    def drop_mart_days(self, days: set[date]) -> None:
+        """Take the folders of dates that have no events any more out of the mart."""
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        for day in sorted(days):
+            path = hadoop.Path(f"{self.root}/mart/activity_date={day.isoformat()}")
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    def replace_staging(self, rows: DataFrame, whole: bool = True) -> None:
+        """Typed rows straight from raw, whose files hold one date each, written as they lie."""
         dated = rows.withColumn("activity_date", F.to_date("changed_at_utc"))
-        self._replace("staging", dated if clustered else dated.hint("rebalance", F.col("activity_date")), whole)
+        self._replace("staging", dated.select(STORED_STAGING.fieldNames()), whole)
+
+    def replace_untyped(self, days: Sequence[date] | None, whole: bool) -> None:
+        """Take the rows without a typed key out of the stored staging of ``days`` into the side table. Row groups
+        that hold none are skipped by their statistics."""
+        rows = self._read("staging", STORED_STAGING, "activity_date", days).filter(F.col("change_id").isNull())
+        if whole or rows.select("activity_date").first() is not None:
+            self._replace("untyped", rows.repartition("activity_date"), whole)
 
     def append_mart(self, rows: DataFrame) -> None:
         """Only to break the grain on purpose; ``replace_mart`` is how the mart is built."""
@@ -113,3 +143,8 @@ class Warehouse:
         self.errors().createOrReplaceTempView(f"{prefix}raw_changes_errors")
         staging.createOrReplaceTempView(f"{prefix}stg_changes")
         self.mart().createOrReplaceTempView(f"{prefix}agg_changes_daily")
+
+
+def _refusing(payload: Column) -> Column:
+    broken = broken_constraints()
+    return F.when(F.size(broken) > 0, F.raise_error(F.concat(F.lit("row breaks a constraint: "), F.array_join(broken, ", ")))).otherwise(payload)

@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from changeflow.operators.gates import good_pages, page_errors
 from changeflow.operators.staging import type_records
 from changeflow.operators.validation import classify, valid_records
 from changeflow.plans.jobs import load_pages, loaded_days, refresh
@@ -18,7 +19,9 @@ def run_available(
     """Load everything that landed since the last run, then stop.
 
     Each micro-batch is committed on its own and rebuilds only the days it touched. A batch that is tried again
-    after a failure finds its keys in raw and adds nothing, so a restart never duplicates.
+    after a failure finds its keys in raw and adds nothing, so a restart never duplicates. Pages with an error and
+    lines that are no page go to ``bad_pages`` and do not stop the stream; ``jobs.open_bad_pages`` tells which of them
+    no later landing has made good.
     """
     warehouse = Warehouse(configure(spark), root)
 
@@ -37,8 +40,13 @@ def run_available(
 
 
 def valid_stream(lines: DataFrame) -> DataFrame:
-    """Valid in-window records of a stream of landed lines."""
-    return valid_records(classify(only_records(page_records(parse_pages(lines)))))
+    """Valid in-window records of a stream of landed lines; those of bad pages are left to ``bad_page_stream``."""
+    return valid_records(classify(only_records(good_pages(page_records(parse_pages(lines))))))
+
+
+def bad_page_stream(lines: DataFrame) -> DataFrame:
+    """The other side of ``valid_stream``: pages with an error and lines that are no page, as rows to be stored."""
+    return page_errors(parse_pages(lines))
 
 
 def first_within_retention(records: DataFrame) -> DataFrame:

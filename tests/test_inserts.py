@@ -1,5 +1,3 @@
-from datetime import timedelta
-
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -7,7 +5,7 @@ from pyspark.sql import functions as F
 from changeflow.operators import inserts
 from changeflow.operators.validation import classify, valid_records
 
-from .helpers import DAY, plan_of, raw_table, record
+from .helpers import plan_of, raw_table, record
 
 
 def keyed(spark, pairs):
@@ -46,7 +44,7 @@ def test_a_hot_key_is_cut_before_the_shuffle(spark):
 def test_history_is_cut_by_range_and_by_keys(spark, tmp_path):
     path = str(tmp_path / "raw")
     spark.range(1000).select(F.col("id").alias("k"), F.lit("x").alias("payload")).write.parquet(path)
-    history = inserts.in_range(spark.read.parquet(path), "k", 10, 20)
+    history = inserts.in_ranges(spark.read.parquet(path), "k", [(10, 20)])
     new = inserts.insert_if_absent(keyed(spark, [(15, 1), (2000, 2)]), history, "k", ["n"])
     plan = plan_of(new)
     assert "GreaterThanOrEqual(k,10)" in plan and "LessThanOrEqual(k,20)" in plan
@@ -55,29 +53,29 @@ def test_history_is_cut_by_range_and_by_keys(spark, tmp_path):
     assert [r["k"] for r in new.collect()] == [2000]
 
 
-def test_a_counted_increment_leaves_the_history_unshuffled(spark, tmp_path):
-    path = str(tmp_path / "raw")
-    spark.range(1000).select(F.col("id").alias("k")).write.parquet(path)
-    incoming = keyed(spark, [(5, 1), (5, 2), (5000, 3)])
-    few = inserts.known_keys(spark.read.parquet(path), incoming, "k", few=True)
-    many = inserts.known_keys(spark.read.parquet(path), incoming, "k")
-    assert [r["k"] for r in few.collect()] == [r["k"] for r in many.collect()] == [5]
-    history = plan_of(few).split("BroadcastExchange")[0]
-    assert "BroadcastHashJoin" in history and "Exchange hashpartitioning" not in history
-    new = inserts.insert_if_absent(incoming, spark.read.parquet(path), "k", ["n"], few=True)
-    assert [tuple(r) for r in new.collect()] == [(5000, 3)]
+def test_copies_and_known_keys_move_without_their_payload(spark, tmp_path):
+    path = str(tmp_path / "incoming")
+    rows = [(n % 40, n, "x" * 2000) for n in range(400)]
+    spark.createDataFrame(rows, "k long, n long, payload string").write.parquet(path)
+    history = keyed(spark, [(k, 0) for k in range(30)])
+    new = inserts.insert_if_absent(spark.read.parquet(path), history, "k", ["n"])
+    # one scan reads the payload; those that decide read keys and arrival only
+    schemas = [s.split("\n")[0] for s in plan_of(new).split("ReadSchema: ")[1:]]
+    assert schemas.count("struct<k:bigint,n:bigint,payload:string>") == 1 and len(schemas) > 1
+    assert sorted((r["k"], r["n"]) for r in new.collect()) == [(k, k) for k in range(30, 40)]
 
 
-def test_an_empty_range_matches_nothing(spark):
-    assert inserts.in_range(keyed(spark, [(1, 1)]), "k", None, None).count() == 0
+def test_no_range_matches_nothing(spark):
+    assert inserts.in_ranges(keyed(spark, [(1, 1)]), "k", []).count() == 0
+    assert inserts.in_ranges(keyed(spark, [(1, 1), (5, 1), (9, 1)]), "k", [(0, 2), (8, 9)]).count() == 2
 
 
 def test_ids_rise_in_arrival_order_from_the_first_free_one(spark):
     rows = spark.range(5000).select((F.col("id") * 7919 % 5000).alias("page"), F.col("id").alias("pos"))
-    numbered = inserts.number_rows(rows, "n", 100, ["page", "pos"])
+    numbered = inserts.number_rows(rows, "n", 100, ["page", "pos"], 5000)
     ids = [r["n"] for r in numbered.orderBy("page", "pos").collect()]
     assert ids[0] >= 100 and all(a < b for a, b in zip(ids, ids[1:]))
-    assert ids[-1] < 100 + inserts.id_span(rows)
+    assert ids[-1] < 100 + inserts.id_span(rows, 5000) == 100 + 8 * 5000
 
 
 def test_constraints_name_every_breach(spark):

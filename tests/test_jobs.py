@@ -1,4 +1,5 @@
 import json
+import os
 import sys
 from datetime import date, timedelta
 
@@ -6,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from changeflow.__main__ import main
-from changeflow.operators import audits
+from changeflow.operators import audits, quality
 from changeflow.operators.inserts import COUNTERS, total_stats
 from changeflow.operators.quality import QualityError
 from changeflow.operators.rollup import daily_rollup
@@ -16,7 +17,7 @@ from changeflow.session import materialize, shared_dir
 from changeflow.sources import fixture, landing
 from changeflow.sources.tables import Warehouse
 
-from .helpers import DAY, page, pages_frame, record
+from .helpers import DAY, page, pages_frame, plan_of, record
 
 NEXT = DAY + timedelta(days=1)
 
@@ -131,10 +132,10 @@ def test_an_unreadable_line_fails_the_load_but_not_the_other_pages(place, spark)
 
 def test_the_page_limit_fails_the_load_after_committing(place):
     place.land((DAY, 1, page([record(1)], {"c": 1})), (DAY, 2, page([record(2)], {"c": 2})), (DAY, 3, page([record(3)])))
-    with pytest.raises(jobs.SourceError, match="incomplete after page 2"):
+    with pytest.raises(jobs.SourceError, match="page_limit in window .* page 3"):
         place.run(max_pages=2)
-    assert place.keys() == [1, 2]
-    assert place.counters(place.run())["inserted"] == 1
+    assert place.keys() == [1, 2, 3]
+    assert place.counters(place.run())["inserted"] == 0
 
 
 def test_windows_are_guarded(place, spark):
@@ -179,7 +180,7 @@ def test_a_load_that_died_before_the_refresh_is_caught_up(place):
     assert [r[3] for r in place.mart()] == [1]
 
 
-def test_rows_without_a_typed_key_fall_back_to_a_whole_rebuild(place):
+def test_rows_without_a_typed_key_keep_one_survivor_and_touch_no_other_day(place):
     place.land((DAY, 1, page([record(-1), record(1)])), (NEXT, 1, page([record(-2, day=NEXT), record(2, day=NEXT)])))
     place.run(DAY.date(), strict=False)
     place.run(NEXT.date(), strict=False)
@@ -191,6 +192,14 @@ def test_rows_without_a_typed_key_fall_back_to_a_whole_rebuild(place):
     assert [str(r["activity_date"]) for r in staged.collect() if r["change_id"] is None] == ["2024-05-02"]
     expected = daily_rollup(staging(place.warehouse.raw()))
     assert sorted((tuple(r) for r in expected.collect()), key=str) == place.mart()
+    first_day = f"{place.root}/staging/activity_date=2024-05-01"
+    before = sorted(os.listdir(first_day))
+    third = NEXT + timedelta(days=1)
+    place.land((third, 1, page([record(-3, day=third)])))
+    place.run(third.date(), strict=False)
+    assert sorted(os.listdir(first_day)) == before
+    expected = daily_rollup(staging(place.warehouse.raw()))
+    assert sorted((tuple(r) for r in expected.collect()), key=str) == place.mart()
 
 
 def test_ids_never_repeat_over_loads(place):
@@ -211,19 +220,88 @@ def test_a_key_stored_on_another_day_is_found(place, spark):
     assert place.counters(place.run(NEXT.date()))["inserted"] == 1
     assert place.keys() == [1, 50, 60]
     loads = place.warehouse.loads()
-    assert jobs.days_of_keys(loads, 1, 10) == [DAY.date()]
-    assert jobs.days_of_keys(loads, 55, 99) == [NEXT.date()]
-    assert jobs.days_of_keys(loads, 50, 50) == [DAY.date(), NEXT.date()]
-    assert jobs.days_of_keys(loads, 61, 99) == [] and jobs.days_of_keys(loads, None, None) == []
+    assert jobs.days_of_keys(loads, [(1, 10)]) == [DAY.date()]
+    assert jobs.days_of_keys(loads, [(55, 99), (1000, 1001)]) == [NEXT.date()]
+    assert jobs.days_of_keys(loads, [(50, 50)]) == [DAY.date(), NEXT.date()]
+    assert jobs.days_of_keys(loads, [(61, 99)]) == [] and jobs.days_of_keys(loads, []) == []
+    assert jobs.joined_spans([(5, 9), (1, 3), (2, 4), (20, 21)]) == [(1, 4), (5, 9), (20, 21)]
+
+
+def test_an_odd_key_widens_its_own_date_alone(place, spark):
+    place.land((DAY, 1, page([record(1), record(10**15)])), (NEXT, 1, page([record(20, day=NEXT), record(30, day=NEXT)])))
+    place.run()
+    loads = place.warehouse.loads()
+    assert jobs.days_of_keys(loads, [(500, 600)]) == [DAY.date()]
+    assert jobs.days_of_keys(loads, [(25, 26)]) == [DAY.date(), NEXT.date()]
+
+
+def test_two_loads_with_one_time_stamp_are_counted_apart(place, spark):
+    place.land((DAY, 1, page([record(1), record(2)])))
+    at = DAY + timedelta(days=2)
+    got = [place.counters(jobs.load_pages(place.warehouse, landing.read_lines(spark, place.landing), ingested_at=at)) for _ in range(2)]
+    assert [(g["fetched"], g["inserted"], g["duplicates"]) for g in got] == [(2, 2, 0), (2, 0, 2)]
+
+
+def test_a_missing_page_or_window_fails_after_committing(place):
+    place.land((DAY, 1, page([record(1)], {"c": 1})), (DAY, 3, page([record(3)])))
+    with pytest.raises(jobs.SourceError, match="page_gap .* page 2"):
+        place.run(DAY.date())
+    assert place.keys() == [1, 3]
+    place.land((DAY, 2, page([record(2)], {"c": 2})))
+    with pytest.raises(jobs.SourceError, match="missing_window in window 2024-05-02"):
+        place.run(DAY.date(), NEXT.date())
+    assert place.keys() == [1, 2, 3]
+    place.run(DAY.date())
+
+
+def test_a_page_fetched_again_heals_the_load(place, spark):
+    fetch = lambda n, hour, body: pages_frame(spark, [(DAY, n, body)]).withColumn("fetched_at", F.lit(DAY + timedelta(days=1, hours=hour)))
+    for n, hour, body in ((1, 1, page([record(1)], {"c": 1})), (2, 1, page([record(7)], error={"code": "busy"}))):
+        landing.write_pages(fetch(n, hour, body), place.landing)
+    with pytest.raises(jobs.SourceError, match="source_error"):
+        place.run()
+    landing.write_pages(fetch(2, 2, page([record(2)])), place.landing)
+    place.run()
+    assert place.keys() == [1, 2]
+
+
+def test_appends_refuse_rows_that_break_a_constraint(place, spark):
+    place.land((DAY, 1, page([record(1)])))
+    place.run()
+    rows = place.warehouse.raw()
+    for broken in (rows.withColumn("_raw", F.lit(None).cast("string")), rows.withColumn("_window_end", F.col("_window_start"))):
+        with pytest.raises(Exception, match="row breaks a constraint"):
+            place.warehouse.append_raw(broken)
+    assert place.warehouse.raw().count() == 1
+
+
+def test_a_load_leaves_no_scratch(place, spark):
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        pytest.skip("scratch goes to fresh temporary folders")
+    before = set(os.listdir(folder.removeprefix("file:")))
+    place.land((DAY, 1, page([record(1)])))
+    jobs.load_pages(place.warehouse, landing.read_lines(spark, place.landing))
+    assert set(os.listdir(folder.removeprefix("file:"))) == before
+
+
+def test_a_check_of_some_days_reads_no_payload(place, spark):
+    place.land((DAY, 1, page([record(1)])), (NEXT, 1, page([record(2, day=NEXT), record(3, day=NEXT, type="move")])))
+    place.run(strict=False)
+    assert jobs.check(place.warehouse, days=[DAY.date()]).filter("not passed").count() == 0
+    with pytest.raises(QualityError, match="accepted_values"):
+        jobs.check(place.warehouse, days=[NEXT.date()])
+    raw = place.warehouse.raw([DAY.date()])
+    required = [c for c in quality.RAW_REQUIRED if c != "_raw"]
+    assert "_raw:string" not in plan_of(quality.quality_report(raw, place.warehouse.staging([DAY.date()]), place.warehouse.mart([DAY.date()]), required))
 
 
-def test_reading_some_days_lists_their_folders_only(place):
+def test_reading_some_days_prunes_the_others(place):
     place.land((DAY, 1, page([record(1)])), (NEXT, 1, page([record(2, day=NEXT)])))
     jobs.load_pages(place.warehouse, landing.read_lines(place.spark, place.landing))
     one_day = place.warehouse.raw([NEXT.date()])
     assert [r["_key"] for r in one_day.collect()] == [2]
-    listed = one_day.inputFiles()
-    assert listed and all("_event_date=2024-05-02" in f for f in listed)
+    assert "_event_date" in plan_of(one_day).split("PartitionFilters: [")[1].split("]")[0]
     assert place.warehouse.raw([]).count() == 0
     assert place.warehouse.raw([date(2030, 1, 1)]).count() == 0
     everything = place.warehouse.raw([date(2020, 1, 1) + timedelta(days=n) for n in range(4000)])
@@ -242,7 +320,8 @@ def test_the_writer_offers_no_way_to_change_raw():
     public = {n for n in vars(Warehouse) if not n.startswith("_")}
     assert public == {
         "raw", "errors", "staging", "mart", "load_stats", "loads", "append_raw", "append_errors", "append_load_stats",
-        "append_load", "append_mart", "replace_mart", "replace_staging", "publish",
+        "append_load", "append_mart", "replace_mart", "replace_staging", "publish", "bad_pages", "append_bad_pages", "untyped",
+        "untyped_survivor", "replace_untyped", "drop_mart_days",
     }
 
 

@@ -74,8 +74,8 @@ def test_a_window_is_complete_if_its_last_page_says_so(spark):
     )
     got = gates.incomplete_windows(pages).collect()
     assert [r["last_page"] for r in got] == [2] and got[0]["_window_start"].day == 2
-    limited = {r["_window_start"].day: r["last_page"] for r in gates.incomplete_windows(pages, max_pages=1).collect()}
-    assert limited == {1: 1, 2: 1}
+    limited = {r["_window_start"].day: r["last_page"] for r in gates.pages_above_limit(pages, max_pages=1).collect()}
+    assert limited == {1: 2, 2: 2}
 
 
 def test_pages_before_the_first_bad_one_are_admitted(spark):
@@ -88,8 +88,49 @@ def test_pages_before_the_first_bad_one_are_admitted(spark):
         (NEXT, 9, page([record(5)])),
     )
     rows = landing.page_records(pages)
-    kept = gates.admit(rows, landing.page_headers(rows), max_pages=8)
-    assert sorted((r["_window_start"].day, r["page_no"]) for r in kept.collect()) == [(1, 1), (2, 1)]
+    headers = landing.page_headers(rows)
+    kept = gates.admit(rows, headers)
+    assert sorted((r["_window_start"].day, r["page_no"]) for r in kept.collect()) == [(1, 1), (2, 1), (2, 9)]
+    assert sorted((r["_window_start"].day, r["page_no"]) for r in gates.good_pages(rows).collect()) == [(1, 1), (1, 3), (2, 1), (2, 9)]
+    gap = gates.page_gaps(headers).first()
+    assert (gap["_window_start"].day, gap["first_missing"], gap["last_missing"]) == (2, 2, 8)
+
+
+def test_the_newest_landing_of_a_page_counts(spark):
+    def landing_of(n, at, body):
+        text = line(body, n)
+        return text[:-1] + f', "fetched_at": "{at}"}}' if at else text
+
+    early, late = "2024-05-02T01:00:00Z", "2024-05-02T02:00:00Z"
+    bad = page([record(9)], error={"code": "busy"})
+    texts = [
+        landing_of(1, early, bad), landing_of(1, late, page([record(1)])),
+        landing_of(2, None, bad), landing_of(2, early, page([record(2)])),
+        landing_of(3, early, page([record(30)])), landing_of(3, late, page([record(3)])),
+        landing_of(4, early, page([record(4)])), landing_of(4, late, bad),
+        landing_of(5, None, bad), landing_of(5, None, page([record(5)])),
+        line(page([record(6)]), 6), "{broken",
+    ]
+    rows = landing.page_records(landing.parse_pages(lines(spark, *texts)))
+    headers = landing.page_headers(rows)
+    counted = landing.newest_landings(headers, headers)
+    assert {r["page_no"]: r["has_error"] for r in counted.filter("readable").collect()} == {1: False, 2: False, 3: False, 4: True, 5: False, 6: False}
+    assert counted.filter("not readable").count() == 1
+    kept = landing.only_records(landing.newest_landings(rows, headers))
+    assert sorted((r["page_no"], json.loads(r["_raw"])["rcid"]) for r in kept.collect()) == [(1, 1), (2, 2), (3, 3), (4, 9), (5, 5), (6, 6)]
+
+
+def test_every_kind_of_violation_is_named(spark):
+    pages = landed(
+        spark,
+        (DAY, 1, page([record(1)], {"c": 1})),
+        (DAY, 4, page([record(2)], {"c": 1})),
+        (NEXT, 1, page([record(3)], error={"code": "busy"})),
+    )
+    asked = spark.createDataFrame([(DAY, NEXT), (NEXT + timedelta(days=5), NEXT + timedelta(days=6))], "_window_start timestamp, _window_end timestamp")
+    found = sorted((r["reason"], r["page_no"]) for r in gates.violations(pages, 3, asked).collect() if r["page_no"])
+    assert found == [("incomplete_window", 4), ("page_gap", 2), ("page_limit", 4), ("source_error", 1)]
+    assert gates.violations(pages, 3, asked).filter("reason = 'missing_window'").count() == 1
 
 
 def test_landed_folders_are_pruned_by_window_date(spark, tmp_path):

@@ -74,3 +74,28 @@ def test_daily_windows_are_kept_up_to_date(spark, tmp_path):
     columns = ["activity_date", "namespace_id", "total_changes", "bot_changes", "anonymous_changes"]
     assert rows(got.select(columns)) == rows(warehouse.mart().select(columns))
     assert got.agg(F.sum("total_changes")).first()[0] == 5
+
+
+def test_bad_pages_do_not_stop_the_stream_and_are_settled_later(spark, tmp_path):
+    land, warehouse = f"{tmp_path}/landing", Warehouse(spark, f"{tmp_path}/w")
+    checkpoint = f"{tmp_path}/checkpoint"
+    busy = page([record(8)], error={"code": "busy"})
+    landing.write_pages(pages_frame(spark, [(DAY, 1, page([record(1)])), (DAY, 2, busy), (DAY, 3, page([record(3)]))]), land)
+    spark.createDataFrame([("{broken", DAY.date())], "value string, window_date date").write.mode("append").partitionBy("window_date").text(land)
+    ingest.run_available(spark, land, warehouse.root, checkpoint, max_pages=2)
+    assert sorted(r["_key"] for r in warehouse.raw().collect()) == [1, 3]
+    assert sorted((r["reason"], r["page_no"]) for r in warehouse.bad_pages().collect()) == [("source_error", 2), ("unreadable_page", None)]
+    landing.write_pages(pages_frame(spark, [(DAY, 2, page([record(2)]))]), land)
+    ingest.run_available(spark, land, warehouse.root, checkpoint, max_pages=2)
+    assert sorted(r["_key"] for r in warehouse.raw().collect()) == [1, 2, 3]
+    assert [r["reason"] for r in jobs.open_bad_pages(warehouse).collect()] == ["unreadable_page"]
+
+
+def test_the_bounded_stream_leaves_bad_pages_to_their_own_stream(spark, tmp_path):
+    land = f"{tmp_path}/landing"
+    landing.write_pages(pages_frame(spark, [(DAY, 1, page([record(1)])), (DAY, 2, page([record(2)], error={"code": "busy"}))]), land)
+    records = ingest.valid_stream(landing.stream_lines(spark, land)).select("_key")
+    ingest.write_available(records, f"{tmp_path}/good", f"{tmp_path}/c1")
+    ingest.write_available(ingest.bad_page_stream(landing.stream_lines(spark, land)), f"{tmp_path}/bad", f"{tmp_path}/c2")
+    assert [r["_key"] for r in spark.read.parquet(f"{tmp_path}/good").collect()] == [1]
+    assert [r["page_no"] for r in spark.read.parquet(f"{tmp_path}/bad").collect()] == [2]

@@ -1,5 +1,5 @@
 import json
-from datetime import datetime, timedelta, timezone
+from datetime import datetime, timedelta
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from changeflow.operators.validation import classify, error_rows, valid_records
 
-from .helpers import DAY, optimized, raw_table, record
+from .helpers import optimized, raw_table, record
 
 
 def judge(spark, *payloads):
@@ -70,40 +70,38 @@ def test_messages_are_cut(spark):
     assert len(rows[0]["_error_message"]) == 2000
 
 
-def plain(payload, start, end):
-    """Independent judgement of one decoded record."""
-    try:
-        int(payload["rcid"])
-    except (KeyError, TypeError, ValueError):
-        return "error", "invalid_natural_key"
-    try:
-        t = datetime.fromisoformat(str(payload["timestamp"]).replace("Z", "+00:00"))
-        if t.tzinfo is None:
-            raise ValueError
-    except (KeyError, ValueError):
-        return "error", "invalid_timestamp"
-    return ("ok" if start <= t < end else "outside_window"), None
-
-
-_stamps = st.one_of(
-    st.none(),
-    st.just("junk"),
-    st.datetimes(datetime(2024, 4, 29), datetime(2024, 5, 4)).map(lambda t: t.isoformat()),
-    st.datetimes(datetime(2024, 4, 29), datetime(2024, 5, 4)).map(lambda t: t.isoformat() + "Z"),
-    st.datetimes(datetime(2024, 4, 29), datetime(2024, 5, 4)).map(
-        lambda t: t.replace(tzinfo=timezone(timedelta(hours=7))).isoformat()
-    ),
+#: Parts of a record with the fate they lead to; a bad key decides before the time does.
+_keys = st.one_of(
+    st.integers(-10, 10**12).map(lambda k: ({"rcid": k}, True)),
+    st.sampled_from(["7", " 12 ", "1_000"]).map(lambda k: ({"rcid": k}, True)),
+    st.sampled_from(["x", None, [1], "", "1.5"]).map(lambda k: ({"rcid": k}, False)),
+    st.just(({}, False)),
 )
-_records = st.fixed_dictionaries(
-    {}, optional={"rcid": st.one_of(st.integers(-10, 10**12), st.sampled_from(["7", "x", None, [1]])), "timestamp": _stamps}
+_inside = st.datetimes(datetime(2024, 5, 1), datetime(2024, 5, 1, 23, 59, 59))
+_outside = st.one_of(st.datetimes(datetime(2024, 4, 20), datetime(2024, 4, 30, 23)), st.datetimes(datetime(2024, 5, 2), datetime(2024, 5, 9)))
+_times = st.one_of(
+    _inside.map(lambda t: ({"timestamp": f"{t.isoformat()}Z"}, "ok")),
+    _outside.map(lambda t: ({"timestamp": f"{t.isoformat()}Z"}, "outside_window")),
+    _inside.map(lambda t: ({"timestamp": f"{(t + timedelta(hours=7)).isoformat()}+07:00"}, "ok")),
+    _outside.map(lambda t: ({"timestamp": f"{(t - timedelta(hours=4)).isoformat()}-04:00"}, "outside_window")),
+    _inside.map(lambda t: ({"timestamp": t.isoformat()}, "error")),
+    st.sampled_from([({"timestamp": None}, "error"), ({"timestamp": "junk"}, "error"), ({}, "error")]),
 )
 
 
+def _made(key, time):
+    """A record, and the route it was made for."""
+    (key_part, key_good), (time_part, fate) = key, time
+    if not key_good:
+        return {**key_part, **time_part}, ("error", "invalid_natural_key")
+    return {**key_part, **time_part}, (fate, "invalid_timestamp" if fate == "error" else None)
+
+
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(st.lists(_records, min_size=1, max_size=40))
-def test_routing_agrees_with_a_plain_judgement(spark, records):
-    got = [(s, t) for s, t, _ in judge(spark, *[json.dumps(r) for r in records])]
-    assert got == [plain(r, DAY, DAY + timedelta(days=1)) for r in records]
+@given(st.lists(st.builds(_made, _keys, _times), min_size=1, max_size=40))
+def test_records_take_the_route_they_were_made_for(spark, made):
+    got = [(s, t) for s, t, _ in judge(spark, *[json.dumps(r) for r, _ in made])]
+    assert got == [route for _, route in made]
 
 
 def test_routing_parses_each_payload_once(spark):
