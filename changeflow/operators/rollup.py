@@ -7,6 +7,10 @@ from changeflow.functions.numbers import rate
 from changeflow.schemas import MART, NAMESPACE_LABELS
 
 GRAIN = ["activity_date", "namespace_id"]
+#: What the rollup reads of staging.
+ROLLED = (
+    "namespace_id change_type user_name changed_at_utc old_length new_length is_bot is_minor is_anonymous is_user_missing"
+).split()
 
 
 def namespace_name(namespace_id: Column) -> Column:

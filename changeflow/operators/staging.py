@@ -1,5 +1,7 @@
 """Typed, deduplicated view over the raw table: one row per change event."""
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -8,23 +10,33 @@ from changeflow.functions.payload import array_length, blank_to_null, digits, fi
 from changeflow.functions.times import zoned_timestamp
 from changeflow.schemas import STAGING, UNKNOWN_USER
 
-_TEXT_KEYS = [
-    "rcid",
-    "type",
-    "ns",
-    "title",
-    "pageid",
-    "revid",
-    "old_revid",
-    "user",
-    "userid",
-    "comment",
-    "timestamp",
-    "oldlen",
-    "newlen",
-]
+# Keys whose presence or JSON type matters; all others are read as text.
 _TYPED_KEYS = ["bot", "minor", "anon", "redirect", "userhidden", "tags"]
 
+# The payload key behind each column.
+_KEY_OF = {
+    "change_id": "rcid",
+    "change_type": "type",
+    "namespace_id": "ns",
+    "page_title": "title",
+    "page_id": "pageid",
+    "revision_id": "revid",
+    "old_revision_id": "old_revid",
+    "user_name": "user",
+    "user_id": "userid",
+    "change_comment": "comment",
+    "changed_at_utc": "timestamp",
+    "old_length": "oldlen",
+    "new_length": "newlen",
+    "is_bot": "bot",
+    "is_minor": "minor",
+    "is_anonymous": "anon",
+    "is_redirect": "redirect",
+    "is_user_hidden": "userhidden",
+    "is_user_missing": "user",
+    "tag_count": "tags",
+}
+
 
 def _projection() -> dict[str, Column]:
     """Output column -> expression over the parsed payload, in output order."""
@@ -53,15 +65,16 @@ def _projection() -> dict[str, Column]:
     }
 
 
-def type_records(raw: DataFrame) -> DataFrame:
-    """Every raw row typed, before deduplication; ``_raw_id`` is kept for it."""
-    return with_payload(raw, "_raw", text=_TEXT_KEYS, variants=_TYPED_KEYS).select(
-        "_raw_id",
-        *[c.alias(name) for name, c in _projection().items()],
-        "_window_start",
-        "_window_end",
-        "_ingested_at",
+def type_records(raw: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Every raw row typed, before deduplication; ``_raw_id`` is kept for it. Only the keys behind ``columns`` (all by
+    default) are taken out of the payload."""
+    wanted = list(_KEY_OF) if columns is None else [c for c in _KEY_OF if c in columns]
+    keys = list(dict.fromkeys(_KEY_OF[c] for c in wanted))
+    parsed = with_payload(
+        raw, "_raw", text=[k for k in keys if k not in _TYPED_KEYS], variants=[k for k in keys if k in _TYPED_KEYS]
     )
+    made = _projection()
+    return parsed.select("_raw_id", *[made[c].alias(c) for c in wanted], "_window_start", "_window_end", "_ingested_at")
 
 
 def latest_per_key(typed: DataFrame, key: str, order: list[str]) -> DataFrame:
@@ -70,10 +83,12 @@ def latest_per_key(typed: DataFrame, key: str, order: list[str]) -> DataFrame:
     return typed.withColumn("_position", newest).filter("_position = 1").drop("_position")
 
 
-def staging(raw: DataFrame) -> DataFrame:
-    """Lazy view. The payload is parsed first, so the shuffle carries typed columns and no JSON."""
-    latest = latest_per_key(type_records(raw), "change_id", ["_ingested_at", "_raw_id"])
-    return latest.select(STAGING.fieldNames())
+def staging(raw: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Lazy view. The payload is parsed first, so the shuffle carries typed columns and no JSON; with ``columns``, only
+    their keys are."""
+    typed = type_records(raw, None if columns is None else ["change_id", *columns])
+    latest = latest_per_key(typed, "change_id", ["_ingested_at", "_raw_id"])
+    return latest.select([c for c in STAGING.fieldNames() if c in latest.columns])
 
 
 def staging_of_unique(raw: DataFrame) -> DataFrame:

@@ -322,6 +322,16 @@ def _report() -> str:
 
 
 _REPORT = _q(_MART, _report())
+_TEN_DAYS = "between date '2024-01-05' and date '2024-01-14'"
+_REPORT_DAYS = _q(
+    _MART
+    + f""",
+ten_days_staged as (select * from staged where cast(changed_at_utc as date) {_TEN_DAYS}),
+ten_days_mart as (select * from mart where activity_date {_TEN_DAYS})""",
+    f"""select * from (
+    with staged as (select * from ten_days_staged), mart as (select * from ten_days_mart)
+    {_report()}) where "check" <> 'not_null _raw'""",
+)
 _MART_ROWS = _q(_MART, "select * from mart")
 _DATES = "_window_start, cast(_window_start + interval 1 day as timestamp) as _window_end"
 
@@ -585,6 +595,21 @@ ORACLES: dict[str, str] = {
     ),
     "daily_run": _MART_ROWS,
     "daily_run_report": _REPORT,
+    "dq_report_days": _REPORT_DAYS,
+    "stg_untyped_keys": _q(
+        _JUDGED,
+        """select false as untyped, count(*) as records, max(event_time) as newest from raw where _key % 70 <> 0
+        union all
+        select true, 1, event_time from (
+            select event_time from raw where _key % 70 = 0 order by _window_start desc, page_no desc, _raw_id desc limit 1)""",
+    ),
+    "backfill_run": _q(
+        _MART,
+        """select min(activity_date) as min_date, max(activity_date) as max_date,
+            count(distinct activity_date) as number_of_days, cast(sum(total_changes) as bigint) as total_changes,
+            cast(sum(bot_changes) as bigint) as bot_changes, cast(sum(anonymous_changes) as bigint) as anonymous_changes
+        from mart""",
+    ),
     "daily_run_stats": _q(
         _JUDGED,
         """select 1 as load, (select count(*) from judged where replay = 0) as fetched,

@@ -62,12 +62,17 @@ def inserted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inserts.first_per_key(valid(spark, sf_dir), "_key", ARRIVAL)
 
 
-def staged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stg.staging(inserted(spark, sf_dir))
+def staged(spark: SparkSession, sf_dir: str, columns: list[str] | None = None) -> DataFrame:
+    return stg.staging(inserted(spark, sf_dir), columns)
 
 
 def mart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rollup.daily_rollup(staged(spark, sf_dir))
+    return rollup.daily_rollup(staged(spark, sf_dir, rollup.ROLLED))
+
+
+def daily_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the reports of totals need of the mart, from the three keys that it takes."""
+    return rollup.event_counts(staged(spark, sf_dir, ["changed_at_utc", "namespace_id"]), "total_changes")
 
 
 def mart_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -183,7 +188,7 @@ def source_request(spark, sf_dir):
 @query
 def source_predicate(spark, sf_dir):
     start, end = datetime(2024, 1, 10, tzinfo=timezone.utc), datetime(2024, 1, 20, tzinfo=timezone.utc)
-    typed = stg.type_records(feed(spark, sf_dir))
+    typed = stg.type_records(feed(spark, sf_dir), ["change_id", "change_type", "changed_at_utc"])
     asked = windows.source_predicate(typed, "changed_at_utc", "change_type", start, end, CHANGE_TYPES[:3])
     return asked.select("_raw_id", "change_id", "change_type", "changed_at_utc")
 
@@ -266,6 +271,17 @@ def stg_latest_wins(spark, sf_dir):
     return stg.staging(feed(spark, sf_dir))
 
 
+@query
+def stg_untyped_keys(spark, sf_dir):
+    """Stored staging of a feed with keys that staging does not type: one such row stays, the newest."""
+    root = shared_dir(spark, "run")
+    lines = landing.read_lines(spark, land(spark, fixture.untyped_keys(feed(spark, sf_dir)), f"{root}/landing"))
+    warehouse = Warehouse(spark, f"{root}/warehouse")
+    jobs.refresh(warehouse, jobs.loaded_days(jobs.load_pages(warehouse, lines)))
+    untyped = F.col("change_id").isNull().alias("untyped")
+    return warehouse.staging().groupBy(untyped).agg(F.count("*").alias("records"), F.max("changed_at_utc").alias("newest"))
+
+
 @query
 def json_flags(spark, sf_dir):
     keys = ["bot", "minor", "anon", "redirect", "userhidden"]
@@ -289,7 +305,7 @@ def mart_daily(spark, sf_dir):
 
 @query
 def daily_total_changes(spark, sf_dir):
-    return reports.daily_total_changes(mart(spark, sf_dir))
+    return reports.daily_total_changes(daily_counts(spark, sf_dir))
 
 
 @query
@@ -319,7 +335,7 @@ def latest_day(spark, sf_dir):
 
 @query
 def staging_counts(spark, sf_dir):
-    return rollup.event_counts(staged(spark, sf_dir))
+    return rollup.event_counts(staged(spark, sf_dir, ["changed_at_utc", "namespace_id"]))
 
 
 @query
@@ -352,7 +368,7 @@ def dq_not_null_raw(spark, sf_dir):
 
 @query
 def dq_not_null_staging(spark, sf_dir):
-    typed = stg.type_records(feed(spark, sf_dir))
+    typed = stg.type_records(feed(spark, sf_dir), quality.STAGING_REQUIRED)
     return quality.not_null(typed, quality.STAGING_REQUIRED, ["_raw_id"])
 
 
@@ -363,7 +379,7 @@ def dq_not_null_mart(spark, sf_dir):
 
 @query
 def dq_unique_change_id(spark, sf_dir):
-    return quality.unique(stg.type_records(feed(spark, sf_dir)), "change_id")
+    return quality.unique(stg.type_records(feed(spark, sf_dir), ["change_id"]), "change_id")
 
 
 @query
@@ -378,7 +394,7 @@ def dq_daily_grain(spark, sf_dir):
 
 @query
 def dq_inside_window(spark, sf_dir):
-    return quality.inside_window(stg.type_records(feed(spark, sf_dir)), ["_raw_id", "change_id"])
+    return quality.inside_window(stg.type_records(feed(spark, sf_dir), ["change_id", "changed_at_utc"]), ["_raw_id", "change_id"])
 
 
 @query
@@ -571,6 +587,27 @@ def daily_run_stats(spark, sf_dir):
     return totals[0].unionByName(totals[1])
 
 
+@query
+def dq_report_days(spark, sf_dir):
+    """A backfill of the whole feed, then the report over ten of its days."""
+    root = shared_dir(spark, "run")
+    land(spark, feed(spark, sf_dir), f"{root}/landing")
+    first, last = date(2024, 1, 1), date(2024, 1, 30)
+    jobs.backfill(spark, f"{root}/landing", f"{root}/warehouse", first, last, retention_days=None, strict=False)
+    return jobs.check(Warehouse(spark, f"{root}/warehouse"), False, jobs.days_between(date(2024, 1, 5), date(2024, 1, 14)))
+
+
+@query
+def backfill_run(spark, sf_dir):
+    """All landed days in one run with its checks, done twice; the mart's coverage, which the second one leaves as it is."""
+    root = shared_dir(spark, "run")
+    land(spark, feed(spark, sf_dir), f"{root}/landing")
+    first, last = date(2024, 1, 1), date(2024, 1, 30)
+    for _ in range(2):
+        coverage = jobs.backfill(spark, f"{root}/landing", f"{root}/warehouse", first, last, retention_days=None, strict=False)
+    return coverage
+
+
 @query
 def published_views(spark, sf_dir):
     """SQL over the published views, as a dashboard or an analyst writes it."""

@@ -1,5 +1,8 @@
 """The load as Structured Streaming: the same operators, fed by micro-batches of newly landed files."""
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -8,7 +11,7 @@ from changeflow.operators.staging import type_records
 from changeflow.operators.validation import classify, valid_records
 from changeflow.plans.jobs import load_pages, loaded_days, refresh
 from changeflow.schemas import MAX_PAGES, RAW, RETENTION_DAYS
-from changeflow.session import configure
+from changeflow.session import configure, discard, materialize
 from changeflow.sources.landing import only_records, page_records, parse_pages, stream_lines
 from changeflow.sources.tables import Warehouse
 
@@ -59,24 +62,39 @@ def first_within_retention(records: DataFrame) -> DataFrame:
 
 def write_available(stream: DataFrame, path: str, checkpoint: str) -> None:
     """Append a stream's rows to a Parquet folder until its source is used up."""
-    query = (
-        stream.writeStream.format("parquet")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    with state_on_disk(stream.sparkSession):
+        query = (
+            stream.writeStream.format("parquet")
+            .option("path", path)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
     query.awaitTermination()
 
 
+@contextmanager
+def state_on_disk(spark: SparkSession) -> Iterator[None]:
+    """Queries started within keep their state in RocksDB instead of on the executors' heap: a month of keys is more
+    than a heap should hold. The session's own choice is put back."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def raw_stream(spark: SparkSession, root: str) -> DataFrame:
     """Raw as a stream source: it is append-only, so each of its files is read once."""
     return spark.readStream.schema(RAW).parquet(f"{root.rstrip('/')}/raw")
 
 
 def daily_counts(raw: DataFrame) -> DataFrame:
-    """Additive counters per one-day window and namespace; state is one row per day and namespace."""
-    typed = type_records(raw).withWatermark("changed_at_utc", f"{RETENTION_DAYS} days")
+    """Additive counters per one-day window and namespace. State is one row per day and namespace, few enough to be
+    kept for good, so no event is ever too late."""
+    typed = type_records(raw, ["namespace_id", "changed_at_utc", "is_bot", "is_anonymous"])
     return (
         typed.groupBy(F.window("changed_at_utc", "1 day").alias("day"), "namespace_id")
         .agg(
@@ -95,17 +113,43 @@ def daily_counts(raw: DataFrame) -> DataFrame:
 
 
 def maintain_daily_counts(spark: SparkSession, root: str, target: str, checkpoint: str) -> None:
-    """Bring the counters in ``target`` up to date with raw, then stop."""
+    """Bring the counters in ``target`` up to date with raw, then stop.
 
-    def store(batch: DataFrame, _batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(target)
+    A micro-batch gives the counters it changed; only their dates' folders are written anew, the dates' other counters
+    with them. Writing the same batch again gives the same folders.
+    """
 
-    query = (
-        daily_counts(raw_stream(configure(spark), root))
-        .writeStream.outputMode("complete")
-        .foreachBatch(store)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    def store(batch: DataFrame, _batch_id: int) -> None:
+        scratch: list[str] = []
+        try:
+            changed = materialize(batch, "changed", spark, scratch)
+            days = [r["activity_date"] for r in changed.select("activity_date").distinct().collect()]  # one per day touched
+            if not days:
+                return
+            rows = changed
+            if _exists(spark, target):
+                held = spark.read.schema(changed.schema).parquet(target).filter(F.col("activity_date").isin(days))
+                new = changed.select(F.col("activity_date").alias("_day"), F.col("namespace_id").alias("_namespace"))
+                same = (F.col("activity_date") == F.col("_day")) & F.col("namespace_id").eqNullSafe(F.col("_namespace"))
+                rows = held.join(new, same, "left_anti").unionByName(changed)
+            rows = materialize(rows, "counts", spark, scratch)
+            dated = rows.repartition("activity_date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            dated.partitionBy("activity_date").parquet(target)
+        finally:
+            discard(spark, scratch)
+
+    with state_on_disk(spark):
+        query = (
+            daily_counts(raw_stream(configure(spark), root))
+            .writeStream.outputMode("update")
+            .foreachBatch(store)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
     query.awaitTermination()
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)

@@ -3,7 +3,7 @@ from datetime import timedelta
 from pyspark.sql import functions as F
 
 from changeflow.operators.rollup import daily_rollup, namespace_name
-from changeflow.operators.staging import staging, staging_of_unique
+from changeflow.operators.staging import staging, staging_of_unique, type_records
 from changeflow.schemas import MART, STAGING
 
 from .helpers import DAY, one, optimized, plan_of, raw_table, record
@@ -170,3 +170,13 @@ def test_every_accepted_clock_form_keeps_its_event_time(spark):
     stamps = ["2024-05-01T10:00Z", "20240501T100000Z", "2024-05-01 10:00:00,0+00", "2024-05-01T10:00:00", "2024-05-01T17:00:00+0700"]
     staged = staging(raw_table(spark, [{"rcid": i, "timestamp": t} for i, t in enumerate(stamps)]))
     assert [r[0] for r in staged.select(F.date_format("changed_at_utc", "HH:mm")).collect()] == ["10:00"] * 5
+
+
+def test_only_the_keys_behind_the_columns_are_parsed(spark):
+    raw = raw_table(spark, [record(1)])
+    plan = optimized(type_records(raw, ["change_id", "is_bot"]))
+    assert "rcid" in plan and "bot" in plan and not any(k in plan for k in ("comment", "title", "oldlen", "tags", "userhidden"))
+    narrow = staging(raw, ["changed_at_utc", "namespace_id"])
+    assert narrow.columns[:3] == ["change_id", "namespace_id", "changed_at_utc"]
+    wide = staging(raw).select(narrow.columns)
+    assert narrow.collect() == wide.collect()
