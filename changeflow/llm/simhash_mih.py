@@ -86,7 +86,8 @@ def fingerprint_links(fingerprints: DataFrame, column: str = "fingerprint", max_
         .select("a", "half", F.col("own").bitwiseXOR(F.col("flip")).alias("key"))
     )
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_distance
-    return probes.join(table, ["half", "key"]).filter((F.col("a") < F.col("b")) & near).select("a", "b").distinct()
+    # the optimizer does not see that exploding multiplies the rows and might broadcast them
+    return probes.join(table.hint("merge"), ["half", "key"]).filter((F.col("a") < F.col("b")) & near).select("a", "b").distinct()
 
 
 def near_duplicates(
