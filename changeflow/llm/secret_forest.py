@@ -210,7 +210,8 @@ def redact(docs: DataFrame, id_column: str = "doc_id", text: str = "text", path:
     found = stored(candidates(docs, vocabulary(docs, text), id_column, text, path), "candidates")
     secrets = score(found, train(found)).filter("is_secret")
     by_row = secrets.groupBy(F.col("row").alias(row)).agg(F.array_sort(F.collect_list(F.struct("start", "stop"))).alias(spans))
-    joined = docs.withColumn(row, F.monotonically_increasing_id()).join(by_row, row, "left")
+    # the rows with secrets grow with the table, so they are never broadcast
+    joined = docs.withColumn(row, F.monotonically_increasing_id()).join(by_row.hint("merge"), row, "left")
     changed = F.col(spans).isNotNull()
     # what stands between one span's end and the next one's start, with a mark in each seam
     stops = F.concat(F.array(F.lit(0).cast("long")), F.transform(spans, lambda s: s["stop"]))

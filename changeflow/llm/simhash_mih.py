@@ -118,19 +118,21 @@ def near_duplicates(
 def one_of_each(docs: DataFrame, id_column: str = "doc_id", text: str = "text", **contract) -> DataFrame:
     """The rows of ``docs`` that stay when each component keeps one row, that with the smallest id.
 
-    Rows without id come after all others; among rows with equal id and fingerprint any one stays.
+    Rows without id come after all others; among rows with equal id and text any one stays. The search runs on a slim
+    table of ids, hashes of texts (which tell rows of one id apart) and fingerprints; the texts move once, to be joined
+    with the rows that stay. Those grow with the table, so they are never broadcast.
     """
-    fp, key, rank = fresh(docs, "fp", "id_key", "rank_in_id")
-    marked = with_fingerprint(docs, text, fp, contract.get("width", WORDS_PER_SHINGLE))
-    marked = stored(marked.withColumn(key, F.coalesce(F.col(id_column).cast("string"), F.lit(""))), "marked")
-    rank_of_row = F.struct(F.col(id_column).isNull().alias("lacks"), F.col(id_column).alias("id"), F.col(key).alias("key"))
-    classes = stored(marked.groupBy(F.col(fp).alias("fp")).agg(F.min(rank_of_row).alias("least")), "classes")
+    key, digest, rank = fresh(docs, "id_key", "text_hash", "rank_of_row")
+    told = {key: F.coalesce(F.col(id_column).cast("string"), F.lit("")), digest: F.xxhash64(text)}
+    own = docs.select(F.col(id_column).alias("id"), F.col(text).alias("text"), told[key].alias("key"), told[digest].alias("digest"))
+    slim = with_fingerprint(own, "text", "fp", contract.get("width", WORDS_PER_SHINGLE)).select("id", "key", "digest", "fp")
+    slim = stored(slim, "slim")
+    row = F.struct(F.col("id").isNull().alias("lacks"), "id", "key", "digest")
+    classes = stored(slim.groupBy("fp").agg(F.min(row).alias("least")), "classes")
     components = connected_components(fingerprint_links(classes, "fp", contract.get("max_distance", MAX_DISTANCE)), "a", "b")
-    placed = classes.join(components, classes["fp"] == components["node"], "left").select(
-        "fp", "least", F.coalesce("component", "fp").alias("component")
-    )
-    winners = placed.groupBy("component").agg(F.min(F.struct("least.lacks", "least.id", "least.key", "fp")).alias("w"))
-    winners = winners.select(F.col("w.fp").alias(fp), F.col("w.key").alias(key))
-    once = Window.partitionBy(fp, key).orderBy(F.lit(1))
-    kept = marked.join(winners, [fp, key], "left_semi").withColumn(rank, F.row_number().over(once))
-    return kept.filter(F.col(rank) == 1).select(docs.columns)
+    placed = classes.join(components, classes["fp"] == components["node"], "left")
+    least = placed.groupBy(F.coalesce("component", "fp").alias("component")).agg(F.min("least").alias("least"))
+    stay = least.select(F.col("least.key").alias(key), F.col("least.digest").alias(digest))
+    once = Window.partitionBy(key, digest).orderBy(F.lit(1))
+    kept = docs.withColumns(told).join(stay.hint("merge"), [key, digest], "left_semi")
+    return kept.withColumn(rank, F.row_number().over(once)).filter(F.col(rank) == 1).select(docs.columns)
