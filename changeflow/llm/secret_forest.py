@@ -62,10 +62,21 @@ class Vocabulary:
 
 
 def vocabulary(docs: DataFrame, text: str = "text", size: int = DICTIONARY_WORDS) -> Vocabulary:
-    """Counted over all texts; the ``size`` commonest words of 3 to 12 Latin letters (equal counts by name)."""
+    """Counted over all texts; the commonest words of 3 to 12 Latin letters, at most ``size`` of them.
+
+    Words are taken by classes of like counts (eight to a doubling), the commonest class first, as long as a whole class
+    fits. So the driver gets a histogram of classes and then at most ``size`` words, however many partitions count.
+    """
     word = F.explode(words(lower_ascii(F.col(text)))).alias("word")
     counted = docs.select(word).filter(F.col("word").rlike(f"^[a-z]{{{MIN_WORD},{MAX_WORD}}}$")).groupBy("word").count()
-    top = counted.orderBy(F.desc("count"), "word").limit(size).collect()  # at most ``size`` rows
+    counted = stored(counted.withColumn("class", F.floor(F.log2("count") * 8).cast("int")), "words")
+    taken, least = 0, None
+    for row in counted.groupBy("class").agg(F.count("*").alias("words")).orderBy(F.desc("class")).collect():  # at most 504 rows
+        taken += row["words"]
+        if taken > size:
+            break
+        least = row["class"]
+    top = [] if least is None else counted.filter(F.col("class") >= least).select("word", "count").collect()
     pairs = np.ones((27, 27))
     for row in top:
         at = [0, *[ord(c) - 96 for c in row["word"]], 0]
