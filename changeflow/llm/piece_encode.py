@@ -34,7 +34,7 @@ CUTS = (
     rf"{MARK}*[^{MARK}]+|{MARK}+",
     r"(?s:.+)",
 )
-REMEMBERED = 200_000
+REMEMBERED = 500_000
 LONGEST_REMEMBERED = 48
 PAIRS = 200_000
 #: Up to this many characters, looking through all pairs beats keeping a heap of them.
