@@ -38,7 +38,8 @@ FORMATS = (
     ("private_key", r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----[A-Za-z0-9+/=\s]{0,8192}(?:-----END [A-Z ]{0,20}PRIVATE KEY-----)?"),
 )
 #: Whatever else may be a credential: a long run of key characters with a digit or a change from lower to upper case.
-GENERIC = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]{0,255}(?:[0-9]|(?<=[a-z])[A-Z]))[A-Za-z0-9+/_-]{12,512}={0,2}(?![A-Za-z0-9+/_=-])"
+#: It may follow '=' directly, as in NAME=value; a name before '=' and a value is none, as '=' ends a run only as padding.
+GENERIC = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]{0,255}(?:[0-9]|(?<=[a-z])[A-Z]))[A-Za-z0-9+/_-]{12,512}={0,2}(?![A-Za-z0-9+/_=-])"
 CANDIDATE = re.compile("|".join(f"(?P<{k}>{p})" for k, p in FORMATS) + f"|(?P<generic>{GENERIC})")
 
 NAMES_OF_SECRETS = ("token", "secret", "password", "passwd", "pwd", "api_key", "apikey", "access_key", "auth", "credential", "private_key")

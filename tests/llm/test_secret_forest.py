@@ -93,3 +93,18 @@ def test_empty_tables_long_texts_and_no_labels(docs_of):
     long_text = "word " * 200_000 + 'password = "9f8e7d6c5b4a39281706f5e4d3c2b1a0"'
     rows = sf.scan(docs_of([(1, long_text)])).collect()
     assert [(r["doc_id"], r["stop"] - r["start"], r["is_secret"]) for r in rows] == [(1, 32, True)]
+
+
+UNQUOTED = ("PASSWORD={}", "export DEPLOYMENT_API_KEY={}", "api_key={}\nnext=1", "https://example.org/v1/list?token={}&page=2", "--auth={} run", "secret={}==")
+
+
+def test_unquoted_assignments_are_scanned_and_redacted(docs_of):
+    value = "Ab12cd34ef56gh78"
+    assert all([m[0].rstrip("=") for m in sf.CANDIDATE.finditer(t.format(value))] == [value] for t in UNQUOTED)
+    assert [m[0] for m in sf.CANDIDATE.finditer("AWS_S3_SECRET_KEY=short")] == []
+    texts = [t.format(value) for t in UNQUOTED] + ["sha256=" + key(random.Random(2), 64)]
+    df = stored(docs_of(list(enumerate(texts))), "docs")
+    rows = sf.scan(df).collect()
+    assert sorted((r["doc_id"], r["is_secret"]) for r in rows) == [(i, True) for i in range(len(UNQUOTED))] + [(len(UNQUOTED), False)]
+    left = {r["doc_id"]: r["text"] for r in sf.redact(df).collect()}
+    assert left == {i: re.sub(value + "=*", "[SECRET]", t) for i, t in enumerate(texts)}
