@@ -27,6 +27,13 @@ DICTIONARY_WORDS = 20_000
 MIN_WORD, MAX_WORD = 3, 12
 THRESHOLD = 0.5
 
+#: A private key's armour up to its END line, headers and escapes included. The body stops before any other armour line, so
+#: that no text is searched twice; without an END line it is header lines and key lines as far as they go.
+PEM = (
+    r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----"
+    r"(?:(?:[^-]++|-(?!----(?:BEGIN|END) ))*+-----END [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----"
+    r"|(?:(?:\s|\\+[nrt])*+(?:Proc-Type|DEK-Info|Version|Comment|Hash|Charset|MessageID):(?:[^\r\n\\-]++|-(?!----))*+)*+[A-Za-z0-9+/=\s\\]*+)"
+)
 #: Fixed formats of well-known credentials.
 FORMATS = (
     ("aws_key", r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])"),
@@ -35,11 +42,15 @@ FORMATS = (
     ("stripe_key", r"(?<![A-Za-z0-9])[sr]k_live_[A-Za-z0-9]{16,}"),
     ("google_key", r"(?<![A-Za-z0-9])AIza[A-Za-z0-9_-]{35}(?![A-Za-z0-9_-])"),
     ("jwt", r"(?<![A-Za-z0-9])eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
-    ("private_key", r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----[A-Za-z0-9+/=\s]{0,8192}(?:-----END [A-Z ]{0,20}PRIVATE KEY-----)?"),
+    ("private_key", PEM),
+)
+#: Whatever else may be a credential: a run of 12 key characters or more, of any length, with a digit or a change from
+#: lower to upper case. It may follow '=' directly, as in NAME=value; a name before '=' and a value is none, as '=' ends a
+#: run only as padding. An armour line that follows without a break is not part of it.
+GENERIC = (
+    r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z0-9+/_-]{12})(?=[A-Za-z+/_-]*(?:[0-9]|(?<=[a-z])[A-Z]))"
+    r"(?:[A-Za-z0-9+/_]|-(?!----BEGIN ))(?:[A-Za-z0-9+/_]|-(?!----BEGIN )){11,}+={0,2}(?![A-Za-z0-9+/_=]|-(?!----BEGIN ))"
 )
-#: Whatever else may be a credential: a long run of key characters with a digit or a change from lower to upper case.
-#: It may follow '=' directly, as in NAME=value; a name before '=' and a value is none, as '=' ends a run only as padding.
-GENERIC = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]{0,255}(?:[0-9]|(?<=[a-z])[A-Z]))[A-Za-z0-9+/_-]{12,512}={0,2}(?![A-Za-z0-9+/_=-])"
 CANDIDATE = re.compile("|".join(f"(?P<{k}>{p})" for k, p in FORMATS) + f"|(?P<generic>{GENERIC})")
 
 NAMES_OF_SECRETS = ("token", "secret", "password", "passwd", "pwd", "api_key", "apikey", "access_key", "auth", "credential", "private_key")
@@ -101,10 +112,10 @@ def _covered(value: str, known: frozenset) -> float:
 
 def _features(value: str, kind: str, before: str, after: str, path: str, vocabulary: Vocabulary) -> list[float]:
     n = len(value)
-    kinds = ["d" if c.isdigit() else "u" if c.isupper() else "l" if c.isalpha() else "s" for c in value[:4096]]
+    kinds = ["d" if c.isdigit() else "u" if c.isupper() else "l" if c.isalpha() else "s" for c in value]
     counts = np.unique(np.array([ord(c) for c in value]), return_counts=True)[1] / n
     low = value.lower()
-    letters = [ord(c) - 96 if "a" <= c <= "z" else 0 for c in low[:4096]]
+    letters = [ord(c) - 96 if "a" <= c <= "z" else 0 for c in low]
     assigned = ASSIGNED.search(before)
     name = assigned[1].lower() if assigned else ""
     near = f"{before} {after}".lower()
@@ -118,7 +129,7 @@ def _features(value: str, kind: str, before: str, after: str, path: str, vocabul
         float(-(counts * np.log2(counts)).sum()),
         sum(a != b for a, b in zip(kinds, kinds[1:], strict=False)) / max(len(kinds) - 1, 1),
         float(vocabulary.pairs[letters[:-1], letters[1:]].mean()) if n > 1 else 0.0,
-        _covered(low[:4096], vocabulary.words),
+        _covered(low, vocabulary.words),
         float(all(c in "0123456789abcdef" for c in low)),
         float(value.isdigit()),
         float(before[-1:] in "\"'`" and before[-1:] != "" and after[:1] == before[-1:]),
