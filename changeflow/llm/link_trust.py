@@ -2,8 +2,10 @@
 
 Trust starts at hosts that rules allow and follows links; distrust starts at hosts that rules block and follows links
 backwards, since who links to a bad host is suspect while who is linked from one is not. Both are personalised PageRanks
-over the graph of hosts. A host whose distrust is more than its trust, and enough to matter, is blocked. All of it is
-DataFrame functions: links are summed to host edges before anything is joined, and a round is one join and one sum.
+over the graph of hosts. Distrust is divided among all hosts that link to a bad one, so how much of it is enough to matter
+is asked of a host's exposure instead: the share of its own links that leads to blocked hosts, by any number of steps,
+which does not depend on how many others link there. A host with more distrust than trust and enough exposure is blocked.
+All of it is DataFrame functions: links are summed to host edges before anything is joined, and a round is one join and one sum.
 """
 
 from dataclasses import dataclass
@@ -21,9 +23,9 @@ BLOCK_OF_ROUNDS = 4
 TOLERANCE = 1e-6
 #: A host is a seed if rules judge at least this share of its pages that way.
 SEED_SHARE = 0.5
-#: Least distrust that blocks, where a blocked seed alone has 0.15 (what does not come by links).
+#: Least exposure that blocks, where a blocked seed alone has 0.15 (what does not come by links).
 LEAST_DISTRUST = 0.01
-TRUST, DISTRUST = 0, 1
+TRUST, DISTRUST, EXPOSURE = 0, 1, 2
 
 
 @dataclass(frozen=True)
@@ -90,16 +92,19 @@ def host_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
 
 
 def _steps(edges: DataFrame) -> DataFrame:
-    """``kind, node, to, p``: a step of trust goes along a link, one of distrust against it, in proportion to pages."""
+    """``kind, node, to, p``: a step of trust goes along a link, one of distrust against it, in proportion to pages.
+
+    Exposure goes against a link too, but in proportion to the pages of the host that links, not of all that link there.
+    """
     out = edges.groupBy(F.col("src").alias("node")).agg(F.sum("pages").alias("whole"))
     back = edges.groupBy(F.col("dst").alias("node")).agg(F.sum("pages").alias("whole"))
-    along = edges.withColumn("node", F.col("src")).join(out, "node").select(
-        F.lit(TRUST).alias("kind"), "node", F.col("dst").alias("to"), (F.col("pages") / F.col("whole")).alias("p")
+    step = lambda kind, node, to: F.struct(F.lit(kind).alias("kind"), F.col(node).alias("node"), F.col(to).alias("to"))
+    p = (F.col("pages") / F.col("whole")).alias("p")
+    own = edges.withColumn("node", F.col("src")).join(out, "node").select(
+        F.explode(F.array(step(TRUST, "src", "dst"), step(EXPOSURE, "dst", "src"))).alias("step"), p
     )
-    against = edges.withColumn("node", F.col("dst")).join(back, "node").select(
-        F.lit(DISTRUST).alias("kind"), "node", F.col("src").alias("to"), (F.col("pages") / F.col("whole")).alias("p")
-    )
-    return along.unionByName(against)
+    against = edges.withColumn("node", F.col("dst")).join(back, "node").select(step(DISTRUST, "dst", "src").alias("step"), p)
+    return own.unionByName(against).select("step.*", "p")
 
 
 def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
@@ -142,12 +147,16 @@ def host_verdicts(pages: DataFrame, rules: tuple[Rule, ...] = RULES, url: str =
     share = lambda v: F.when(F.col("n") > 0, F.col(v) >= SEED_SHARE * F.col("n")).otherwise(F.col(f"root_{v}") == 1)
     # half allowed and half blocked is blocked
     kind = F.when(share(BLOCK), DISTRUST).when(share(ALLOW), TRUST)
-    seeds = stored(shares.select(kind.alias("kind"), F.col("host").alias("node")).filter("kind is not null"), "seeds")
+    judged_so = shares.select(kind.alias("by"), F.col("host").alias("node")).filter("by is not null")
+    kinds = F.when(F.col("by") == DISTRUST, F.array(F.lit(DISTRUST), F.lit(EXPOSURE))).otherwise(F.array("by"))
+    seeds = stored(judged_so.select(F.explode(kinds).alias("kind"), "node"), "seeds")
     ranks = propagate(edges, seeds)
     side = lambda k: F.sum(F.when(F.col("kind") == k, F.col("rank")).otherwise(0.0))
-    scores = ranks.groupBy(F.col("node").alias("host")).agg(side(TRUST).alias("trust"), side(DISTRUST).alias("distrust"))
-    bad = (F.col("distrust") > F.col("trust")) & (F.col("distrust") >= LEAST_DISTRUST)
-    return scores.withColumn("host_verdict", F.when(bad, BLOCK).otherwise(ALLOW))
+    scores = ranks.groupBy(F.col("node").alias("host")).agg(
+        side(TRUST).alias("trust"), side(DISTRUST).alias("distrust"), side(EXPOSURE).alias("exposure")
+    )
+    bad = (F.col("distrust") > F.col("trust")) & (F.col("exposure") >= LEAST_DISTRUST)
+    return scores.select("host", "trust", "distrust", F.when(bad, BLOCK).otherwise(ALLOW).alias("host_verdict"))
 
 
 def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, id_column: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:

@@ -117,3 +117,15 @@ def test_empty_table_and_no_python(spark, sf_dir):
     plan = judged._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
     assert judged.count() == table(spark, sf_dir, "pages").count()
+
+
+@pytest.mark.parametrize("linkers", [1, 1000])
+def test_verdicts_do_not_depend_on_how_many_link_to_a_blocked_host(spark, linkers):
+    bad = '<a href="http://bad.net/es/">'
+    wide = bad + "".join(f'<a href="http://n{n}.org/">' for n in range(99))
+    rows = [(f"http://h{n}.org/", bad) for n in range(linkers)] + [("http://bad.net/es/", "")]
+    rows += [(f"http://hot.org/{n}", bad) for n in range(3 * linkers)] + [("http://wide.org/", wide), ("http://behind.org/", '<a href="http://h0.org/">')]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "page_id long, url string, html string")
+    got = {r["host"]: r["verdict"] for r in lt.judge(df).collect()}
+    assert got == {host: lt.ALLOW if host == "wide.org" else lt.BLOCK for host in got}
+    assert len(got) == linkers + 4
