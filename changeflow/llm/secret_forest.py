@@ -74,21 +74,30 @@ class Vocabulary:
 
 
 def vocabulary(docs: DataFrame, text: str = "text", size: int = DICTIONARY_WORDS) -> Vocabulary:
-    """Counted over all texts; the commonest words of 3 to 12 Latin letters, at most ``size`` of them.
+    """Counted over all texts; the ``size`` commonest words of 3 to 12 Latin letters, of like counts the alphabetically first.
 
     Words are taken by classes of like counts (eight to a doubling), the commonest class first, as long as a whole class
-    fits. So the driver gets a histogram of classes and then at most ``size`` words, however many partitions count.
+    fits; the one that does not fit is divided by counts, then by ever longer beginnings of words. So the driver gets a few
+    histograms and then at most ``size`` words, however many partitions count, and nothing is sorted.
     """
     word = F.explode(words(lower_ascii(F.col(text)))).alias("word")
     counted = docs.select(word).filter(F.col("word").rlike(f"^[a-z]{{{MIN_WORD},{MAX_WORD}}}$")).groupBy("word").count()
     counted = stored(counted.withColumn("class", F.floor(F.log2("count") * 8).cast("int")), "words")
-    taken, least = 0, None
-    for row in counted.groupBy("class").agg(F.count("*").alias("words")).orderBy(F.desc("class")).collect():  # at most 504 rows
-        taken += row["words"]
-        if taken > size:
+    rest, kept, inside = size, F.lit(False), F.lit(True)
+    # by the second key on, what has the first ones in common with the first word left out
+    for key in (-F.col("class"), -F.col("count"), *[F.substring("word", 1, n) for n in (3, 6, 9, MAX_WORD)]):
+        last = cut = None
+        for row in counted.filter(inside).groupBy(key.alias("key")).agg(F.count("*").alias("words")).orderBy("key").collect():
+            if row["words"] > rest:
+                cut = row["key"]
+                break
+            rest, last = rest - row["words"], row["key"]
+        if last is not None:
+            kept = kept | inside & (key <= last)
+        if cut is None or not rest:
             break
-        least = row["class"]
-    top = [] if least is None else counted.filter(F.col("class") >= least).select("word", "count").collect()
+        inside = inside & (key == cut)
+    top = counted.filter(kept).select("word", "count").collect()
     pairs = np.ones((27, 27))
     for row in top:
         at = [0, *[ord(c) - 96 for c in row["word"]], 0]

@@ -157,3 +157,12 @@ def test_whole_keys_and_long_runs_are_redacted(docs_of):
     df = stored(docs_of([(i, f"before {t} after, and sha256: {key(rng, 64)}") for i, t in enumerate(secrets)]), "docs")
     left = {r["doc_id"]: r["text"] for r in sf.redact(df).collect()}
     assert all(not any(line in t for line in lines) and t.startswith("before ") and " after, and sha256: " in t for t in left.values())
+
+
+def test_dictionary_is_filled_from_a_class_that_does_not_fit(docs_of):
+    words = [f"{a}{b}word" for a in "abcdefghij" for b in "abcdefghij"]
+    docs = docs_of([(1, " ".join(words)), (2, " ".join(["common"] * 9)), (3, " ".join(words[50:60]))])
+    assert sf.vocabulary(docs, size=31).words == {"common", *words[50:60], *words[:20]}
+    assert sf.vocabulary(docs, size=6).words == {"common", *words[50:55]}
+    assert sf.vocabulary(docs, size=1).words == {"common"}
+    assert len(sf.vocabulary(docs, size=500).words) == 101
