@@ -200,9 +200,10 @@ def _label(kind: str, features: list[float]) -> int | None:
 def train(findings: DataFrame, limit: int = MAX_TRAINING, trees: int = 20, depth: int = 6, seed: int = 11) -> RandomForestClassificationModel | None:
     """A forest fitted on up to ``limit`` labelled findings, those with the smallest hash; None unless both labels occur.
 
-    The sample's bound is a parameter of fitting alone: every candidate is scored.
+    Findings of equal features and label, such as those of copied documents, count as one. The sample's bound is a parameter of fitting alone: every candidate is scored.
     """
     labelled = findings.filter("label is not null").select("features", F.col("label").cast("double").alias("label"))
+    labelled = labelled.dropDuplicates(["features", "label"])
     order = [F.xxhash64("features", "label"), "features"]
     each = [labelled.filter(F.col("label") == x).orderBy(*order).limit(limit // 2) for x in (0.0, 1.0)]
     sample = stored(each[0].unionByName(each[1]).repartition(1).sortWithinPartitions(*order, "label"), "training")

@@ -166,3 +166,11 @@ def test_dictionary_is_filled_from_a_class_that_does_not_fit(docs_of):
     assert sf.vocabulary(docs, size=6).words == {"common", *words[50:55]}
     assert sf.vocabulary(docs, size=1).words == {"common"}
     assert len(sf.vocabulary(docs, size=500).words) == 101
+
+
+def test_copied_findings_do_not_fill_the_training_sample(spark, monkeypatch):
+    rows = [([float(n)] + [0.0] * (len(sf.FEATURES) - 1), label) for label in (0, 1) for n in range(label, 80, 2) for _ in range(50)]
+    sampled = []
+    monkeypatch.setattr(sf, "stored", lambda df, name: sampled.append(stored(df, name)) or sampled[-1])
+    sf.train(spark.createDataFrame(rows, "features array<double>, label int"), limit=40, trees=2)
+    assert sampled[0].count() == 40 and sampled[0].select("features").distinct().count() == 40
