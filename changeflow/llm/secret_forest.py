@@ -214,10 +214,13 @@ def train(findings: DataFrame, limit: int = MAX_TRAINING, trees: int = 20, depth
 
 
 def score(findings: DataFrame, forest: RandomForestClassificationModel | None, threshold: float = THRESHOLD) -> DataFrame:
-    """``findings`` with ``probability`` and ``is_secret``; without a forest the labels alone decide, unknown ones being kept."""
+    """``findings`` with ``probability`` and ``is_secret``; without a forest the labels alone decide.
+
+    Then a finding without a label is no secret and its probability NULL, since nothing tells how likely it is one.
+    """
     if forest is None:
-        p = F.coalesce(F.col("label").cast("double"), F.lit(1.0))
-        return findings.withColumn("probability", p).withColumn("is_secret", p >= threshold)
+        p = F.col("label").cast("double")
+        return findings.withColumn("probability", p).withColumn("is_secret", F.coalesce(p >= threshold, F.lit(False)))
     scored = forest.transform(findings.withColumnRenamed("features", "raw").withColumn("features", array_to_vector("raw")))
     p: Column = F.get(vector_to_array("probability"), F.lit(1))
     kept = [F.col("raw").alias("features") if c == "features" else F.col(c) for c in findings.columns]

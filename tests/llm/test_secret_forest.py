@@ -174,3 +174,13 @@ def test_copied_findings_do_not_fill_the_training_sample(spark, monkeypatch):
     monkeypatch.setattr(sf, "stored", lambda df, name: sampled.append(stored(df, name)) or sampled[-1])
     sf.train(spark.createDataFrame(rows, "features array<double>, label int"), limit=40, trees=2)
     assert sampled[0].count() == 40 and sampled[0].select("features").distinct().count() == 40
+
+
+def test_without_a_forest_only_proven_candidates_are_redacted(docs_of):
+    clean = "see buildNumber42 and moduleName17 in the log"
+    df = stored(docs_of([(1, clean), (2, f'token = "{key(random.Random(9))}"')]), "docs")
+    for docs, proven in ((df.filter("doc_id = 1"), 0), (df, 1)):
+        rows = sf.scan(docs).collect()
+        assert [(r["probability"], r["is_secret"]) for r in rows if r["doc_id"] == 1] == [(None, False)] * 2
+        assert [(r["probability"], r["is_secret"]) for r in rows if r["doc_id"] == 2] == [(1.0, True)] * proven
+    assert {r["doc_id"]: r["text"] for r in sf.redact(df).collect()} == {1: clean, 2: 'token = "[SECRET]"'}
