@@ -6,8 +6,8 @@ by dual-feasible functions. A group whose count meets its bound is certified: no
 bins. In the others the bins that are not full are taken apart, as is the emptiest bin of a certified group (what
 rounding up leaves open in each group may add up to whole bins); their remainders are dealt anew over fewer groups, so
 that documents change places between groups, and packed again, until one group holds them all or a round gains nothing,
-in which case its bins stay as they were. A group is of bounded size whatever the corpus holds, and no remainder is ever
-cut further.
+in which case its bins stay as they were. Where no bin at all may stay, groups are merged, two into one; only then do they
+grow beyond their size. No remainder is ever cut further.
 """
 
 import json
@@ -15,6 +15,7 @@ from bisect import bisect_left, insort
 from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
+from itertools import count
 from zlib import crc32
 
 import numpy as np
@@ -32,7 +33,6 @@ from .common import arrow, ship, stored
 CAPACITY = 1024
 END_ID = 2
 GROUP_ITEMS = 20_000
-ROUNDS = 4
 #: A stretch without a break of this many characters is left to the tokenizers library.
 LONG_STRETCH = 2_000
 
@@ -193,11 +193,11 @@ def _pack_groups(items: DataFrame, groups: int, salt: int, capacity: int) -> Dat
     return dealt.groupBy("grp").applyInPandas(pack, StructType([*dealt.schema.fields, *made]))
 
 
-def pack(pieces: DataFrame, capacity: int = CAPACITY, group_items: int = GROUP_ITEMS, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
+def pack(pieces: DataFrame, capacity: int = CAPACITY, group_items: int = GROUP_ITEMS, rounds: int | None = None) -> tuple[DataFrame, DataFrame]:
     """``pieces`` with ``sequence_id`` and ``offset``, and the certificates: a row per round and group.
 
     ``pieces`` needs ``length`` (1 to ``capacity``) and must be stored, for it is read more than once; rows may repeat.
-    A certificate tells a group's bins, its bound, and how many of its bins stayed (``kept``) rather than being taken apart.
+    ``rounds``, if given, ends the exchange early. A certificate tells a group's bins, its bound, and how many of its bins stayed (``kept``) rather than being taken apart.
     """
     payload = pieces.columns
     inner = [f"c{n}" for n in range(len(payload))]
@@ -208,7 +208,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group_items: int = GROUP_I
     items = left_over.columns
     done, certificates = [], []
     left, taken, apart = left_over.count(), None, 0
-    for turn in range(rounds):
+    for turn in count():
         groups = max(1, -(-left // group_items))
         packed = stored(_pack_groups(left_over, groups, turn, capacity), "packed").withColumn("round", F.lit(turn))
         loose = (F.col("filled") < capacity) & ((F.col("bins") > F.col("bound")) | (F.col("bin") == F.col("emptiest")))
@@ -220,7 +220,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group_items: int = GROUP_I
             done.append(taken)
             break
         before, left = left, bins["items"] or 0
-        last = groups == 1 or turn + 1 == rounds or left in (0, before)
+        last = groups == 1 or turn + 1 == rounds or left == 0
         keep = F.lit(True) if last else ~loose
         certificates.append(
             packed.groupBy("round", "grp").agg(
@@ -230,12 +230,14 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group_items: int = GROUP_I
         done.append(packed.filter(keep))
         if last:
             break
+        if left == before:
+            group_items *= 2
         taken, apart = packed.filter(loose), bins["loose"]
         left_over = taken.select(items)
     full = pieces.filter(F.col("length") == capacity)
     # full pieces take even numbers, bins of remainders odd ones: round, group and bin in separate bits
     out = full.select(*payload, (F.monotonically_increasing_id() * 2).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
-    number = F.col("round").cast("long") * F.lit(1 << 56) + F.col("grp").cast("long") * F.lit(1 << 25) + F.col("bin") * 2 + 1
+    number = F.col("round").cast("long") * F.lit(1 << 49) + F.col("grp").cast("long") * F.lit(1 << 25) + F.col("bin") * 2 + 1
     for part in done:
         named = [F.col(c).alias(name) for c, name in zip(inner, payload, strict=True)]
         out = out.unionByName(part.select(*named, number.alias("sequence_id"), "offset"))

@@ -130,3 +130,28 @@ def test_ids_come_along_and_empty_tables_pack(docs_of):
     assert packed.first()["ids"] == [*ids_of("some words"), 2]
     packed, certificates = cp.pack_documents(docs_of([]), PATH)
     assert packed.count() == 0 and certificates.count() == 0
+
+
+def test_groups_are_merged_where_no_bin_may_stay(spark):
+    # even lengths never fill an odd capacity, and no group of the first round meets its bound
+    rng = random.Random(2)
+    for _ in range(96):
+        rng.choice([300, 360, 400, 440])
+    lengths = [2 * rng.randint(90, 260) for _ in range(90)]
+    df = spark.createDataFrame(list(enumerate(lengths)), "doc_id long, length long").coalesce(1)
+    packed, certificates = cp.pack(df, 1025, group_items=30)
+    first = [r for r in certificates.collect() if r["round"] == 0]
+    assert len(first) == 3 and not any(r["kept"] for r in first)
+    assert packed.select("sequence_id").distinct().count() < sum(r["bins"] for r in first)
+    assert packed.count() == len(lengths) and packed.groupBy("sequence_id").agg(F.sum("length").alias("n")).filter("n > 1025").count() == 0
+
+
+def test_exchange_goes_on_while_rounds_gain(spark):
+    rng = random.Random(0)
+    lengths = [rng.choice([170, 205, 256, 257, 341, 342, 410, 511, 513]) for _ in range(900)]
+    df = spark.createDataFrame(list(enumerate(lengths)), "doc_id long, length long").coalesce(1)
+    packed, certificates = cp.pack(df, group_items=6)
+    assert certificates.agg(F.max("round")).first()[0] > 3
+    four = cp.pack(df, group_items=6, rounds=4)[0].select("sequence_id").distinct().count()
+    assert packed.select("sequence_id").distinct().count() < four
+    assert packed.count() == len(lengths) and packed.groupBy("sequence_id").agg(F.sum("length").alias("n")).filter("n > 1024").count() == 0
