@@ -4,7 +4,8 @@ The library merges the best-scored adjacent pair again and again. The same resul
 which every two neighbours are compatible: merging their joined text from scratch gives those two pieces back. So an
 encoder may walk from left to right, take the longest piece that starts where it stands and is compatible with the one
 before, and step back when none is; positions from which no way led on are marked in a bitfield and never tried again.
-All pieces in a text come from one pass of an Aho-Corasick automaton.
+Pieces are looked up in a trie, that of an Aho-Corasick automaton whose failure links are not used: the longest prefix of
+what follows is asked for at each position where a piece may start, in place of one pass that finds all pieces of a text.
 
 Text is first cut where no piece of the vocabulary crosses (before a space mark, after a letter that no letter follows);
 no merge can cross there either. The parts repeat a lot, so their encodings are remembered, in bounded memory.
@@ -148,7 +149,7 @@ class Encoder:
         return known
 
     def longest(self, part: str, at: int) -> str:
-        """The longest piece that starts at ``at``: the automaton says how far any piece goes on like the text."""
+        """The longest piece that starts at ``at``: the trie says how far any piece goes on like the text."""
         piece = part[at : at + self.automaton.longest_prefix(part[at : at + self.most])]
         return piece if piece in self.ids else self.shorter(piece)
 
