@@ -36,25 +36,31 @@ feed as (
             case when e % 5 = 0 then '"minor":null' end,
             '"newlen":' || cast(1000 + cast(floor(v) as bigint) as varchar),
             '"ns":' || case when e % 41 = 0 then '"x"' else cast(k % 17 - 1 as varchar) end,
+            case when e % 8 <> 3 then '"old_revid":' || (200000 + e) end,
             case when e % 11 <> 0 then '"oldlen":' || (1000 + u) end,
+            case when e % 43 = 0 then '"pageid":"p"' when e % 9 <> 0 then '"pageid":' || (500 + k) end,
             case when e % 97 = 13 then '"rcid":"abc"' when e % 101 <> 17 then '"rcid":' || e end,
+            case when e % 17 = 0 then '"redirect":""' end,
+            case when e % 8 <> 3 then '"revid":' || (300000 + e) end,
             case when e % 4 = 0 then '"tags":' || case e % 3 when 0 then '[]' when 1 then '["t1"]' else '["t1","t2"]' end
                  when e % 4 = 1 then '"tags":"t"' end,
-            case when e % 83 <> 3 then '"timestamp":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S')
-                 || case when e % 89 = 5 then '' else 'Z' end || '"' end,
+            case when e % 83 <> 3 then '"timestamp":"' || case
+                 when e % 89 = 5 then strftime(ts, '%Y-%m-%dT%H:%M:%S')
+                 when e % 13 = 6 then strftime(ts + interval 2 hours, '%Y-%m-%dT%H:%M:%S') || '+02:00'
+                 else strftime(ts, '%Y-%m-%dT%H:%M:%S') || 'Z' end || '"' end,
             '"title":"Page ' || k || '"',
             '"type":"' || case event_type when 'click' then 'edit' when 'view' then 'new' when 'signup' then 'log'
                  when 'purchase' then 'categorize' when 'error' then 'external' end || '"',
             case when e % 20 = 10 then '"user":""' when e % 20 <> 0 then '"user":"u' || u || '"' end,
+            case when e % 19 = 0 then '"userhidden":""' end,
             '"userid":' || u
         ) || '}' as _raw,
         cast(ws as timestamp) as _window_start,
         cast(ws + interval 1 day as timestamp) as _window_end,
         cast(ws + interval 1 day * (1 + replay) as timestamp) as _ingested_at,
         replay,
-        (e - min(e) over w) // 500 + 1 + replay * ((max(e) over w - min(e) over w) // 500 + 1) as page_no
-    from base
-    window w as (partition by ws)
+        dense_rank() over (partition by ws order by replay, (e - low) // 500) as page_no
+    from (select *, min(e) over (partition by ws) as low from base)
 )"""
 
 _JUDGED = """,
@@ -64,8 +70,9 @@ texts as (
 keyed as (
     select *,
         case when regexp_full_match(rcid, '[+-]?[0-9]+') then try_cast(rcid as bigint) end as _key,
-        case when regexp_full_match(stamp, '[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}Z')
-             then try_cast(replace(stamp, 'Z', '') as timestamp) end as event_time
+        case when regexp_full_match(stamp, '[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}(Z|[+]02:00)')
+             then try_cast(left(stamp, 19) as timestamp)
+                 - case when stamp like '%+02:00' then interval 2 hours else interval 0 hours end end as event_time
     from texts
 ),
 judged as (
@@ -109,7 +116,9 @@ def _typed(source: str, name: str) -> str:
         {text("title")} as page_title, {number("pageid")} as page_id, {number("revid")} as revision_id,
         {number("old_revid")} as old_revision_id, coalesce({text("user")}, 'unknown') as user_name,
         {number("userid")} as user_id, {text("comment")} as change_comment,
-        cast(replace(json_extract_string(_raw, '$.timestamp'), 'Z', '') as timestamp) as changed_at_utc,
+        cast(left(json_extract_string(_raw, '$.timestamp'), 19) as timestamp)
+            - case when json_extract_string(_raw, '$.timestamp') like '%+02:00' then interval 2 hours else interval 0 hours end
+            as changed_at_utc,
         {number("oldlen", signed=True)} as old_length, {number("newlen", signed=True)} as new_length,
         {flag("bot")} as is_bot, {flag("minor")} as is_minor, {flag("anon")} as is_anonymous,
         {flag("redirect")} as is_redirect, {flag("userhidden")} as is_user_hidden,
@@ -322,7 +331,7 @@ def _report() -> str:
 
 
 _REPORT = _q(_MART, _report())
-_TEN_DAYS = "between date '2024-01-05' and date '2024-01-14'"
+_TEN_DAYS = """between (select cast(min(ts) as date) + 4 from events) and (select cast(min(ts) as date) + 13 from events)"""
 _REPORT_DAYS = _q(
     _MART
     + f""",

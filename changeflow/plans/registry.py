@@ -5,7 +5,7 @@ would be; each query then does its own work from the feed on, over all of it.
 """
 
 from collections.abc import Callable
-from datetime import date, datetime, timezone
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -587,14 +587,21 @@ def daily_run_stats(spark, sf_dir):
     return totals[0].unionByName(totals[1])
 
 
+def _event_span(spark, sf_dir) -> tuple[date, date]:
+    """First and last date of the events."""
+    planned = windows.covering_windows(fixture.table(spark, sf_dir, "events"), "ts")
+    span = planned.agg(F.min(F.to_date("_window_start")), F.max(F.to_date("_window_start"))).first()
+    return span[0], span[1]
+
+
 @query
 def dq_report_days(spark, sf_dir):
-    """A backfill of the whole feed, then the report over ten of its days."""
+    """A backfill of the whole feed, then the report over ten of its days, from the fifth one on."""
     root = shared_dir(spark, "run")
     land(spark, feed(spark, sf_dir), f"{root}/landing")
-    first, last = date(2024, 1, 1), date(2024, 1, 30)
+    first, last = _event_span(spark, sf_dir)
     jobs.backfill(spark, f"{root}/landing", f"{root}/warehouse", first, last, retention_days=None, strict=False)
-    return jobs.check(Warehouse(spark, f"{root}/warehouse"), False, jobs.days_between(date(2024, 1, 5), date(2024, 1, 14)))
+    return jobs.check(Warehouse(spark, f"{root}/warehouse"), False, jobs.days_between(first + timedelta(days=4), first + timedelta(days=13)))
 
 
 @query
@@ -602,7 +609,7 @@ def backfill_run(spark, sf_dir):
     """All landed days in one run with its checks, done twice; the mart's coverage, which the second one leaves as it is."""
     root = shared_dir(spark, "run")
     land(spark, feed(spark, sf_dir), f"{root}/landing")
-    first, last = date(2024, 1, 1), date(2024, 1, 30)
+    first, last = _event_span(spark, sf_dir)
     for _ in range(2):
         coverage = jobs.backfill(spark, f"{root}/landing", f"{root}/warehouse", first, last, retention_days=None, strict=False)
     return coverage

@@ -5,6 +5,7 @@ rows to work on; they decide which defect a delivery carries. FIXTURES.md lists
 """
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from changeflow.sources import landing
@@ -45,7 +46,8 @@ def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
             for x in pair
         ]
     )
-    stamp = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
+    clock = "yyyy-MM-dd'T'HH:mm:ss"
+    stamp, ahead = F.date_format(ts, clock), F.date_format(ts + F.expr("interval 2 hours"), clock)
     members = [
         F.when(e % 3 == 0, _member("anon", F.lit("true"))),
         F.when(e % 7 == 0, _member("bot", F.lit("true"))).when(e % 7 == 1, _member("bot", F.lit("false"))),
@@ -58,8 +60,12 @@ def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(e % 5 == 0, _member("minor", F.lit("null"))),
         _member("newlen", 1000 + F.floor(v)),
         _member("ns", F.when(e % 41 == 0, F.lit('"x"')).otherwise((k % 17 - 1).cast("string"))),
+        F.when(e % 8 != 3, _member("old_revid", 200_000 + e)),
         F.when(e % 11 != 0, _member("oldlen", 1000 + u)),
+        F.when(e % 43 == 0, _member("pageid", F.lit('"p"'))).when(e % 9 != 0, _member("pageid", 500 + k)),
         F.when(e % 97 == 13, _member("rcid", F.lit('"abc"'))).when(e % 101 != 17, _member("rcid", e)),
+        F.when(e % 17 == 0, _member("redirect", F.lit('""'))),
+        F.when(e % 8 != 3, _member("revid", 300_000 + e)),
         F.when(
             e % 4 == 0,
             _member(
@@ -69,13 +75,21 @@ def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).when(e % 4 == 1, _member("tags", F.lit('"t"'))),
         F.when(
             e % 83 != 3,
-            _member("timestamp", _quoted(F.when(e % 89 == 5, stamp).otherwise(F.concat(stamp, F.lit("Z"))))),
+            _member(
+                "timestamp",
+                _quoted(
+                    F.when(e % 89 == 5, stamp)
+                    .when(e % 13 == 6, F.concat(ahead, F.lit("+02:00")))
+                    .otherwise(F.concat(stamp, F.lit("Z")))
+                ),
+            ),
         ),
         _member("title", _quoted(F.concat(F.lit("Page "), k))),
         _member("type", _quoted(kinds[F.col("event_type")])),
         F.when(e % 20 == 10, _member("user", F.lit('""'))).when(
             e % 20 != 0, _member("user", _quoted(F.concat(F.lit("u"), u)))
         ),
+        F.when(e % 19 == 0, _member("userhidden", F.lit('""'))),
         _member("userid", u),
     ]
     day = F.date_trunc("day", ts)
@@ -93,13 +107,15 @@ def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
             e.alias("_event"),
         )
     )
-    # pages are cut by id within a window, originals first, so that none exceeds PAGE_SIZE records
-    spans = feed.groupBy("_window_start").agg(F.min("_event").alias("_low"), F.max("_event").alias("_high"))
-    page = F.expr(f"(_event - _low) div {PAGE_SIZE} + 1 + replay * ((_high - _low) div {PAGE_SIZE} + 1)")
-    return (
-        feed.join(spans, "_window_start")
-        .withColumn("page_no", page.cast("long"))
-        .select("_raw_id", "_raw", "_window_start", "_window_end", "_ingested_at", "replay", "page_no")
+    # pages are cut by id within a window, originals first, so that none exceeds PAGE_SIZE records; a window's pages are
+    # numbered over the cuts that hold events, as events moved in from the day before have no replays
+    low = feed.groupBy("_window_start").agg(F.min("_event").alias("_low"))
+    cut = feed.join(low, "_window_start").withColumn("_cut", F.expr(f"(_event - _low) div {PAGE_SIZE}"))
+    place = ["_window_start", "replay", "_cut"]
+    number = F.row_number().over(W.partitionBy("_window_start").orderBy("replay", "_cut"))
+    numbered = cut.select(place).distinct().withColumn("page_no", number.cast("long"))
+    return cut.join(numbered, place).select(
+        "_raw_id", "_raw", "_window_start", "_window_end", "_ingested_at", "replay", "page_no"
     )
 
 

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from changeflow.__main__ import main
-from changeflow.operators import audits, quality
+from changeflow.operators import audits, gates, quality
 from changeflow.operators.inserts import COUNTERS, total_stats
 from changeflow.operators.quality import QualityError
 from changeflow.operators.rollup import daily_rollup
@@ -347,6 +347,14 @@ def test_the_fixture_splits_into_bounded_pages(spark, sf_dir):
     assert sizes[0] <= fixture.PAGE_SIZE and sizes[1] == 1100
 
 
+@pytest.mark.parametrize("scale", ["sf0.01", "sf0.1"])
+def test_the_undisturbed_feed_has_no_gap_at_any_scale(spark, scale):
+    feed = fixture.deliveries(spark, f"/root/testdata/{scale}")
+    pages = feed.select("_window_start", "_window_end", "page_no").distinct().withColumn("readable", F.lit(True))
+    assert pages.agg(F.max("page_no")).first()[0] > 1
+    assert gates.page_gaps(pages).count() == 0
+
+
 def test_command_line(place, monkeypatch, capsys):
     place.land((DAY, 1, page([record(1)])))
 
