@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -91,3 +91,24 @@ def map_column(
 
     return arrow(df, run, StructType([*df.schema.fields, *schema.fields]))
 
+
+
+def ranked(df: DataFrame, group: str, order: list, purpose: str) -> DataFrame:
+    """``df``, stored, with ``position`` (from 0, in ``order``) and ``total`` of its row within ``group``, which must not
+    be NULL; NULLs of ``order`` come first.
+
+    Rows are range-partitioned, so a group of any size is spread over tasks; what tells a partition where it starts is one
+    row per partition and group. Rows equal in ``order`` may stand either way round.
+    """
+    tie, part, place, first, count, before = fresh(df, "tie", "part", "place", "first", "count", "before")
+    keys = [group, *order, tie]
+    placed = df.withColumn(tie, F.monotonically_increasing_id()).repartitionByRange(*keys).sortWithinPartitions(*keys)
+    # the number of the partition stands above the lower 33 bits
+    at = placed.withColumn(place, F.monotonically_increasing_id())
+    at = stored(at.withColumn(part, F.shiftrightunsigned(place, 33)).drop(tie), purpose)
+    runs = at.groupBy(part, group).agg(F.min(place).alias(first), F.count("*").alias(count))
+    earlier = Window.partitionBy(group).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.withColumn(before, F.coalesce(F.sum(count).over(earlier), F.lit(0)))
+    runs = runs.withColumn("total", F.sum(count).over(Window.partitionBy(group))).drop(count)
+    joined = at.join(runs, [part, group]).withColumn("position", F.col(before) + F.col(place) - F.col(first))
+    return joined.select(*df.columns, "position", "total")

@@ -6,7 +6,19 @@ from pyspark.sql import functions as F
 
 from changeflow.session import configure
 
-from . import certified_packing, collision_ann, language_mixture, license_fuzzy, link_trust, piece_encode, secret_forest, simhash_mih, warc_chunks, weak_rules
+from . import (
+    certified_packing,
+    collision_ann,
+    language_mixture,
+    license_fuzzy,
+    link_trust,
+    merkle_manifest,
+    piece_encode,
+    secret_forest,
+    simhash_mih,
+    warc_chunks,
+    weak_rules,
+)
 from .common import table
 
 QUERIES: dict = {}
@@ -72,6 +84,12 @@ def op10_warc_chunks(spark, sf_dir):
     return warc_chunks.round_trip(table(spark, sf_dir, "pages"))
 
 
+@query
+def op11_merkle_manifest(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return merkle_manifest.manifest(docs, changed={"text": merkle_manifest.lower_where_crc_divides("doc_id", "text")})
+
+
 ORACLES["op10_warc_chunks"] = """
     with p as (select page_id, coalesce(html, '') as body from pages),
     d as (select page_id, octet_length(encode(body)) as n, sha1(body) as h from p),
@@ -88,3 +106,80 @@ ORACLES["op10_warc_chunks"] = """
         case when copy = 1 then null else first_id end as refers_to
     from g
 """
+
+
+def _crc32(text: str) -> str:
+    """The unsigned CRC-32 of an ASCII text, byte by byte and bit by bit."""
+    bit = "list_reduce(list_prepend({x}, [0, 1, 2, 3, 4, 5, 6, 7]), lambda c, _: xor(c >> 1, (c & 1) * 3988292384))"
+    step = bit.format(x="xor(s, b)")
+    codes = f"list_transform(string_split({text}, ''), lambda ch: cast(ascii(ch) as bigint))"
+    return f"xor(list_reduce(list_prepend(cast(4294967295 as bigint), {codes}), lambda s, b: {step}), 4294967295)"
+
+
+def _tree_sql(source: str, name: str, by: str, levels: int) -> str:
+    """Nodes of ``source`` (``{by}, p, n, h``) level by level as ``{name}0`` and on, with the siblings of each in its run; the
+    next level's node is the hash of a run, and a tree of one node stays as it is. ``levels`` covers 16^levels nodes."""
+    out = []
+    for k in range(levels):
+        run = f"partition by {by}, p // 16 order by p rows between"
+        out.append(f"""
+    {name}{k} as (
+        select *, coalesce(string_agg(h, '') over ({run} unbounded preceding and 1 preceding), '') as l,
+            coalesce(string_agg(h, '') over ({run} 1 following and unbounded following), '') as r
+        from {source}
+    ),
+    {name}_up{k} as (
+        select {by}, p // 16 as p, case when n = 1 then min(h) else sha256(string_agg(h, '' order by p)) end as h, (n + 15) // 16 as n
+        from {source} group by {by}, p // 16, n
+    ),""")
+        source = f"{name}_up{k}"
+    return "".join(out)
+
+
+def _manifest_sql(levels: int = 5, group_levels: int = 3) -> str:
+    def part(c: str) -> str:
+        return f"coalesce(octet_length(encode(cast({c} as varchar))) || ':' || cast({c} as varchar), '-')"
+
+    def leaf(text: str) -> str:
+        return "sha256(" + " || ".join(part(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+    lowered = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    steps = [("t", k, "d.tree") for k in range(levels)] + [("g", k, "''") for k in range(group_levels)]
+    joins = "".join(
+        f" join {n}{k} {n}_{k} on {n}_{k}.tree = {tree} and {n}_{k}.p = {'d.p' if n == 't' else 'm.p'} // {16**k}" for n, k, tree in steps[:levels]
+    ) + " join groups m on m.member = d.tree" + "".join(
+        f" join {n}{k} {n}_{k} on {n}_{k}.tree = {tree} and {n}_{k}.p = m.p // {16**k}" for n, k, tree in steps[levels:]
+    )
+    proof = " || ".join(f"case when {n}_{k}.n > 1 then {n}_{k}.l || {n}_{k}.r else '' end" for n, k, _ in steps)
+    folds, at = [], "later"
+    for i, (n, k, _) in enumerate(steps):
+        folds.append(f"folded{i} as (select *, case when n{i} > 1 then sha256(l{i} || {at} || r{i}) else {at} end as f{i} from {f'folded{i - 1}' if i else 'paths'})")
+        at = f"f{i}"
+    sides = ", ".join(f"{n}_{k}.n as n{i}, {n}_{k}.l as l{i}, {n}_{k}.r as r{i}" for i, (n, k, _) in enumerate(steps))
+    return f"""
+    with docs as (
+        select *, case when source is null then '' else '=' || source end as tree,
+            case when {_crc32("cast(doc_id as varchar)")} % 5 = 0 then {lowered} else text end as later_text
+        from documents
+    ),
+    d as (
+        select doc_id, tree, {leaf("text")} as h, {leaf("later_text")} as later,
+            row_number() over (partition by tree order by doc_id) - 1 as p, count(*) over (partition by tree) as n
+        from docs
+    ),
+    leaves as (select tree, p, n, h from d),{_tree_sql("leaves", "t", "tree", levels)}
+    groups as (
+        select '' as tree, tree as member, h, row_number() over (order by encode(tree)) - 1 as p, count(*) over () as n
+        from t_up{levels - 1}
+    ),{_tree_sql("groups", "g", "tree", group_levels)}
+    paths as (
+        select d.doc_id, d.h as leaf, d.later, m.h as subroot, (select h from g_up{group_levels - 1}) as root,
+            sha256({proof}) as proof_sha256, {sides}
+        from d{joins}
+    ),
+    {", ".join(folds)}
+    select doc_id, leaf, subroot, root, proof_sha256, {at} as folded_root, {at} = root as verified from folded{len(steps) - 1}
+    """
+
+
+ORACLES["op11_merkle_manifest"] = _manifest_sql()
