@@ -16,6 +16,7 @@ from . import (
     piece_encode,
     secret_forest,
     simhash_mih,
+    token_store,
     warc_chunks,
     weak_rules,
 )
@@ -90,6 +91,11 @@ def op11_merkle_manifest(spark, sf_dir):
     return merkle_manifest.manifest(docs, changed={"text": merkle_manifest.lower_where_crc_divides("doc_id", "text")})
 
 
+@query
+def op12_token_parquet(spark, sf_dir):
+    return token_store.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 ORACLES["op10_warc_chunks"] = """
     with p as (select page_id, coalesce(html, '') as body from pages),
     d as (select page_id, octet_length(encode(body)) as n, sha1(body) as h from p),
