@@ -14,6 +14,7 @@ from . import (
     link_trust,
     merkle_manifest,
     piece_encode,
+    prefix_trie,
     secret_forest,
     simhash_mih,
     token_store,
@@ -96,6 +97,11 @@ def op12_token_parquet(spark, sf_dir):
     return token_store.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query
+def op13_prefix_trie(spark, sf_dir):
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 ORACLES["op10_warc_chunks"] = """
     with p as (select page_id, coalesce(html, '') as body from pages),
     d as (select page_id, octet_length(encode(body)) as n, sha1(body) as h from p),
@@ -189,3 +195,47 @@ def _manifest_sql(levels: int = 5, group_levels: int = 3) -> str:
 
 
 ORACLES["op11_merkle_manifest"] = _manifest_sql()
+ORACLES["op13_prefix_trie"] = f"""
+    with t as (
+        select conv_id, coalesce(role, '') as role, coalesce(text, '') as text,
+            row_number() over (partition by conv_id order by turn nulls first, role, text) - 1 as p
+        from conversations where conv_id is not null
+    ),
+    c as (
+        select conv_id, conv_id - conv_id % 5 as base, {_crc32("cast(conv_id as varchar)")} % 9 as h
+        from (select distinct conv_id from t)
+    ),
+    r as (
+        select c.conv_id, t.p, t.role, t.text from c join t on t.conv_id = c.conv_id where t.p >= c.h
+        union all
+        select c.conv_id, t.p, t.role, t.text from c join t on t.conv_id = c.base where t.p < c.h
+    ),
+    s as (
+        select conv_id, row_number() over (partition by conv_id order by p) as d, octet_length(encode(text)) as size,
+            sha256(octet_length(encode(role)) || ':' || role || text) as x
+        from r
+    ),
+    k as (
+        select conv_id, d, size, sha256(string_agg(x, '') over (partition by conv_id order by d)) as key from s
+        union all
+        select conv_id, 0, 0, 'root' from c
+    ),
+    n as (select key, d, min(conv_id) as id, count(*) as n_convs, any_value(size) as size from k group by key, d),
+    e as (
+        select key, sha256(string_agg(cast(conv_id as varchar), ',' order by conv_id)) as ends_sha256
+        from (select * from k qualify d = max(d) over (partition by conv_id)) group by key
+    ),
+    p as (select n.*, q.key as up from n left join k q on q.conv_id = n.id and q.d = n.d - 1),
+    kids as (select up, count(*) as n_children from p where d > 0 group by up),
+    f as (
+        select p.*, u.id as up_id, coalesce(kids.n_children, 0) as n_children
+        from p left join n u on u.key = p.up left join kids on kids.up = p.key
+    ),
+    sums as (
+        select k.key, count(*) filter (where f.n_children = 0) as n_leaves, cast(sum((f.n_convs - 1) * f.size) as bigint) as saved_tokens
+        from f join k on k.conv_id = f.id and k.d <= f.d group by k.key
+    )
+    select f.id as conv_id, f.d as depth, f.up_id as parent_conv_id, f.n_convs, f.n_children, sums.n_leaves, sums.saved_tokens,
+        coalesce(e.ends_sha256, sha256('')) as ends_sha256
+    from f join sums using (key) left join e using (key)
+    """

@@ -1,0 +1,124 @@
+import random
+import zlib
+from collections import defaultdict
+from hashlib import sha256
+
+import pytest
+from pyspark.sql import functions as F
+
+from __spark_entry__ import oracle_sql, queries
+from changeflow.llm import merkle_manifest as mm
+from check_oracles import compare, connect
+
+SCHEMA = "doc_id long, source string, lang string, n_chars long, text string"
+
+
+def h(text):
+    return sha256(text.encode()).hexdigest()
+
+
+def leaf_of(values):
+    return h("".join("-" if v is None else f"{len(str(v).encode())}:{v}" for v in values))
+
+
+def up(nodes):
+    """Levels of a tree, lowest first."""
+    levels = [nodes]
+    while len(levels[-1]) > 1:
+        last = levels[-1]
+        levels.append([h("".join(last[i : i + 16])) for i in range(0, len(last), 16)])
+    return levels
+
+
+def sides(levels, at):
+    out = []
+    for nodes in levels[:-1]:
+        start = at - at % 16
+        out.append(("".join(nodes[start:at]), "".join(nodes[at + 1 : start + 16])))
+        at //= 16
+    return out
+
+
+def plain(rows):
+    by_source = defaultdict(list)
+    for r in rows:
+        by_source[r[1]].append((r[0] is not None, r[0] or 0, leaf_of(r), r))
+    names = sorted(by_source, key=lambda s: (s is not None, (s or "").encode()))
+    trees = {}
+    for name in names:
+        by_source[name].sort(key=lambda x: x[:3])
+        trees[name] = up([x[2] for x in by_source[name]])
+    top = up([trees[name][-1][0] for name in names])
+    out = []
+    for k, name in enumerate(names):
+        for at, (_, _, leaf, r) in enumerate(by_source[name]):
+            path = sides(trees[name], at) + sides(top, k)
+            node = leaf
+            if r[0] is not None and r[4] is not None and zlib.crc32(str(r[0]).encode()) % 5 == 0:
+                node = leaf_of((*r[:4], "".join(c.lower() if c.isascii() else c for c in r[4])))
+            for left, right in path:
+                node = h(left + node + right)
+            proof = h("".join(left + right for left, right in path))
+            out.append((r[0], leaf, trees[name][-1][0], top[-1][0], proof, node, node == top[-1][0]))
+    return sorted(out, key=str)
+
+
+def corpus(n=700, sources=40):
+    rng = random.Random(3)
+    rows = []
+    for i in range(n):
+        source = "hot" if rng.random() < 0.5 else rng.choice([None, "", "é", "zz", *[f"s{k}" for k in range(sources)]])
+        text = rng.choice([None, "", "ABC def É", "x" * 40_000, f"Text {i}", "lower case only"])
+        rows.append((i, source, rng.choice([None, "en"]), rng.choice([None, i]), text))
+    rows += [rows[5], rows[5], (7, "hot", None, None, "again"), (None, "hot", None, None, None), (None, "alone", None, 1, "A")]
+    rng.shuffle(rows)
+    return rows
+
+
+def answer(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def manifest(df, **options):
+    return mm.manifest(df, changed={"text": mm.lower_where_crc_divides("doc_id", "text")}, **options)
+
+
+@pytest.mark.parametrize("levels", [1, 3])
+def test_manifest_equals_a_plain_version_whatever_the_superblock(spark, levels):
+    rows = corpus()
+    got = answer(manifest(spark.createDataFrame(rows, SCHEMA).repartition(5), levels=levels))
+    assert got == plain(rows)
+    assert {r[-1] for r in got} == {True, False}
+
+
+@pytest.mark.parametrize("n", [1, 16, 17, 256, 257])
+def test_sizes_around_full_runs(spark, n):
+    rows = [(i, "only", "en", i, f"Doc {i}") for i in range(n)]
+    assert answer(manifest(spark.createDataFrame(rows, SCHEMA), levels=1)) == plain(rows)
+
+
+def test_empty_table_and_clashing_columns(spark):
+    assert manifest(spark.createDataFrame([], SCHEMA)).count() == 0
+    rows = corpus(30, 2)
+    names = ["tree", "position", "total", "digest", "leaf", "root", "part", "block"]
+    df = spark.createDataFrame(rows, SCHEMA).withColumns({c: F.lit(1) for c in names})
+    assert answer(manifest(df)) == plain(rows)
+
+
+def test_without_changes_everything_is_verified(spark):
+    df = mm.manifest(spark.createDataFrame(corpus(50, 3), SCHEMA))
+    assert df.filter("not verified").count() == 0
+
+
+def test_a_changed_row_fails_and_no_other(spark):
+    rows = [(i, "s", "en", i, f"doc {i}") for i in range(40)]
+    changed = {"text": F.when(F.col("doc_id") == 11, F.lit("other")).otherwise(F.col("text"))}
+    bad = mm.manifest(spark.createDataFrame(rows, SCHEMA), changed=changed).filter("not verified").collect()
+    assert [r["doc_id"] for r in bad] == [11]
+
+
+def test_query_equals_its_sql(spark, sf_dir):
+    name = "op11_merkle_manifest"
+    assert name in queries() and name in oracle_sql()
+    good, note = compare(spark, connect(sf_dir), name, sf_dir)
+    assert good, note
