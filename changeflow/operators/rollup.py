@@ -26,23 +26,32 @@ def event_counts(staged: DataFrame, name: str = "expected_count") -> DataFrame:
     )
 
 
-def daily_rollup(staged: DataFrame) -> DataFrame:
-    """The mart. The condition on the distinct users sits inside the aggregate instead of in a FILTER, so rows
-    are not expanded: partial sums per (grain, user) leave the map tasks, spread over users, then per grain."""
+#: Counters that add up over any division of a day's rows.
+ADDITIVE = (
+    "total_changes edit_count new_page_count log_count bot_changes anonymous_changes minor_changes missing_user_changes net_bytes_change"
+).split()
+
+
+def counters() -> list[Column]:
+    """The additive counters of staged rows."""
     # NULL if one of the lengths is unknown
     byte_change = F.coalesce(F.col("new_length") - F.col("old_length"), F.lit(0))
-    counted = staged.groupBy(F.to_date("changed_at_utc").alias("activity_date"), "namespace_id").agg(
-        F.count("*").alias("total_changes"),
-        F.count_if(F.col("change_type") == "edit").alias("edit_count"),
-        F.count_if(F.col("change_type") == "new").alias("new_page_count"),
-        F.count_if(F.col("change_type") == "log").alias("log_count"),
-        F.count_if("is_bot").alias("bot_changes"),
-        F.count_if("is_anonymous").alias("anonymous_changes"),
-        F.count_if("is_minor").alias("minor_changes"),
-        F.count_if("is_user_missing").alias("missing_user_changes"),
-        F.count_distinct(F.when(~F.col("is_user_missing"), F.col("user_name"))).alias("unique_users"),
-        F.sum(byte_change).alias("net_bytes_change"),
-    )
+    made = [
+        F.count("*"),
+        F.count_if(F.col("change_type") == "edit"),
+        F.count_if(F.col("change_type") == "new"),
+        F.count_if(F.col("change_type") == "log"),
+        F.count_if("is_bot"),
+        F.count_if("is_anonymous"),
+        F.count_if("is_minor"),
+        F.count_if("is_user_missing"),
+        F.sum(byte_change),
+    ]
+    return [c.alias(name) for c, name in zip(made, ADDITIVE, strict=True)]
+
+
+def finished(counted: DataFrame) -> DataFrame:
+    """The mart's columns from its counters: the namespace's label and the rates."""
     return counted.withColumns(
         {
             "namespace_name": namespace_name(F.col("namespace_id")),
@@ -50,3 +59,11 @@ def daily_rollup(staged: DataFrame) -> DataFrame:
             "anonymous_rate": rate(F.col("anonymous_changes"), F.col("total_changes")),
         }
     ).select(MART.fieldNames())
+
+
+def daily_rollup(staged: DataFrame) -> DataFrame:
+    """The mart. The condition on the distinct users sits inside the aggregate instead of in a FILTER, so rows
+    are not expanded: partial sums per (grain, user) leave the map tasks, spread over users, then per grain."""
+    named = F.count_distinct(F.when(~F.col("is_user_missing"), F.col("user_name"))).alias("unique_users")
+    grain = staged.groupBy(F.to_date("changed_at_utc").alias("activity_date"), "namespace_id")
+    return finished(grain.agg(*counters(), named))

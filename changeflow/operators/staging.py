@@ -65,7 +65,7 @@ def _projection() -> dict[str, Column]:
     }
 
 
-def type_records(raw: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+def type_records(raw: DataFrame, columns: Sequence[str] | None = None, kept: Sequence[str] = ()) -> DataFrame:
     """Every raw row typed, before deduplication; ``_raw_id`` is kept for it. Only the keys behind ``columns`` (all by
     default) are taken out of the payload."""
     wanted = list(_KEY_OF) if columns is None else [c for c in _KEY_OF if c in columns]
@@ -74,7 +74,7 @@ def type_records(raw: DataFrame, columns: Sequence[str] | None = None) -> DataFr
         raw, "_raw", text=[k for k in keys if k not in _TYPED_KEYS], variants=[k for k in keys if k in _TYPED_KEYS]
     )
     made = _projection()
-    return parsed.select("_raw_id", *[made[c].alias(c) for c in wanted], "_window_start", "_window_end", "_ingested_at")
+    return parsed.select("_raw_id", *[made[c].alias(c) for c in wanted], "_window_start", "_window_end", "_ingested_at", *kept)
 
 
 def latest_per_key(typed: DataFrame, key: str, order: list[str]) -> DataFrame:
@@ -92,6 +92,6 @@ def staging(raw: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
 
 
 def staging_of_unique(raw: DataFrame) -> DataFrame:
-    """Typed rows without a shuffle, with ``_raw_id``, for a raw table that holds every key once: there is nothing to
-    deduplicate then but the rows without a typed key."""
-    return type_records(raw).select(*STAGING.fieldNames(), "_raw_id")
+    """Typed rows without a shuffle, with ``_raw_id`` and ``_load_id``, for a raw table that holds every key once: there is
+    nothing to deduplicate then but the rows without a typed key."""
+    return type_records(raw, kept=["_load_id"]).select(*STAGING.fieldNames(), "_raw_id", "_load_id")

@@ -7,16 +7,18 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from changeflow.operators import daily_state as state
 from changeflow.operators.audits import backfill_coverage
 from changeflow.operators.gates import admit, good_pages, page_errors, violations
 from changeflow.operators.inserts import id_span, in_ranges, insert_if_absent, load_stats, number_rows, total_stats
+from changeflow.operators.page_ledger import ledger_violations, merged_intervals, page_intervals
 from changeflow.operators.quality import RAW_REQUIRED, quality_report, require_quality
 from changeflow.operators.reports import peek
 from changeflow.operators.rollup import GRAIN, daily_rollup
 from changeflow.operators.staging import staging_of_unique
 from changeflow.operators.validation import ERROR, OK, classify, error_rows, valid_records
 from changeflow.operators.windows import daily_windows, guard_windows, normalize_windows, windows_between
-from changeflow.schemas import MAX_PAGES, RETENTION_DAYS
+from changeflow.schemas import MAX_PAGES, RETENTION_DAYS, STATE_LOG
 from changeflow.session import configure, discard, materialize
 from changeflow.sources.landing import newest_landings, only_records, page_headers, page_records, parse_pages, read_lines
 from changeflow.sources.tables import Warehouse
@@ -24,6 +26,8 @@ from changeflow.sources.tables import Warehouse
 PAGE = ["_window_start", "_window_end", "page_no"]
 # the row number keeps two equal landings of one page apart
 ARRIVAL = [*PAGE, "pos", "row"]
+# Additions to a day that are kept apart before they are made one.
+MOST_DELTAS = 64
 
 
 class SourceError(RuntimeError):
@@ -134,7 +138,7 @@ def load_pages(
     ``complete`` lines hold whole windows: good pages before a window's first bad one are committed, all others that
     landed too, and then anything wrong (a bad page, a gap, more pages than ``max_pages``, a window that says more
     follow, an ``asked`` window that did not land) fails the load. Otherwise, as in a micro-batch, every good page is
-    committed, bad ones go to ``bad_pages``, and the load goes on.
+    committed, bad ones go to ``bad_pages``, good ones to the page ledger (see ``open_windows``), and the load goes on.
 
     Pages and records are parsed once; the judged records, with their pages' headers, are stored in the shared
     folder, and every later step reads the columns it needs from there, also after an executor is lost. The folder is
@@ -159,6 +163,7 @@ def load_pages(
                     f"{wrong['reason']} in window {wrong['_window_start']}, page {wrong['page_no']}: {wrong['detail']}"
                 )
         else:
+            warehouse.append_page_intervals(page_intervals(pages).withColumn("_load_id", F.lit(load_id)))
             bad = page_errors(pages).withColumns({"_ingested_at": F.lit(stamp), "_load_id": F.lit(load_id)})
             if bad.first() is not None:
                 warehouse.append_bad_pages(bad)
@@ -167,6 +172,12 @@ def load_pages(
         discard(warehouse.spark, scratch)
 
 
+def open_windows(warehouse: Warehouse, asked: DataFrame | None = None, max_pages: int = MAX_PAGES, days: list[date] | None = None) -> DataFrame:
+    """What is still wrong with the windows that micro-batches have landed pages of, over all batches so far: gaps, windows
+    that say more follow or go beyond the limit, and asked windows without a page. Zero rows: all is there."""
+    return ledger_violations(merged_intervals(warehouse.page_intervals(days)), max_pages, asked)
+
+
 def open_bad_pages(warehouse: Warehouse) -> DataFrame:
     """Bad pages that no later load has taken; lines that have lost their window or page stay open."""
     taken = warehouse.load_stats().groupBy(*PAGE).agg(F.max("_ingested_at").alias("taken_at"))
@@ -206,6 +217,87 @@ def refresh(warehouse: Warehouse, days: list[date] | None = None) -> None:
         warehouse.drop_mart_days(before - {r["activity_date"] for r in warehouse.staging(sorted(before)).select("activity_date").distinct().collect()})
 
 
+def pending_additions(warehouse: Warehouse) -> list[tuple[date, str]]:
+    """Event dates and loads whose rows the daily state does not hold yet: one row per date of a load."""
+    loads = warehouse.loads().filter("event_date is not null").select(F.col("event_date").alias("activity_date"), "_load_id")
+    held = warehouse.state_log().select("activity_date", "_load_id")
+    missing = loads.distinct().join(held, ["activity_date", "_load_id"], "left_anti")
+    return sorted((r["activity_date"], r["_load_id"]) for r in missing.collect())
+
+
+def advance(warehouse: Warehouse, most_deltas: int = MOST_DELTAS) -> list[date]:
+    """Add what the loads since the last call brought to staging, to the daily state and to the mart; the days touched.
+
+    Only rows of those loads are typed and counted, whatever else a day holds: an addition is a day's counters and users as
+    bitmaps, and the mart of the touched days is the sum of their additions. Whatever a call that died has left is written
+    again by the next one, load by load, before the log makes it count. Days with very many additions are folded.
+    """
+    pending = pending_additions(warehouse)
+    if not pending:
+        return []
+    days, loads = sorted({d for d, _ in pending}), sorted({i for _, i in pending})
+    spark, scratch = warehouse.spark, []
+    try:
+        new = warehouse.raw(days).filter(F.col("_load_id").isin(loads))
+        before = _survivor_days(warehouse)
+        warehouse.replace_staging(staging_of_unique(new), whole=False)
+        rows = warehouse.staged_by(loads, days)
+        typed, untyped = rows.filter("change_id is not null"), rows.filter("change_id is null")
+        if untyped.select("activity_date").first() is not None:
+            warehouse.add_untyped(untyped)
+        names = materialize(state.day_names(rows), "names", spark, scratch)
+        held = warehouse.user_numbers(days)
+        placed = materialize(state.new_numbers(names, held), "placed", spark, scratch)
+        warehouse.append_user_numbers(state.dense(placed, held))
+        warehouse.add_deltas(state.day_counters(typed), state.day_users(typed, warehouse.user_numbers(days)))
+        log = spark.createDataFrame([(d, i, []) for d, i in pending], STATE_LOG)
+        warehouse.append_state_log(log)
+        touched = sorted({*days, *(before ^ _survivor_days(warehouse))})
+        mart = materialize(mart_from_state(warehouse, touched), "mart", spark, scratch)
+        warehouse.replace_mart(mart, whole=False)
+        if before:
+            warehouse.drop_mart_days(before - {r["activity_date"] for r in mart.select("activity_date").distinct().collect()})
+        fold(warehouse, touched, most_deltas)
+        return touched
+    finally:
+        discard(spark, scratch)
+
+
+def mart_from_state(warehouse: Warehouse, days: list[date]) -> DataFrame:
+    """The mart of the days: the sum of their additions and the one row without a typed key that staging keeps."""
+    counters, users = warehouse.day_deltas(days)
+    survivor = warehouse.untyped_survivor().filter(F.col("activity_date").isin(days)).drop("activity_date")
+    return state.mart_of(
+        counters.unionByName(state.day_counters(survivor)),
+        users.unionByName(state.day_users(survivor, warehouse.user_numbers(days))),
+    )
+
+
+def fold(warehouse: Warehouse, days: list[date], most_deltas: int = MOST_DELTAS) -> None:
+    """Make one addition out of those of each day that has more than ``most_deltas``; no total changes."""
+    log = warehouse.state_log().filter(F.col("activity_date").isin(days))
+    folded = log.select("activity_date", F.explode("replaces").alias("_load_id"))
+    counting = log.select("activity_date", "_load_id").distinct().join(folded, ["activity_date", "_load_id"], "left_anti")
+    many = counting.groupBy("activity_date").agg(F.collect_list("_load_id").alias("loads")).filter(F.size("loads") > most_deltas).collect()
+    if not many:
+        return
+    name = F.lit(f"fold-{uuid.uuid4().hex}")
+    counters, users = warehouse.day_deltas([r["activity_date"] for r in many])
+    scratch: list[str] = []
+    try:
+        stored = [
+            materialize(df.withColumn("_load_id", name), "fold", warehouse.spark, scratch)
+            for df in (state.merged_counters(counters), state.merged_users(users))
+        ]
+        warehouse.add_deltas(*stored)
+        rows = [(r["activity_date"], r["loads"]) for r in many]
+        made = warehouse.spark.createDataFrame(rows, "activity_date date, replaces array<string>")
+        warehouse.append_state_log(made.withColumn("_load_id", name))
+        warehouse.drop_deltas([(day, load) for day, loads in rows for load in loads])
+    finally:
+        discard(warehouse.spark, scratch)
+
+
 def _survivor_days(warehouse: Warehouse) -> set[date]:
     return {r["activity_date"] for r in warehouse.untyped_survivor().select("activity_date").collect() if r["activity_date"]}
 

@@ -604,6 +604,28 @@ ORACLES: dict[str, str] = {
     ),
     "daily_run": _MART_ROWS,
     "daily_run_report": _REPORT,
+    "snapshot_drilldown": _q(
+        _JUDGED,
+        """select cast(event_time as date) as _event_date, _raw_id,
+            case when _raw_id % 77 = 0 then 'vanished' else 'changed' end as violation
+        from raw where day(event_time) % 10 = 3 and (_raw_id % 77 = 0 or _raw_id % 50 = 0)""",
+    ),
+    "day_digests": _q(
+        _JUDGED,
+        "select cast(event_time as date) as _event_date, count(*) as digest_rows_before, true as unchanged from raw group by all",
+    ),
+    "stream_page_ledger": _q(
+        _DISTURBED,
+        """, good as (
+            select _window_start, page_no, has_more, lag(page_no, 1, 0) over (partition by _window_start order by page_no) as before
+            from newest where not has_error
+        ),
+        ends as (select _window_start, max(page_no) as last_page, arg_max(has_more, page_no) as has_more from good group by all)
+        select _window_start, 'page_gap' as reason, before + 1 as page_no from good where page_no - before > 1
+        union all select _window_start, 'incomplete_window', last_page from ends where has_more
+        union all select _window_start, 'page_limit', last_page from ends where last_page > 1
+        union all select _window_start, 'missing_window', null from asked_days where _window_start not in (select _window_start from ends)""",
+    ),
     "dq_report_days": _REPORT_DAYS,
     "stg_untyped_keys": _q(
         _JUDGED,

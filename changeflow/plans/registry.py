@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changeflow.functions.payload import array_length, field, has_key, with_payload
-from changeflow.operators import audits, gates, inserts, quality, reports, rollup, windows
+from changeflow.operators import audits, digests, gates, inserts, quality, reports, rollup, windows
 from changeflow.operators import staging as stg
 from changeflow.operators import validation as val
 from changeflow.plans import jobs
@@ -543,6 +543,26 @@ def append_only_audit(spark, sf_dir):
     return audits.append_only_audit(before, fixture.mutated_raw(before), "_raw_id")
 
 
+@query
+def snapshot_drilldown(spark, sf_dir):
+    """Rows changed or lost between two stored snapshots, found by digests per day first."""
+    root = shared_dir(spark, "snapshots")
+    dated = inserted(spark, sf_dir).select(*RAW_COLUMNS, F.to_date("event_time").alias("_event_date"))
+    dated.write.partitionBy("_event_date").parquet(f"{root}/before")
+    before = spark.read.parquet(f"{root}/before")
+    fixture.mutated_days(before).write.partitionBy("_event_date").parquet(f"{root}/after")
+    return digests.snapshot_drilldown(before, spark.read.parquet(f"{root}/after"), "_raw_id", "_event_date")
+
+
+@query
+def day_digests(spark, sf_dir):
+    """Rows per day from digests of single windows, added up; equal to those taken of whole days."""
+    rows = inserted(spark, sf_dir).select(*RAW_COLUMNS, F.to_date("event_time").alias("_event_date"))
+    parts = digests.added(digests.digests(rows, ["_event_date", "_window_start"], RAW_COLUMNS), ["_event_date"])
+    whole = digests.digests(rows, ["_event_date"], RAW_COLUMNS)
+    return audits.compare_runs(parts, whole, ["_event_date"], digests.DIGEST).select("_event_date", "digest_rows_before", "unchanged")
+
+
 @query
 def vanished_rows(spark, sf_dir):
     before = materialize(inserted(spark, sf_dir).select("_raw_id", "_raw"), "before")
@@ -679,6 +699,18 @@ def stream_bad_pages(spark, sf_dir):
     return Warehouse(spark, f"{root}/warehouse").bad_pages().select("_window_start", "page_no", "reason", "detail")
 
 
+@query
+def stream_page_ledger(spark, sf_dir):
+    """A bad run streamed in by several micro-batches: what its windows lack over all of them, by the ledger."""
+    root = shared_dir(spark, "ledger")
+    fixture.disturbed_lines(feed(spark, sf_dir)).withColumn("window_date", F.lit(date(2024, 1, 1))).repartition(3).write.partitionBy(
+        "window_date"
+    ).text(f"{root}/landing")
+    ingest.run_available(spark, f"{root}/landing", f"{root}/warehouse", f"{root}/checkpoint", maxFilesPerTrigger="1")
+    asked = windows.covering_windows(fixture.table(spark, sf_dir, "events"), "ts")
+    return jobs.open_windows(Warehouse(spark, f"{root}/warehouse"), asked, 1).select("_window_start", "reason", "page_no")
+
+
 @query
 def stream_daily_counts(spark, sf_dir):
     root = shared_dir(spark, "counts")

@@ -131,6 +131,55 @@ LOADS = T.StructType(
     ]
 )
 
+# Intervals of good pages, as each load saw them.
+PAGE_LEDGER = T.StructType(
+    [
+        T.StructField("_window_start", T.TimestampType()),
+        T.StructField("_window_end", T.TimestampType()),
+        T.StructField("first_page", T.LongType()),
+        T.StructField("last_page", T.LongType()),
+        T.StructField("has_more", T.BooleanType()),
+        T.StructField("_load_id", T.StringType()),
+        T.StructField("_window_date", T.DateType()),
+    ]
+)
+
+# What each load adds to a day: counters, and users as bitmaps over the numbers of the day's dictionary.
+DAY_COUNTERS = T.StructType(
+    [
+        *[f for f in MART.fields if f.name not in ("activity_date", "namespace_name", "unique_users") and f.dataType != RATE],
+        T.StructField("activity_date", T.DateType()),
+        T.StructField("_load_id", T.StringType()),
+    ]
+)
+
+DAY_USERS = T.StructType(
+    [
+        T.StructField("namespace_id", T.IntegerType()),
+        T.StructField("bucket", T.LongType()),
+        T.StructField("users", T.BinaryType()),
+        T.StructField("activity_date", T.DateType()),
+        T.StructField("_load_id", T.StringType()),
+    ]
+)
+
+USER_NUMBERS = T.StructType(
+    [
+        T.StructField("user_name", T.StringType()),
+        T.StructField("number", T.LongType()),
+        T.StructField("activity_date", T.DateType()),
+    ]
+)
+
+# Which loads' additions to a date count; a folded row stands for those that it replaces.
+STATE_LOG = T.StructType(
+    [
+        T.StructField("activity_date", T.DateType()),
+        T.StructField("_load_id", T.StringType()),
+        T.StructField("replaces", T.ArrayType(T.StringType())),
+    ]
+)
+
 # A landed line: one source page with the window and page number it was fetched for, and perhaps when.
 LANDED_LINE = (
     "window_start string, window_end string, page bigint, fetched_at string, "

@@ -193,6 +193,13 @@ def mutated_raw(raw: DataFrame) -> DataFrame:
     )
 
 
+def mutated_days(raw: DataFrame) -> DataFrame:
+    """The same later snapshot, broken on the days of the month 3, 13 and 23 only; ``_event_date`` tells the day."""
+    n, hit = F.col("_raw_id"), F.dayofmonth("_event_date") % 10 == 3
+    edited = F.replace("_raw", F.lit('"comment":"'), F.lit('"comment":"edited '))
+    return raw.filter(~(hit & (n % 77 == 0))).withColumn("_raw", F.when(hit & (n % 50 == 0), edited).otherwise(F.col("_raw")))
+
+
 def damaged_mart(mart: DataFrame) -> DataFrame:
     """A mart of which some rows have a negative counter or a rate above one."""
     day = F.dayofmonth("activity_date")

@@ -13,13 +13,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from changeflow.operators.inserts import broken_constraints
-from changeflow.schemas import BAD_PAGES, ERRORS, LOAD_STATS, LOADS, MART, RAW, STAGING
+from changeflow.schemas import BAD_PAGES, DAY_COUNTERS, DAY_USERS, ERRORS, LOAD_STATS, LOADS, MART, PAGE_LEDGER, RAW, STAGING, STATE_LOG, USER_NUMBERS
 
 # The raw id breaks ties between rows without a typed key, of which one survives.
 STORED_STAGING = T.StructType(
-    [*STAGING.fields, T.StructField("_raw_id", T.LongType()), T.StructField("activity_date", T.DateType())]
+    [
+        *STAGING.fields,
+        T.StructField("_raw_id", T.LongType()),
+        T.StructField("activity_date", T.DateType()),
+        T.StructField("_load_id", T.StringType()),
+    ]
 )
 
+DELTA = ["activity_date", "_load_id"]
+
 
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
@@ -56,7 +63,7 @@ class Warehouse:
         survivor = self.untyped_survivor()
         if days is not None:
             survivor = survivor.filter(F.col("activity_date").isin(list(days)))
-        return stored.unionByName(survivor).drop("_raw_id")
+        return stored.unionByName(survivor).drop("_raw_id", "_load_id")
 
     def untyped(self, days: Sequence[date] | None = None) -> DataFrame:
         """The side table of staging rows without a typed key."""
@@ -92,6 +99,14 @@ class Warehouse:
     def append_bad_pages(self, rows: DataFrame) -> None:
         rows.select(BAD_PAGES.fieldNames()).coalesce(1).write.mode("append").parquet(f"{self.root}/bad_pages")
 
+    def append_page_intervals(self, rows: DataFrame) -> None:
+        dated = rows.withColumn("_window_date", F.to_date("_window_start"))
+        self._append("page_ledger", dated.repartition("_window_date"), PAGE_LEDGER, "_window_date")
+
+    def page_intervals(self, days: Sequence[date] | None = None) -> DataFrame:
+        """Intervals of pages that have landed well, of all windows or of those that start on the days; not yet merged."""
+        return self._read("page_ledger", PAGE_LEDGER, "_window_date", days)
+
     def append_load_stats(self, rows: DataFrame) -> None:
         dated = rows.withColumn("_window_date", F.to_date("_window_start"))
         # one file per day: a day holds one row per page
@@ -101,12 +116,12 @@ class Warehouse:
         """One row per event date of a load and one without a date, in one file."""
         rows.select(LOADS.fieldNames()).coalesce(1).write.mode("append").parquet(f"{self.root}/loads")
 
-    def _replace(self, name: str, rows: DataFrame, whole: bool) -> None:
-        """Overwrite a table, or only the activity dates that ``rows`` holds."""
+    def _replace(self, name: str, rows: DataFrame, whole: bool, by: Sequence[str] = ("activity_date",)) -> None:
+        """Overwrite a table, or only the partitions (activity dates, perhaps of a load) that ``rows`` holds."""
         (
             rows.write.mode("overwrite")
             .option("partitionOverwriteMode", "static" if whole else "dynamic")
-            .partitionBy("activity_date")
+            .partitionBy(*by)
             .parquet(f"{self.root}/{name}")
         )
 
@@ -124,14 +139,57 @@ class Warehouse:
     def replace_staging(self, rows: DataFrame, whole: bool = True) -> None:
         """Typed rows straight from raw, whose files hold one date each, written as they lie."""
         dated = rows.withColumn("activity_date", F.to_date("changed_at_utc"))
-        self._replace("staging", dated.select(STORED_STAGING.fieldNames()), whole)
+        self._replace("staging", dated.select(STORED_STAGING.fieldNames()), whole, DELTA)
+
+    def staged_by(self, loads: Sequence[str], days: Sequence[date]) -> DataFrame:
+        """Stored staging rows that the given loads brought, with ``_load_id``; other loads' folders are not opened."""
+        return self._read("staging", STORED_STAGING, "activity_date", days).filter(F.col("_load_id").isin(list(loads)))
+
+    def add_untyped(self, rows: DataFrame) -> None:
+        """Rows of some loads without a typed key into the side table, in place of what these loads put there before."""
+        self._replace("untyped", rows.select(STORED_STAGING.fieldNames()), False, DELTA)
+
+    def state_log(self) -> DataFrame:
+        return self._read("state_log", STATE_LOG)
+
+    def append_state_log(self, rows: DataFrame) -> None:
+        rows.select(STATE_LOG.fieldNames()).coalesce(1).write.mode("append").parquet(f"{self.root}/state_log")
+
+    def user_numbers(self, days: Sequence[date]) -> DataFrame:
+        return self._read("user_numbers", USER_NUMBERS, "activity_date", days)
+
+    def append_user_numbers(self, rows: DataFrame) -> None:
+        self._append("user_numbers", rows, USER_NUMBERS, "activity_date")
+
+    def day_deltas(self, days: Sequence[date]) -> tuple[DataFrame, DataFrame]:
+        """Counters and users that count for the days, as the log says."""
+        log = self.state_log().filter(F.col("activity_date").isin(list(days)))
+        folded = log.select("activity_date", F.explode("replaces").alias("_load_id"))
+        counting = log.select("activity_date", "_load_id").distinct().join(folded, DELTA, "left_anti")
+        tables = (("day_counters", DAY_COUNTERS), ("day_users", DAY_USERS))
+        return tuple(self._read(name, schema, "activity_date", days).join(counting, DELTA, "left_semi") for name, schema in tables)
+
+    def add_deltas(self, counters: DataFrame, users: DataFrame) -> None:
+        """Write what loads add to days; the same load's earlier attempt is replaced. They count once the log names them."""
+        for name, rows, schema in (("day_counters", counters, DAY_COUNTERS), ("day_users", users, DAY_USERS)):
+            # one small file per load and day
+            spread = rows.select(schema.fieldNames()).repartition(*DELTA)
+            self._replace(name, spread, False, DELTA)
+
+    def drop_deltas(self, replaced: Sequence[tuple[date, str]]) -> None:
+        """Delete the folders of deltas that a folded one stands for."""
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        for name in ("day_counters", "day_users"):
+            for day, load in replaced:
+                path = hadoop.Path(f"{self.root}/{name}/activity_date={day.isoformat()}/_load_id={load}")
+                path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
     def replace_untyped(self, days: Sequence[date] | None, whole: bool) -> None:
         """Take the rows without a typed key out of the stored staging of ``days`` into the side table. Row groups
         that hold none are skipped by their statistics."""
         rows = self._read("staging", STORED_STAGING, "activity_date", days).filter(F.col("change_id").isNull())
         if whole or rows.select("activity_date").first() is not None:
-            self._replace("untyped", rows.repartition("activity_date"), whole)
+            self._replace("untyped", rows.repartition("activity_date"), whole, DELTA)
 
     def append_mart(self, rows: DataFrame) -> None:
         """Only to break the grain on purpose; ``replace_mart`` is how the mart is built."""

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from changeflow.operators.gates import good_pages, page_errors
 from changeflow.operators.staging import type_records
 from changeflow.operators.validation import classify, valid_records
-from changeflow.plans.jobs import load_pages, loaded_days, refresh
+from changeflow.plans.jobs import advance, load_pages
 from changeflow.schemas import MAX_PAGES, RAW, RETENTION_DAYS
 from changeflow.session import configure, discard, materialize
 from changeflow.sources.landing import only_records, page_records, parse_pages, stream_lines
@@ -21,16 +21,17 @@ def run_available(
 ) -> None:
     """Load everything that landed since the last run, then stop.
 
-    Each micro-batch is committed on its own and rebuilds only the days it touched. A batch that is tried again
-    after a failure finds its keys in raw and adds nothing, so a restart never duplicates. Pages with an error and
+    Each micro-batch is committed on its own and adds its rows to staging, to the daily state and to the mart of the days it
+    touched, without reading what earlier ones staged. A batch that is tried again after a failure finds its keys in raw and
+    adds nothing to it, and what it had not yet added to the state is added then, so a restart neither loses nor duplicates. Pages with an error and
     lines that are no page go to ``bad_pages`` and do not stop the stream; ``jobs.open_bad_pages`` tells which of them
     no later landing has made good.
     """
     warehouse = Warehouse(configure(spark), root)
 
     def load(batch: DataFrame, _batch_id: int) -> None:
-        stats = load_pages(warehouse, batch, max_pages, complete=False)
-        refresh(warehouse, loaded_days(stats))
+        load_pages(warehouse, batch, max_pages, complete=False)
+        advance(warehouse)
 
     query = (
         stream_lines(spark, landing, **source_options)

@@ -1,4 +1,7 @@
 from datetime import timedelta
+from pathlib import Path
+
+import pytest
 
 from pyspark.sql import functions as F
 
@@ -99,3 +102,44 @@ def test_the_bounded_stream_leaves_bad_pages_to_their_own_stream(spark, tmp_path
     ingest.write_available(ingest.bad_page_stream(landing.stream_lines(spark, land)), f"{tmp_path}/bad", f"{tmp_path}/c2")
     assert [r["_key"] for r in spark.read.parquet(f"{tmp_path}/good").collect()] == [1]
     assert [r["page_no"] for r in spark.read.parquet(f"{tmp_path}/bad").collect()] == [2]
+
+
+def spoil(folder):
+    """Make every file below ``folder`` unreadable, and say how many there are."""
+    found = [p for p in Path(folder).rglob("*.parquet") if not p.name.startswith(".")]
+    for path in found:
+        path.write_bytes(b"no parquet")
+        for check in path.parent.glob(f".{path.name}.crc"):
+            check.unlink()
+    return len(found)
+
+
+def test_a_batch_adds_to_its_days_without_opening_what_earlier_ones_staged(spark, tmp_path):
+    warehouse = Warehouse(spark, f"{tmp_path}/w")
+    users = [record(n, user=f"u{n % 7}", bot=True) if n % 3 else record(n, user="") for n in range(1, 40)]
+    for part in (users[:20], users[20:]):
+        land = f"{tmp_path}/{part[0]['rcid']}"
+        landing.write_pages(pages_frame(spark, [(DAY, part[0]["rcid"], page(part))]), land)
+        jobs.load_pages(warehouse, landing.read_lines(spark, land), complete=False)
+        jobs.advance(warehouse)
+        whole = rows(daily_rollup(staging(warehouse.raw())))
+        assert rows(warehouse.mart()) == whole and jobs.advance(warehouse) == []
+        assert spoil(f"{tmp_path}/w/staging")
+    before = rows(warehouse.mart())
+    jobs.fold(warehouse, [DAY.date()], most_deltas=1)
+    assert rows(jobs.mart_from_state(warehouse, [DAY.date()])) == before
+    assert warehouse.state_log().count() == 3 and warehouse.user_numbers([DAY.date()]).count() == 7
+
+
+def test_what_a_broken_step_left_is_added_once(spark, tmp_path, monkeypatch):
+    warehouse = Warehouse(spark, f"{tmp_path}/w")
+    untyped = record("+3", user="cat")
+    landing.write_pages(pages_frame(spark, [(DAY, 1, page([record(1), record(2, user="bob"), untyped]))]), f"{tmp_path}/l")
+    jobs.load_pages(warehouse, landing.read_lines(spark, f"{tmp_path}/l"), complete=False)
+    with monkeypatch.context() as patched:
+        patched.setattr(Warehouse, "append_state_log", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            jobs.advance(warehouse)
+    assert jobs.advance(warehouse) == [DAY.date()]
+    assert rows(warehouse.mart()) == rows(daily_rollup(staging(warehouse.raw())))
+    assert warehouse.mart().first()["unique_users"] == 3 and warehouse.user_numbers([DAY.date()]).count() == 3
