@@ -7,14 +7,17 @@ page indexes are written, so that the columns about documents are read without a
 the pages that hold them. Next to the files lies ``parts``, one row per part with the number of ids before it: that makes
 global places out of places in a part, so the ids are encoded, ordered and written in one pass.
 
-Encoding is the ``tokenizers`` library's. Its words never cross white space, so a chunk between blanks is looked up in a
-bounded table of chunks seen before; what is not there is encoded by the library: a chunk of plain Latin letters, digits
-and signs is divided into words here and merged by the library's model, any other chunk is encoded by it as a whole.
+Encoding is the ``tokenizers`` library's. Its words never cross white space, and equal words have equal ids. A text of plain
+Latin letters, digits and signs is divided into words here, which the library's model merges; of any other text, the chunks
+between blanks are taken so, and chunks with other characters are encoded by the library whole. Words and chunks seen
+before are looked up in tables of bounded size.
 """
 
 import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +39,7 @@ SLICE_CHARACTERS = 1 << 20
 
 #: Characters whose lower-casing, composition and class are the same in every Unicode version: printable ASCII and the
 #: letters of Latin-1 (fixed values).
-_PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]*")
+_PLAIN = re.compile("[\t-\r -~À-ÖØ-öø-ÿ]*")
 #: How the vocabulary's file divides text into words (fixed value), for plain characters.
 _WORDS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\\sa-z0-9ß-öø-ÿ]+")
 #: Python takes these as blanks, the library does not.
@@ -59,36 +62,59 @@ class WordEncoder:
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.letters = _byte_letters()
         self.remembered = remembered
+        # the chunks and words of now, and those of the generation before
         self.chunks: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
+        self.old_chunks: dict[str, bytes] = {}
+        self.old_words: dict[str, bytes] = {}
 
     def _word(self, word: str) -> bytes:
         found = self.words.get(word)
         if found is None:
-            tokens = self.library.model.tokenize(word if word.isascii() else word.translate(self.letters))
-            found = np.array([t.id for t in tokens], dtype="<u4").tobytes()
+            found = self.old_words.get(word)
+            if found is None:
+                tokens = self.library.model.tokenize(word if word.isascii() else word.translate(self.letters))
+                found = pack(f"<{len(tokens)}I", *[t.id for t in tokens])
             if len(word) <= LONGEST_REMEMBERED:
                 self.words[word] = found
         return found
 
+    def _is_plain(self, text: str) -> bool:
+        return _PLAIN.fullmatch(text) is not None and not any(s in text for s in self.special)
+
+    def _plain(self, text: str) -> bytes:
+        known = self.words
+        return b"".join([known[w] if w in known else self._word(w) for w in _WORDS.findall(text.lower())])
+
     def _chunk(self, chunk: str) -> bytes:
-        if _PLAIN.fullmatch(chunk) and not any(s in chunk for s in self.special):
-            found = b"".join([self._word(w) for w in _WORDS.findall(chunk.lower())])
-        else:
+        found = self.old_chunks.get(chunk)
+        if found is None and self._is_plain(chunk):
+            found = self._plain(chunk)
+        if found is None:
             found = np.array(self.library.encode(chunk, add_special_tokens=False).ids, dtype="<u4").tobytes()
         if len(chunk) <= LONGEST_REMEMBERED:
             self.chunks[chunk] = found
         return found
 
     def encode(self, text: str) -> bytes:
+        if len(self.words) > self.remembered:
+            self.words, self.old_words = {}, self.words
+        if self._is_plain(text):
+            return self._plain(text)
         if _NO_BLANKS.search(text):
             return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        if len(self.chunks) > self.remembered or len(self.words) > self.remembered:
-            self.chunks, self.words = {}, {}
+        if len(self.chunks) > self.remembered:
+            self.chunks, self.old_chunks = {}, self.chunks
         known = self.chunks
         return b"".join([known[c] if c in known else self._chunk(c) for c in text.split()])
 
 
+@lru_cache(maxsize=1)
+def encoder_of(path: str) -> WordEncoder:
+    """One encoder per worker process, so that its tasks share what it has seen."""
+    return WordEncoder(path)
+
+
 def encoded(docs: DataFrame, tokenizer: str, id_column: str = "doc_id", text: str = "text", end: int = END) -> DataFrame:
     """``doc_id, part, part_start, n_tokens, ids`` in id order (NULL ids first), partition by partition.
 
@@ -103,7 +129,7 @@ def encoded(docs: DataFrame, tokenizer: str, id_column: str = "doc_id", text: st
     placed = slim.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, start = WordEncoder(tokenizer), TaskContext.get().partitionId(), 0
+        encoder, part, start = encoder_of(tokenizer), TaskContext.get().partitionId(), 0
         close = np.array([end], dtype="<u4").tobytes()
         for batch in batches:
             texts = batch.column(1)
