@@ -153,16 +153,17 @@ def _features(value: str, kind: str, before: str, after: str, path: str, vocabul
     ]
 
 
-def candidates(docs: DataFrame, vocabulary: Vocabulary, id_column: str = "doc_id", text: str = "text", path: str = "source") -> DataFrame:
+def candidates(docs: DataFrame, vocabulary: Vocabulary, id_column: str = "doc_id", text: str = "text", path: str = "source", row_column: str | None = None) -> DataFrame:
     """``row, id, kind, start, stop, value_sha256, features, label``: every candidate of every whole text.
 
-    ``row`` numbers the rows of ``docs`` (stored, so the numbers hold); ``start`` and ``stop`` count characters. ``label``
+    ``row`` numbers the rows of ``docs``, or is their column ``row_column`` if that is given; ``start`` and ``stop`` count characters. ``label``
     is 1 or 0 for a labelled finding, NULL otherwise. The value itself is not given out, only its digest.
     """
     schema = f"row long, {id_column} {docs.schema[id_column].dataType.simpleString()}, kind string, start long, stop long, value_sha256 string, features array<double>, label int"
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)  # bounded by its number of words
     path_column = F.col(path).cast("string") if path in docs.columns else F.lit("")
-    numbered = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_column).alias("id"), F.col(text).alias("text"), path_column.alias("path"))
+    number = F.monotonically_increasing_id() if row_column is None else F.col(row_column)
+    numbered = docs.select(number.alias("row"), F.col(id_column).alias("id"), F.col(text).alias("text"), path_column.alias("path"))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["row", id_column, "kind", "start", "stop", "value_sha256", "features", "label"]
@@ -240,14 +241,16 @@ def scan(docs: DataFrame, id_column: str = "doc_id", text: str = "text", path: s
 def redact(docs: DataFrame, id_column: str = "doc_id", text: str = "text", path: str = "source", mark: str = "[SECRET]", length: str | None = "n_chars") -> DataFrame:
     """``docs`` with each secret in ``text`` replaced by ``mark``, and the column ``length``, if there, counted anew.
 
-    ``docs`` must be stored, as its rows are numbered twice. Only texts with secrets are rewritten.
+    The rows are numbered once and stored with their numbers, so that a span finds its row again whatever splits later scans
+    are read in. Only texts with secrets are rewritten.
     """
     row, spans = fresh(docs, "row", "spans")
-    found = stored(candidates(docs, vocabulary(docs, text), id_column, text, path), "candidates")
+    numbered = stored(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    found = stored(candidates(numbered, vocabulary(numbered, text), id_column, text, path, row), "candidates")
     secrets = score(found, train(found)).filter("is_secret")
     by_row = secrets.groupBy(F.col("row").alias(row)).agg(F.array_sort(F.collect_list(F.struct("start", "stop"))).alias(spans))
     # the rows with secrets grow with the table, so they are never broadcast
-    joined = docs.withColumn(row, F.monotonically_increasing_id()).join(by_row.hint("merge"), row, "left")
+    joined = numbered.join(by_row.hint("merge"), row, "left")
     changed = F.col(spans).isNotNull()
     # what stands between one span's end and the next one's start, with a mark in each seam
     stops = F.concat(F.array(F.lit(0).cast("long")), F.transform(spans, lambda s: s["stop"]))

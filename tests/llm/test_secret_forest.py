@@ -184,3 +184,23 @@ def test_without_a_forest_only_proven_candidates_are_redacted(docs_of):
         assert [(r["probability"], r["is_secret"]) for r in rows if r["doc_id"] == 1] == [(None, False)] * 2
         assert [(r["probability"], r["is_secret"]) for r in rows if r["doc_id"] == 2] == [(1.0, True)] * proven
     assert {r["doc_id"]: r["text"] for r in sf.redact(df).collect()} == {1: clean, 2: 'token = "[SECRET]"'}
+
+
+def test_spans_find_their_rows_whatever_splits_later_scans_have(spark, docs_of, tmp_path):
+    cases = list(make(random.Random(9), 240))
+    docs_of([(i, t) for i, t, _ in cases]).repartition(24).write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    names = ("spark.sql.files.openCostInBytes", "spark.sql.leafNodeDefaultParallelism")
+    before = {n: spark.conf.get(n, None) for n in names}
+    try:
+        spark.conf.set(names[0], "1")
+        spark.conf.set(names[1], "6")
+        same = sf.redact(docs).select("doc_id", "text").collect()
+        later = sf.redact(docs).select("doc_id", "text")
+        spark.conf.set(names[1], "3")
+        assert sorted(map(tuple, later.collect())) == sorted(map(tuple, same))
+    finally:
+        for n, value in before.items():
+            spark.conf.unset(n) if value is None else spark.conf.set(n, value)
+    secrets = {i for i, _, secret in cases if secret}
+    assert {r["doc_id"] for r in same if "[SECRET]" in r["text"]} == secrets
