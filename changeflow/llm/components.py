@@ -25,6 +25,7 @@ def connected_components(edges: DataFrame, left: str, right: str, rounds: int =
     the longest chain. Each round is written to the shared folder, so a lost executor costs one round.
     """
     pairs = edges.select(F.col(left).alias("a"), F.col(right).alias("b")).filter("a is not null and b is not null")
+    pairs = stored(pairs, "pairs")  # read twice, and what finds the edges may be the greater part of the work
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     current = stored(
         pairs.filter("a <> b").select(F.greatest("a", "b").alias("node"), F.least("a", "b").alias("other")).distinct(), "edges"
