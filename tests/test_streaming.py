@@ -2,7 +2,6 @@ from datetime import timedelta
 from pathlib import Path
 
 import pytest
-
 from pyspark.sql import functions as F
 
 from changeflow.operators.rollup import daily_rollup
