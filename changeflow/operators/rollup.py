@@ -67,3 +67,20 @@ def daily_rollup(staged: DataFrame) -> DataFrame:
     named = F.count_distinct(F.when(~F.col("is_user_missing"), F.col("user_name"))).alias("unique_users")
     grain = staged.groupBy(F.to_date("changed_at_utc").alias("activity_date"), "namespace_id")
     return finished(grain.agg(*counters(), named))
+
+
+# Twice to the fourteenth registers: a standard error of 0.8 percent, at most some 16 kB a sketch.
+SKETCH_SIZE = 14
+
+
+def user_sketches(staged: DataFrame) -> DataFrame:
+    """A sketch of the users per grain beside the mart's exact count; unlike the count it can be added up."""
+    named = F.when(~F.col("is_user_missing"), F.col("user_name"))
+    grain = staged.groupBy(F.to_date("changed_at_utc").alias("activity_date"), "namespace_id")
+    return grain.agg(F.hll_sketch_agg(named, F.lit(SKETCH_SIZE)).alias("users"))
+
+
+def distinct_users(sketches: DataFrame, *by: Column | str) -> DataFrame:
+    """About how many different users each group of grains has, over namespaces and days; nobody is counted twice. Reads
+    one sketch per grain and no staging rows."""
+    return sketches.groupBy(*by).agg(F.hll_sketch_estimate(F.hll_union_agg("users")).alias("distinct_users"))

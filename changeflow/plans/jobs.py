@@ -11,6 +11,7 @@ from changeflow.operators import daily_state as state
 from changeflow.operators.audits import backfill_coverage
 from changeflow.operators.gates import admit, good_pages, page_errors, violations
 from changeflow.operators.inserts import id_span, in_ranges, insert_if_absent, load_stats, number_rows, total_stats
+from changeflow.operators.key_filters import key_filters, possible_days
 from changeflow.operators.page_ledger import ledger_violations, merged_intervals, page_intervals
 from changeflow.operators.quality import RAW_REQUIRED, quality_report, require_quality
 from changeflow.operators.reports import peek
@@ -58,6 +59,21 @@ def days_of_keys(loads: DataFrame, spans: list[tuple[int, int]]) -> list[date]:
     return sorted(r["event_date"] for r in found.select("event_date").distinct().collect())
 
 
+def days_with_keys(warehouse: Warehouse, keys: DataFrame, loads: DataFrame, days: list[date]) -> list[date]:
+    """Of the days whose ranges overlap the keys', those whose filters at least one key passes, and those that some load
+    left without a filter. ``loads`` must be the ledger without the load that asks."""
+    if not days:
+        return []
+    filters = warehouse.key_filters(days)
+    levels = [r["level"] for r in filters.select("level").distinct().collect()]  # at most one per power of two
+    covered = filters.select("event_date", "_load_id").distinct()
+    noted = loads.filter(F.col("event_date").isin(days)).select("event_date", "_load_id").distinct()
+    found = noted.join(covered, ["event_date", "_load_id"], "left_anti").select("event_date")
+    if levels:
+        found = found.unionByName(possible_days(keys, filters, "_key", levels).select("event_date"))
+    return sorted(r["event_date"] for r in found.distinct().collect())
+
+
 def joined_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """The same ranges, overlapping ones as one."""
     out: list[tuple[int, int]] = []
@@ -91,7 +107,7 @@ def load_judged(
     by_day = (
         valid_records(judged)
         .groupBy(F.to_date("event_time").alias("event_date"))
-        .agg(F.min("_key").alias("low_key"), F.max("_key").alias("high_key"))
+        .agg(F.min("_key").alias("low_key"), F.max("_key").alias("high_key"), F.count("_key").alias("keys"))
     )
     days = by_day.collect()  # one row per event date of the load
     spans = [(r["low_key"], r["high_key"]) for r in days]
@@ -108,7 +124,11 @@ def load_judged(
     marks = {"_ingested_at": F.lit(ingested_at), "_load_id": F.lit(load_id)}
 
     if counted["valid"]:
-        known = in_ranges(warehouse.raw(known_days), "_key", joined_spans(spans))
+        keys = valid_records(judged).select("_key", F.to_date("event_time").alias("event_date"))
+        known = in_ranges(warehouse.raw(days_with_keys(warehouse, keys, loads, known_days)), "_key", joined_spans(spans))
+        # written before the rows, like the ledger: a filter may say more than raw holds, never less
+        sizes = warehouse.spark.createDataFrame([(r["event_date"], r["keys"]) for r in days], "event_date date, keys long")
+        warehouse.append_key_filters(key_filters(keys, sizes, "_key").withColumn("_load_id", F.lit(load_id)))
         new = insert_if_absent(valid_records(judged), known, "_key", ARRIVAL)
         new = number_rows(new, "_raw_id", first_id, ARRIVAL, most)
         warehouse.append_raw(new.withColumns({**marks, "_event_date": F.to_date("event_time")}))

@@ -429,6 +429,17 @@ ORACLES: dict[str, str] = {
         f"""select _key, {_RAW} from raw
         where _key not in (select _key from valid where _window_start < timestamp '2024-01-16')""",
     ),
+    "raw_insert_filtered": _q(
+        _JUDGED,
+        """select _key * 48271 % 2147483647 as _key, _raw_id, _window_start, cast(event_time as date) as event_date from raw
+        where _key not in (select _key from valid where _window_start < timestamp '2024-01-16')""",
+    ),
+    "key_filter_audit": _q(
+        _JUDGED,
+        """select cast(event_time as date) as event_date, count(*) as stored_keys, 0 as denied, true as few_false from (
+            select _key, arg_min(event_time, _raw_id) as event_time from valid where _window_start < timestamp '2024-01-16' group by 1
+        ) group by 1""",
+    ),
     "constraint_violations": _q(
         _DAMAGED_RAW,
         """select _raw_id, '_raw not null' as "constraint" from damaged where _raw is null
@@ -468,6 +479,12 @@ ORACLES: dict[str, str] = {
         """select namespace_name, cast(sum(total_changes) as bigint) as total_changes from mart group by 1
         order by 2 desc, 1 nulls last limit 10""",
     ),
+    "distinct_users_daily": _q(
+        _STAGED,
+        """select cast(changed_at_utc as date) as activity_date, count(distinct user_name) as unique_users, true as close
+        from staged where not is_user_missing group by 1
+        union all select null, count(distinct user_name), true from staged where not is_user_missing""",
+    ),
     "latest_day_kpis": _q(
         _MART,
         f"""select activity_date, cast(sum(total_changes) as bigint) as total_changes,
@@ -565,6 +582,11 @@ ORACLES: dict[str, str] = {
         select _window_start, cast(_window_start + interval 36 hour as timestamp) as _window_end, count(*) as events,
             min(event_id) as first_event, max(event_id) as last_event
         from days join events on ts >= _window_start and ts < _window_start + interval 36 hour group by 1, 2""",
+    "assigned_mixed_windows": f"""with {_DAYS.format(extra=0).lstrip(",")}
+        select _window_start, cast(_window_start + to_minutes(n) as timestamp) as _window_end, count(*) as events,
+            min(event_id) as first_event, max(event_id) as last_event
+        from days cross join (values (1), (2160), (525600)) v(n)
+        join events on ts >= _window_start and ts < _window_start + to_minutes(n) group by 1, 2""",
     "backfill_coverage": _q(
         _MART,
         """select min(activity_date) as min_date, max(activity_date) as max_date,

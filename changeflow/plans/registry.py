@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changeflow.functions.payload import array_length, field, has_key, with_payload
-from changeflow.operators import audits, digests, gates, inserts, quality, reports, rollup, windows
+from changeflow.operators import audits, digests, gates, inserts, key_filters, quality, reports, rollup, windows
 from changeflow.operators import staging as stg
 from changeflow.operators import validation as val
 from changeflow.plans import jobs
@@ -231,6 +231,45 @@ def raw_insert_increment(spark, sf_dir):
     return inserts.insert_if_absent(rows, known, "_key", ARRIVAL).select("_key", *RAW_COLUMNS)
 
 
+def _filtered(spark, sf_dir):
+    """The feed's rows under keys that are spread over the whole range, and the filters of those of the first fifteen days."""
+    spread = F.pmod(F.col("_key") * 48271, F.lit(2147483647)).alias("_key")
+    rows = valid(spark, sf_dir).select(spread, *ARRIVAL, "_window_start", F.to_date("event_time").alias("event_date"))
+    rows = materialize(rows, "spread")
+    known = inserts.first_per_key(rows.filter(F.col("_window_start") < F.lit(date(2024, 1, 16)).cast("timestamp")), "_key", ARRIVAL)
+    known = materialize(known, "known")
+    sizes = known.groupBy("event_date").agg(F.count("_key").alias("keys"))
+    filters = materialize(key_filters.key_filters(known, sizes, "_key"), "filters")
+    levels = [r["level"] for r in filters.select("level").distinct().collect()] or [0]
+    return rows, known, key_filters.possible_days(rows, filters, "_key", levels)
+
+
+@query
+def raw_insert_filtered(spark, sf_dir):
+    """Rows that a load of the whole feed adds where keys of all days lie between one another: of the history only the rows
+    under a key and day that pass the filters are compared."""
+    rows, known, possible = _filtered(spark, sf_dir)
+    return inserts.insert_if_absent(rows, known.join(possible, ["_key", "event_date"], "left_semi"), "_key", ARRIVAL)
+
+
+@query
+def key_filter_audit(spark, sf_dir):
+    """Per stored day its keys, those that its filter denies (none), and whether it lets through less than one in fifty of
+    the keys that it does not hold."""
+    rows, known, possible = _filtered(spark, sf_dir)
+    asked = rows.agg(F.count_distinct("_key")).first()[0]
+    marked = known.select("_key", "event_date", F.lit(1).alias("held")).join(
+        possible.withColumn("passed", F.lit(1)), ["_key", "event_date"], "full_outer"
+    )
+    days = marked.groupBy("event_date").agg(
+        F.count("held").alias("stored_keys"),
+        F.count_if(F.col("passed").isNull()).alias("denied"),
+        F.count_if(F.col("held").isNull()).alias("false"),
+    )
+    few = F.col("false") * 50 < asked - F.col("stored_keys")
+    return days.select("event_date", "stored_keys", "denied", few.alias("few_false"))
+
+
 @query
 def constraint_violations(spark, sf_dir):
     return inserts.constraint_violations(fixture.damaged_raw(feed(spark, sf_dir)))
@@ -323,6 +362,21 @@ def top_namespaces(spark, sf_dir):
     return reports.top_namespaces(mart(spark, sf_dir))
 
 
+@query
+def distinct_users_daily(spark, sf_dir):
+    """Distinct users of each day and, without a date, of all days: whether sketches added up come within a twentieth of
+    the exact count, which is taken here for comparison."""
+    rows = materialize(staged(spark, sf_dir, rollup.ROLLED), "staged")
+    spans = F.explode(F.array("activity_date", F.lit(None).cast("date"))).alias("activity_date")
+    sketches = rollup.user_sketches(rows).select(spans, "users")
+    named = rows.filter("not is_user_missing").select(F.to_date("changed_at_utc").alias("activity_date"), "user_name")
+    exact = named.select(spans, "user_name").groupBy("activity_date").agg(F.count_distinct("user_name").alias("unique_users"))
+    found = rollup.distinct_users(sketches, "activity_date").withColumnRenamed("activity_date", "sketched_date")
+    close = F.abs(F.col("distinct_users") - F.col("unique_users")) * 20 <= F.col("unique_users")
+    both = found.join(exact, F.col("sketched_date").eqNullSafe(F.col("activity_date")))
+    return both.select("activity_date", "unique_users", close.alias("close"))
+
+
 @query
 def latest_day_kpis(spark, sf_dir):
     return double_rates(reports.latest_day_kpis(mart_table(spark, sf_dir)))
@@ -487,6 +541,20 @@ def assigned_general_windows(spark, sf_dir):
     )
 
 
+@query
+def assigned_mixed_windows(spark, sf_dir):
+    """Events per window, of one minute, 36 hours and a year, that start on every day; a year holds all later days."""
+    events = fixture.table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"))
+    lengths = F.explode(F.array(*[F.expr(f"interval {n} minutes") for n in (1, 2160, 525600)]))
+    mixed = windows.covering_windows(events, "ts").select("_window_start", lengths.alias("length"))
+    mixed = mixed.select("_window_start", (F.col("_window_start") + F.col("length")).alias("_window_end"))
+    return (
+        windows.assign_windows_by_cells(events, mixed, "ts")
+        .groupBy("_window_start", "_window_end")
+        .agg(F.count("*").alias("events"), F.min("event_id").alias("first_event"), F.max("event_id").alias("last_event"))
+    )
+
+
 @query
 def backfill_coverage(spark, sf_dir):
     return audits.backfill_coverage(mart(spark, sf_dir))

@@ -131,6 +131,17 @@ LOADS = T.StructType(
     ]
 )
 
+# Blocks of the Bloom filters of a load's keys, a filter per event date.
+KEY_FILTERS = T.StructType(
+    [
+        T.StructField("level", T.IntegerType()),
+        T.StructField("block", T.LongType()),
+        T.StructField("bits", T.BinaryType()),
+        T.StructField("_load_id", T.StringType()),
+        T.StructField("event_date", T.DateType()),
+    ]
+)
+
 # Intervals of good pages, as each load saw them.
 PAGE_LEDGER = T.StructType(
     [

@@ -2,7 +2,7 @@ from datetime import timedelta
 
 from pyspark.sql import functions as F
 
-from changeflow.operators.rollup import daily_rollup, namespace_name
+from changeflow.operators.rollup import daily_rollup, distinct_users, namespace_name, user_sketches
 from changeflow.operators.staging import staging, staging_of_unique, type_records
 from changeflow.schemas import MART, STAGING
 
@@ -153,6 +153,20 @@ def test_rollup_counts_per_day_and_namespace(spark):
     assert [(f.name, f.dataType) for f in mart.schema] == [(f.name, f.dataType) for f in MART]
 
 
+def test_sketches_count_a_user_of_several_namespaces_and_days_once(spark):
+    raw = raw_table(
+        spark,
+        [record(1, user="ann"), record(2, user="ann", ns=1), record(3, user="bob"), record(4, hour=25, user="ann"), record(5, hour=50, user="")]
+        + [record(100 + n, hour=49, user=f"u{n}") for n in range(2000)],
+    )
+    sketches = user_sketches(staging(raw))
+    days = {str(r["activity_date"]): r["distinct_users"] for r in distinct_users(sketches, "activity_date").collect()}
+    assert (days["2024-05-01"], days["2024-05-02"]) == (2, 1)
+    assert abs(days["2024-05-03"] - 2000) <= 60
+    assert abs(distinct_users(sketches).first()["distinct_users"] - 2002) <= 60
+    assert distinct_users(sketches.filter("false"), "activity_date").count() == 0
+
+
 def test_rollup_does_not_expand_rows_for_the_distinct_count(spark):
     mart = daily_rollup(staging(raw_table(spark, [record()])))
     assert "Expand" not in optimized(mart)

@@ -50,6 +50,32 @@ def test_assignment_is_an_equality_join(spark):
     assert "Join" not in plan_of(windows.assign_daily(events, "t"))
 
 
+_lengths = st.sampled_from([timedelta(0), timedelta(microseconds=1), timedelta(seconds=90), timedelta(days=3), timedelta(days=900), -timedelta(hours=1)])
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(_times, min_size=1, max_size=25), st.lists(st.tuples(_times, _lengths), min_size=1, max_size=6))
+def test_cells_agree_with_testing_all_pairs(spark, times, spans):
+    events = spark.createDataFrame([*enumerate(times), (-1, None)], "id int, t timestamp")
+    bounds = [(n, s, s + d) for n, (s, d) in enumerate(spans)]
+    mixed = spark.createDataFrame(bounds, "w int, " + WINDOW)
+    got = sorted((r["id"], r["w"]) for r in windows.assign_windows_by_cells(events, mixed, "t").collect())
+    assert got == sorted((i, n) for i, t in enumerate(times) for n, s, e in bounds if s <= t < e)
+
+
+def test_a_window_of_any_length_takes_few_cells(spark):
+    lengths = [timedelta(minutes=1), timedelta(days=1), timedelta(days=366), timedelta(days=36600)]
+    odd = DAY + timedelta(seconds=12345, microseconds=7)
+    mixed = spark.createDataFrame([(odd, odd + n) for n in lengths], WINDOW)
+    cells = windows.window_cells(mixed["_window_start"], mixed["_window_end"])
+    sizes = [r[0] for r in mixed.select(F.size(cells)).collect()]
+    assert max(sizes) <= 240 and sizes[0] <= 60
+    before_the_epoch = spark.createDataFrame([(datetime(1960, 1, 1, tzinfo=timezone.utc), DAY)], WINDOW)
+    events = spark.createDataFrame([(datetime(1965, 3, 4, 5, 6, 7, tzinfo=timezone.utc),), (DAY,)], "t timestamp")
+    joined = windows.assign_windows_by_cells(events, before_the_epoch, "t")
+    assert joined.count() == 1 and "NestedLoop" not in plan_of(joined) and "Cartesian" not in plan_of(joined)
+
+
 def test_requests_carry_interval_types_and_properties(spark):
     row = source_request(spark.createDataFrame([(DAY, DAY + timedelta(days=1))], WINDOW)).first()
     assert (row["rcstart"], row["rcend"], row["rcdir"]) == ("2024-05-01T00:00:00Z", "2024-05-02T00:00:00Z", "newer")
