@@ -8,7 +8,7 @@ a notice many times is read once. A text is scanned whole, in time that grows wi
 """
 
 import re
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -111,15 +111,16 @@ class Scanner:
             for begin, stop in spans:
                 for m in notice.pattern.finditer(normal, begin, stop):
                     hits.append(Hit(notice.label, m.start(), m.end(), sum(m.fuzzy_counts), len(notice.text)))
+        hits.sort(key=lambda h: (h.start, h.stop, h.edits / h.length, -h.length, h.label))
         chosen: list[Hit] = []
-        taken: list[tuple[int, int]] = []
-        for hit in sorted(hits, key=lambda h: (h.edits / h.length, -h.length, h.start, h.label)):
-            at = bisect_right(taken, (hit.start, hit.stop))
-            free = (at == 0 or taken[at - 1][1] <= hit.start) and (at == len(taken) or hit.stop <= taken[at][0])
-            if free:
-                taken.insert(at, (hit.start, hit.stop))
-                chosen.append(hit)
-        return sorted(chosen, key=lambda h: h.start)
+        # hits that touch no other group's are decided on their own
+        begin, reach = 0, -1
+        for n, hit in enumerate(hits):
+            if hit.start >= reach:
+                chosen += _best(hits[begin:n])
+                begin = n
+            reach = max(reach, hit.stop)
+        return chosen + _best(hits[begin:])
 
     def phrases_in(self, normal: str) -> list[tuple[int, str]]:
         """Start (in characters) and label of every place of a phrase, overlapping ones included."""
@@ -132,6 +133,19 @@ class Scanner:
         return sorted(places)
 
 
+def _best(hits: list[Hit]) -> list[Hit]:
+    """Of overlapping hits the best ones that leave each other free, by place."""
+    taken: list[tuple[int, int]] = []
+    chosen: list[Hit] = []
+    for hit in sorted(hits, key=lambda h: (h.edits / h.length, -h.length, h.start, h.label)):
+        at = bisect_right(taken, (hit.start, hit.stop))
+        free = (at == 0 or taken[at - 1][1] <= hit.start) and (at == len(taken) or hit.stop <= taken[at][0])
+        if free:
+            taken.insert(at, (hit.start, hit.stop))
+            chosen.append(hit)
+    return sorted(chosen, key=lambda h: h.start)
+
+
 def _joined(windows: list[list[int]], normal: str) -> list[tuple[int, int]]:
     out: list[list[int]] = []
     for begin, stop in sorted(windows):
@@ -180,10 +194,11 @@ def scan(docs: DataFrame, id_column: str = "doc_id", text: str = "text", **optio
 
 def _judge(scanner: Scanner, normal: str) -> tuple:
     base, hits = scanner.phrases_in(normal), scanner.notices_in(normal)
-    word_at = lambda at: normal.count(" ", 0, at)
+    blanks = [m.start() for m in re.finditer(" ", normal)] if base or hits else []
+    word_at = lambda at: bisect_left(blanks, at)
     base_labels = {label for _, label in base}
     score = 1.0 if base else max((1 - h.edits / h.length for h in hits), default=0.0)
-    notices = [{"label": h.label, "first_word": word_at(h.start), "words": normal.count(" ", h.start, h.stop) + 1, "edits": h.edits} for h in hits]
+    notices = [{"label": h.label, "first_word": word_at(h.start), "words": word_at(h.stop) - word_at(h.start) + 1, "edits": h.edits} for h in hits]
     return (
         normal.count(" ") + 1 if normal else 0,
         len(base),

@@ -1,5 +1,7 @@
 import random
 import re
+import time
+from types import SimpleNamespace
 
 from pyspark.sql import functions as F
 
@@ -90,6 +92,34 @@ def test_damaged_notices_are_found_with_their_place():
             assert any(h.label == label or h.edits <= edits for h in hits), (label, inner)
 
 
+def test_a_text_full_of_notices_takes_linear_time():
+    scanner, taken = lf.Scanner(), []
+    for copies in (4_000, 32_000):
+        text = lf.normal_form("All rights reserved. " * copies)
+        best = []
+        for _ in range(3):
+            started = time.perf_counter()
+            row = lf._judge(scanner, text)
+            best.append(time.perf_counter() - started)
+        taken.append(min(best))
+        assert row[0] == 3 * copies and row[5] == "proprietary"
+        assert [n["first_word"] for n in row[7]] == list(range(0, 3 * copies, 3)) and {n["words"] for n in row[7]} == {3}
+    # eight times the text; time that grows with its square would take 64 times as long
+    assert taken[1] < 20 * taken[0]
+
+
+def test_choosing_group_by_group_equals_choosing_among_all_hits():
+    rng = random.Random(5)
+    for _ in range(200):
+        hits = [lf.Hit(rng.choice("ab"), s, s + rng.randint(1, 12), rng.randint(0, 3), 12) for s in rng.choices(range(90), k=14)]
+        scanner = lf.Scanner()
+        scanner.windows = lambda normal: {0: [(0, 1)]}
+        match = lambda h: SimpleNamespace(start=lambda: h.start, end=lambda: h.stop, fuzzy_counts=(h.edits,))
+        scanner.notices = [SimpleNamespace(label="a", text="x" * 12, pattern=SimpleNamespace(finditer=lambda *_: map(match, hits)))]
+        ordered = sorted(hits, key=lambda h: (h.start, h.stop))
+        assert scanner.notices_in("") == lf._best([lf.Hit("a", h.start, h.stop, h.edits, 12) for h in ordered])
+
+
 def test_clean_prose_has_no_label():
     prose = "the bridge was under the license of the town and all its rights were in the hands of the public"
     assert lf.Scanner().notices_in(prose) == []
