@@ -52,7 +52,7 @@ def test_posterior_keeps_prose_and_rejects_each_way_of_being_bad(docs_of):
     assert kept == set(range(len(good)))
 
 
-def plain_fit(patterns, names, kinds, rounds=40):
+def plain_fit(patterns, names, kinds, rounds=20_000):
     """The same estimate over (votes, texts) pairs, one pattern after another."""
     model = first = weak_rules.start(kinds, names)
     for _ in range(rounds):
@@ -73,7 +73,7 @@ def plain_fit(patterns, names, kinds, rounds=40):
         new = weak_rules._estimate({x: (found[x], cast[x]) for x in cast}, first, kinds, names)
         moved = max([abs(new.bad_vote[k][r] - model.bad_vote[k][r]) for k in new.share for r in names] + [abs(new.share[k] - model.share[k]) for k in new.share])
         model = new
-        if moved < 1e-4:
+        if moved < 1e-7:
             break
     return model
 
@@ -84,9 +84,16 @@ def test_estimate_equals_a_plain_version(spark, docs_of):
     names = [f.name for f in voted.schema[votes].dataType.fields]
     counts = Counter(tuple(r[0][n] for n in names) for r in voted.select(votes).collect())
     got, want = weak_rules.fit(voted, votes), plain_fit(list(counts.items()), names, weak_rules.KINDS)
-    assert got.share == pytest.approx(want.share)
+    assert got.share == pytest.approx(want.share, abs=2e-3)
     for k in want.share:
-        assert got.bad_vote[k] == pytest.approx(want.bad_vote[k])
+        assert got.bad_vote[k] == pytest.approx(want.bad_vote[k], abs=2e-3)
+
+
+def test_an_estimate_that_does_not_settle_is_an_error(docs_of):
+    good, bad, _ = corpus()
+    voted, _, votes = weak_rules.with_votes(docs_of(list(enumerate(good + bad))))
+    with pytest.raises(RuntimeError, match="still move"):
+        weak_rules.fit(voted, votes, patience=2)
 
 
 def test_agrees_with_labels_it_never_saw(spark, sf_dir):
