@@ -1,11 +1,13 @@
 """Secret scans: patterns propose candidates, a random forest removes false positives.
 
-Candidates are strings that look like credentials. What tells a credential from a digest, a card number, an address or a
+Candidates are strings that look like credentials, and whatever is assigned to a credential's name. What tells a credential from a digest, a card number, an address or a
 long word are the string itself (length, the transitions between kinds of characters, how usual its letter pairs are,
 how much of it dictionary words cover), where it stands (the document's path, quoted, assigned, inside a link) and the
 words beside it. The forest learns from labelled findings; ``labelled_findings`` takes them from the corpus itself:
 candidates that a credential's fixed format or an assignment to a credential's name proves, and candidates that the
 format of something else or a name such as ``sha256`` refutes. Candidates that neither tells are what the forest decides.
+Since a label's evidence is among the features, each labelled finding is also learned with that evidence hidden, so that
+the forest can judge the string and its place where nothing proves anything.
 """
 
 import re
@@ -55,14 +57,31 @@ CANDIDATE = re.compile("|".join(f"(?P<{k}>{p})" for k, p in FORMATS) + f"|(?P<ge
 
 NAMES_OF_SECRETS = ("token", "secret", "password", "passwd", "pwd", "api_key", "apikey", "access_key", "auth", "credential", "private_key")
 NAMES_OF_OTHERS = ("sha", "md5", "digest", "checksum", "hash", "commit", "uuid", "guid", "id", "version", "order", "card", "phone", "isbn", "example")
+#: What is assigned to a name that ends in a credential's word: up to the closing quote, or up to a blank (as without
+#: a closing quote on the line), of any length and any characters. A backslash may stand before each quote. In query strings and lists the next ``&name=`` or ``;name=`` ends it.
+CREDENTIAL_WORDS = "pass(?:word|wd|phrase|code)?|pwd|secret(?:[_-]?key)?|(?:api|access|private|auth)[_-]?key|token|credentials?|auth"
+ASSIGNMENT = re.compile(
+    rf"(?:(?<![A-Za-z])|(?<=[a-z0-9])(?=[A-Z]))(?i:{CREDENTIAL_WORDS})(?:\\{{0,2}}[\"'])?[ \t]{{0,4}}(?::=|=>|[:=])[ \t]{{0,4}}"
+    r"(?:(?P<quote>\\{0,2}[\"'`])(?P<quoted>(?:(?!(?P=quote))(?:\\[^\r\n]|[^\\\r\n]))++)(?P=quote)"
+    r"|(?:\\{0,2}[\"'`])?(?P<bare>(?![=:>\"'`\\])(?:[^\s\"'`&;]|[&;](?![A-Za-z_][\w.-]*+=|\s|$))++))"
+)
+#: What an assignment's text must hold, in lower case, to be searched for one.
+ASSIGNMENT_HINTS = ("pass", "pwd", "secret", "key", "token", "credential", "auth")
+#: Values that stand for another: variables, calls, blanks to fill in and words for nothing.
+PLACEHOLDER = re.compile(
+    r"(?is)[$%]\{?\w+\}?%?|\$\(.*|\{\{.*|<[^<>]*>|\[[^\[\]]*\]|%[sdr]|\{\w*\}|[x*.#_?-]+|(?:self|this|os|process|env|config|settings|request|args|ctx)[.\[].*"
+    r"|[A-Za-z_][\w.]*\(.*|none|null|nil|true|false|undefined|empty|required|optional|string|(?:your|my|the|some|any|enter)[ _-].*|change[_-]?me"
+)
 ASSIGNED = re.compile(r"([A-Za-z_][A-Za-z0-9_.-]{0,60})[\"']?\s{0,4}(?::=|=>|[:=])\s{0,4}[\"'`]?$")
 BEFORE, AFTER = 80, 40
 
 FEATURES = (
     "length", "digit_share", "upper_share", "symbol_share", "entropy", "class_changes", "pair_likelihood", "dictionary_share",
     "hex_only", "digits_only", "quoted", "assigned", "in_link", "name_of_secret", "name_of_other", "secret_word_near",
-    "other_word_near", "path_hint", "known_format",
+    "other_word_near", "path_hint", "known_format", "placeholder",
 )
+#: Features that tell of a label's evidence, and what they are where it is hidden.
+EVIDENCE = ("name_of_secret", "name_of_other", "digits_only", "in_link", "secret_word_near", "other_word_near", "known_format")
 
 
 @dataclass(frozen=True)
@@ -141,7 +160,7 @@ def _features(value: str, kind: str, before: str, after: str, path: str, vocabul
         _covered(low, vocabulary.words),
         float(all(c in "0123456789abcdef" for c in low)),
         float(value.isdigit()),
-        float(before[-1:] in "\"'`" and before[-1:] != "" and after[:1] == before[-1:]),
+        float(before[-1:] in "\"'`" and before[-1:] != "" and after[:3].lstrip("\\")[:1] == before[-1:]),
         float(assigned is not None),
         float(link),
         float(any(x in name for x in NAMES_OF_SECRETS)),
@@ -149,10 +168,42 @@ def _features(value: str, kind: str, before: str, after: str, path: str, vocabul
         float(any(x in near_words for x in NAMES_OF_SECRETS)),
         float(any(x in near_words for x in NAMES_OF_OTHERS)),
         float(bool(re.search(r"(?i)config|\.env|secret|credential|deploy|key", path))),
-        float(kind != "generic"),
+        float(kind not in ("generic", "assigned")),
+        float(PLACEHOLDER.fullmatch(value) is not None),
     ]
 
 
+def find(text: str) -> list[tuple[int, int, str]]:
+    """``(start, stop, kind)`` of the candidates of a text in order, none overlapping another.
+
+    An assigned value gives way to a credential's fixed format anywhere in it and to a run of key characters that it equals
+    or crosses; runs that lie within it give way to it.
+    """
+    found = [(m.start(), m.end(), m.lastgroup) for m in CANDIDATE.finditer(text)]
+    low = text.lower()
+    if not any(x in low for x in ASSIGNMENT_HINTS):
+        return found
+    out, at = [], 0
+    for m in ASSIGNMENT.finditer(text):
+        group = "quoted" if m["bare"] is None else "bare"
+        start, stop = m.span(group)
+        if group == "bare":
+            stop = start + len(m[group].rstrip(".,:;!?)]}>") or m[group])
+        while at < len(found) and found[at][1] <= start:
+            out.append(found[at])
+            at += 1
+        met = at
+        while met < len(found) and found[met][0] < stop:
+            met += 1
+        inside = all(k == "generic" and start <= a and b <= stop and (a, b) != (start, stop) for a, b, k in found[at:met])
+        if inside:
+            out.append((start, stop, "assigned"))
+        else:
+            out.extend(found[at:met])
+        at = met
+    return out + found[at:]
+
+
 def candidates(docs: DataFrame, vocabulary: Vocabulary, id_column: str = "doc_id", text: str = "text", path: str = "source", row_column: str | None = None) -> DataFrame:
     """``row, id, kind, start, stop, value_sha256, features, label``: every candidate of every whole text.
 
@@ -172,12 +223,12 @@ def candidates(docs: DataFrame, vocabulary: Vocabulary, id_column: str = "doc_id
                 part = batch.slice(begin, 512)
                 at, found = [], []
                 for row, (t, p) in enumerate(zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True)):
-                    for m in CANDIDATE.finditer(t or ""):
-                        value, kind = m[0], m.lastgroup
-                        before, after = t[max(0, m.start() - BEFORE) : m.start()], t[m.end() : m.end() + AFTER]
+                    for start, stop, kind in find(t or ""):
+                        value = t[start:stop]
+                        before, after = t[max(0, start - BEFORE) : start], t[stop : stop + AFTER]
                         features = _features(value, kind, before, after, p or "", shared.value)
                         at.append(row)
-                        found.append((kind, m.start(), m.end(), sha256(value.encode()).hexdigest(), features, _label(kind, features)))
+                        found.append((kind, start, stop, sha256(value.encode()).hexdigest(), features, _label(kind, features)))
                 rows = pa.array(at, pa.int64())
                 columns = list(zip(*found, strict=True)) or [()] * 6
                 kinds = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.float64()), pa.int32()]
@@ -191,6 +242,13 @@ def candidates(docs: DataFrame, vocabulary: Vocabulary, id_column: str = "doc_id
 def _label(kind: str, features: list[float]) -> int | None:
     """What the format or the name beside a candidate proves: 1 a credential, 0 something else, None neither."""
     f = dict(zip(FEATURES, features, strict=True))
+    if kind == "assigned":
+        letters_only = f["digit_share"] + f["symbol_share"] == 0
+        if f["placeholder"] or letters_only and not f["quoted"] and f["dictionary_share"] >= 0.8:
+            return 0
+        if f["quoted"]:
+            return 1 if f["dictionary_share"] < 0.5 or not letters_only and not f["digits_only"] else None
+        return 1 if f["digit_share"] and not f["digits_only"] else None
     if kind != "generic" or f["name_of_secret"] and not f["name_of_other"] and f["entropy"] >= 2.5 and f["dictionary_share"] < 0.5:
         return 1
     if f["name_of_other"] and not f["name_of_secret"] or f["digits_only"] or f["in_link"] or f["dictionary_share"] >= 0.8:
@@ -201,10 +259,13 @@ def _label(kind: str, features: list[float]) -> int | None:
 def train(findings: DataFrame, limit: int = MAX_TRAINING, trees: int = 20, depth: int = 6, seed: int = 11) -> RandomForestClassificationModel | None:
     """A forest fitted on up to ``limit`` labelled findings, those with the smallest hash; None unless both labels occur.
 
-    Findings of equal features and label, such as those of copied documents, count as one. The sample's bound is a parameter of fitting alone: every candidate is scored.
+    Findings of equal features and label, such as those of copied documents, count as one. Each enters once as it is and once
+    with the features of ``EVIDENCE`` at zero. The sample's bound is a parameter of fitting alone: every candidate is scored.
     """
     labelled = findings.filter("label is not null").select("features", F.col("label").cast("double").alias("label"))
-    labelled = labelled.dropDuplicates(["features", "label"])
+    hidden = [F.lit(0.0) if name in EVIDENCE else F.get("features", F.lit(i)) for i, name in enumerate(FEATURES)]
+    views = F.explode(F.array(F.col("features"), F.array(*hidden)))
+    labelled = labelled.select(views.alias("features"), "label").dropDuplicates(["features", "label"])
     order = [F.xxhash64("features", "label"), "features"]
     each = [labelled.filter(F.col("label") == x).orderBy(*order).limit(limit // 2) for x in (0.0, 1.0)]
     sample = stored(each[0].unionByName(each[1]).repartition(1).sortWithinPartitions(*order, "label"), "training")
