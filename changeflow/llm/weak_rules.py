@@ -37,14 +37,35 @@ def _removed(text: Column, characters: str) -> Column:
     return (F.length(text) - F.length(F.translate(text, characters, ""))).cast("long")
 
 
+#: Bits of a packed window that tell its place; the others are from its hash.
+PLACE_BITS = 24
+
+
+def _suspects(w: Column) -> Column:
+    """Places of the three-word windows whose hash another window shares, and so of all that occur twice or more.
+
+    Hash and place of a window fill one long, since an array of longs is sorted without comparing strings. A text
+    of so many words that a place does not fit its bits suspects every window.
+    """
+    starts = F.sequence(F.lit(0), F.size(w) - 3)
+    hashed = lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2))
+    packed = F.transform(starts, lambda i: F.shiftleft(hashed(i), PLACE_BITS).bitwiseOR(i.cast("long")))
+
+    def places(p: Column) -> Column:
+        same = lambda x, k: F.coalesce(F.shiftright(x, PLACE_BITS) == F.shiftright(F.get(p, k), PLACE_BITS), F.lit(False))
+        shared = F.filter(p, lambda x, k: same(x, k + 1) | same(x, k - 1))
+        return F.transform(shared, lambda x: x.bitwiseAND(F.lit((1 << PLACE_BITS) - 1)).cast("int"))
+
+    return F.when(F.size(w) < 1 << PLACE_BITS, let(F.sort_array(packed), places)).otherwise(starts)
+
+
 def _repeat_words(w: Column) -> Column:
     """Words that lie in a three-word window which the text has twice or more.
 
     Sorting the windows puts equal ones side by side; the places of those with an equal neighbour, in order, each cover
-    three words less what the next place covers.
+    three words less what the next place covers. Only windows of equal hashes are compared as strings.
     """
-    starts = F.sequence(F.lit(0), F.size(w) - 3)
-    windows = F.transform(starts, lambda i: F.struct(F.array_join(F.slice(w, i + 1, 3), " ").alias("s"), i.alias("i")))
+    windows = F.transform(_suspects(w), lambda i: F.struct(F.array_join(F.slice(w, i + 1, 3), " ").alias("s"), i.alias("i")))
 
     def places(s: Column) -> Column:
         as_next = lambda x, k: F.coalesce(x["s"] == F.get(s, k + 1)["s"], F.lit(False))

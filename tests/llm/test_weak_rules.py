@@ -45,6 +45,16 @@ def test_base_counts_equal_a_plain_version(docs_of):
         assert not (r["base_failed"] and r["kept"]) and 0 <= r["quality"] <= 1
 
 
+@pytest.mark.parametrize("bits", [3, 24, 62])
+def test_repeated_words_whatever_hashes_are_shared(docs_of, monkeypatch, bits):
+    """With 62 bits of place a hash has two left, so most windows share one; with three, eight words are too many to pack."""
+    monkeypatch.setattr(weak_rules, "PLACE_BITS", bits)
+    good, bad, odd = corpus()
+    texts = [*good[:12], *bad, *odd, "a b c d e a b c", "a b a b a b a", "c d a b c d", "ab c d a bc d"]
+    rows = weak_rules.judge(docs_of(list(enumerate(texts)))).select("doc_id", "n_repeat_words").collect()
+    assert {r["doc_id"]: r["n_repeat_words"] for r in rows} == {i: base(t)[4] for i, t in enumerate(texts)}
+
+
 def test_posterior_keeps_prose_and_rejects_each_way_of_being_bad(docs_of):
     good, bad, _ = corpus()
     rows = weak_rules.judge(docs_of(list(enumerate(good + bad)))).collect()
