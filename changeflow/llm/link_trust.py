@@ -18,8 +18,10 @@ from .common import lower_ascii, stored
 ALLOW, BLOCK = "allow", "block"
 MAX_RULES = 1000
 DAMPING = 0.85
-ROUNDS = 24
-BLOCK_OF_ROUNDS = 4
+#: Rounds between two looks at how far the ranks moved, and how many such looks there may be. What moves shrinks by the damping
+#: each round, so that hundreds of rounds are only reached with a damping close to one.
+BLOCK_OF_ROUNDS = 8
+MOST_BLOCKS = 500
 TOLERANCE = 1e-6
 #: A host is a seed if rules judge at least this share of its pages that way.
 SEED_SHARE = 0.5
@@ -107,17 +109,17 @@ def _steps(edges: DataFrame) -> DataFrame:
     return own.unionByName(against).select("step.*", "p")
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
+def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING) -> DataFrame:
     """``kind, node, rank`` from ``seeds`` (``kind, node``), each starting with one.
 
     What reaches a node without a further step is lost rather than dealt anew, so ranks of nodes far from any seed
     are small but never negative. Ranks are written every few rounds, which cuts the lineage, and the rounds end when
-    no rank moves by more than the tolerance.
+    no rank has moved by more than the tolerance, whatever their number.
     """
     steps = stored(_steps(edges), "steps")
     start = seeds.select("kind", "node", F.lit(1 - damping).alias("x"))
     ranks = start.withColumnRenamed("x", "rank")
-    for _ in range(0, rounds, BLOCK_OF_ROUNDS):
+    for _ in range(MOST_BLOCKS):
         before = ranks
         for _ in range(BLOCK_OF_ROUNDS):
             moved = steps.join(ranks, ["kind", "node"]).select("kind", F.col("to").alias("node"), (F.col("p") * F.col("rank") * damping).alias("x"))
@@ -126,8 +128,8 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, roun
         old = before.withColumnRenamed("rank", "old")
         change = ranks.join(old, ["kind", "node"], "left").agg(F.max(F.abs(F.col("rank") - F.coalesce("old", F.lit(0.0)))))
         if (change.first()[0] or 0.0) <= TOLERANCE:
-            break
-    return ranks
+            return ranks
+    raise ArithmeticError(f"ranks still move after {MOST_BLOCKS * BLOCK_OF_ROUNDS} rounds")
 
 
 def host_verdicts(pages: DataFrame, rules: tuple[Rule, ...] = RULES, url: str = "url", html: str = "html") -> DataFrame:
