@@ -28,6 +28,9 @@ ROUNDS = 25
 PENALTY = 0.5
 EVIDENCE = 1 / 3
 UNKNOWN = "und"
+#: Distinct trigrams times languages that are worked on together, 32 MB in each of a few arrays; a single text may be more,
+#: up to buckets times languages.
+CELLS = 1 << 22
 
 
 def held_out(doc_id: Column) -> Column:
@@ -115,11 +118,27 @@ def _mixtures(logs: np.ndarray, weight: np.ndarray, starts: np.ndarray, of: np.n
 def infer(model: LanguageModel, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Per text the proportions by language (zero for languages not in the chosen set) and the number of trigrams.
 
-    All texts of a call are worked on together. Texts without a trigram get no proportions and zero trigrams.
+    Texts are worked on together up to ``CELLS``. Those without a trigram get no proportions and zero trigrams.
     """
-    found = [np.unique(trigram_buckets(t) % len(model.logs), return_counts=True) for t in texts]
+    shares, numbers, group, cells = [], [], [], 0
+    for t in texts:
+        counted = np.unique(trigram_buckets(t) % len(model.logs), return_counts=True)
+        size = len(counted[0]) * len(model.languages)
+        if group and cells + size > CELLS:
+            done = _infer(model, group)
+            shares.append(done[0])
+            numbers.append(done[1])
+            group, cells = [], 0
+        group.append(counted)
+        cells += size
+    done = _infer(model, group)
+    return np.concatenate([*shares, done[0]]), np.concatenate([*numbers, done[1]])
+
+
+def _infer(model: LanguageModel, found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """``infer`` for texts given as their distinct buckets and how often each occurs."""
     n = np.array([int(c.sum()) for _, c in found], dtype=np.int64)
-    shares = np.zeros((len(texts), len(model.languages)))
+    shares = np.zeros((len(found), len(model.languages)))
     rows = np.flatnonzero(n)
     if not len(rows) or not model.languages:
         return shares, n

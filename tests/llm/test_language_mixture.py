@@ -99,3 +99,20 @@ def test_rows_kept_are_whole(spark, sf_dir):
     kept = lm.rows_with_language(docs)
     assert kept.columns == docs.columns and kept.exceptAll(docs).count() == 0
     assert kept.count() >= 0.95 * docs.count()
+
+
+def test_groups_of_bounded_cells_give_the_same_shares(monkeypatch):
+    rng = np.random.default_rng(4)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz     "))
+    texts = ["".join(rng.choice(letters, size)) for size in (40, 0, 3000, 200, 5000, 10, 700)] + ["", "1 2 3"]
+    logs = np.log(rng.dirichlet(np.ones(lm.BUCKETS), 5).T + 1e-9)
+    model = lm.LanguageModel(tuple("vwxyz"), logs, np.full(5, 0.2))
+    whole, numbers = lm.infer(model, texts)
+    seen = []
+    inner = lm._infer
+    monkeypatch.setattr(lm, "_infer", lambda m, found: seen.append(sum(len(f[0]) for f in found) * 5) or inner(m, found))
+    monkeypatch.setattr(lm, "CELLS", 4000)
+    shares, n = lm.infer(model, texts)
+    assert len(seen) > 3 and all(cells <= max(4000, 5 * 5000) for cells in seen)
+    assert np.allclose(shares, whole) and (n == numbers).all() and shares.shape == (len(texts), 5)
+    assert lm.infer(model, [])[0].shape == (0, 5)
