@@ -34,6 +34,8 @@ def arguments() -> argparse.Namespace:
             command.add_argument("--from", dest="first", type=date.fromisoformat, required=True)
             command.add_argument("--to", dest="last", type=date.fromisoformat, required=True)
             command.add_argument("--any-age", action="store_true", help="accept windows the source no longer keeps")
+            command.add_argument("--resume", action="store_true", help="only steps that are not done for what has landed")
+            command.add_argument("--pass-days", type=int, help="with --resume: dates to a pass, all if left out")
         else:
             command.add_argument("--checkpoint", required=True)
     commands.add_parser("refresh")
@@ -55,17 +57,12 @@ def main() -> None:
             show(jobs.run(spark, args.landing, args.warehouse, args.date, args.max_pages))
         case "backfill":
             retention = None if args.any_age else jobs.RETENTION_DAYS
-            show(
-                jobs.backfill(
-                    spark,
-                    args.landing,
-                    args.warehouse,
-                    args.first,
-                    args.last,
-                    retention_days=retention,
-                    max_pages=args.max_pages,
-                )
-            )
+            place = (spark, args.landing, args.warehouse, args.first, args.last)
+            options = {"retention_days": retention, "max_pages": args.max_pages}
+            if args.resume:
+                show(jobs.resume_backfill(*place, pass_days=args.pass_days, **options))
+            else:
+                show(jobs.backfill(*place, **options))
         case "stream":
             ingest.run_available(spark, args.landing, args.warehouse, args.checkpoint, args.max_pages)
         case "refresh":

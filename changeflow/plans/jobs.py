@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changeflow.operators import daily_state as state
+from changeflow.operators import progress
 from changeflow.operators.audits import backfill_coverage
 from changeflow.operators.gates import admit, good_pages, page_errors, violations
 from changeflow.operators.inserts import id_span, in_ranges, insert_if_absent, load_stats, number_rows, total_stats
@@ -19,9 +20,9 @@ from changeflow.operators.rollup import GRAIN, daily_rollup
 from changeflow.operators.staging import staging_of_unique
 from changeflow.operators.validation import ERROR, OK, classify, error_rows, valid_records
 from changeflow.operators.windows import daily_windows, guard_windows, normalize_windows, windows_between
-from changeflow.schemas import MAX_PAGES, RETENTION_DAYS, STATE_LOG
+from changeflow.schemas import BACKFILL_STEPS, MAX_PAGES, RETENTION_DAYS, STATE_LOG
 from changeflow.session import configure, discard, materialize
-from changeflow.sources.landing import newest_landings, only_records, page_headers, page_records, parse_pages, read_lines
+from changeflow.sources.landing import landed_files, newest_landings, only_records, page_headers, page_records, parse_pages, read_lines
 from changeflow.sources.tables import Warehouse
 
 PAGE = ["_window_start", "_window_end", "page_no"]
@@ -381,6 +382,53 @@ def backfill(
     return backfill_coverage(Warehouse(spark, root).mart())
 
 
+def resume_backfill(
+    spark: SparkSession,
+    landing: str,
+    root: str,
+    first: date,
+    last: date,
+    now: datetime | None = None,
+    retention_days: int | None = RETENTION_DAYS,
+    pass_days: int | None = None,
+    max_pages: int = MAX_PAGES,
+    strict: bool = True,
+) -> DataFrame:
+    """Like ``backfill``, but only what is left to do: steps that no earlier call has done for the files that have landed.
+
+    The dates are worked on in passes of up to ``pass_days`` of those with an open step (None: one pass), each loaded,
+    refreshed and checked as a set. A step is noted once it is done, with the digest that the date's landing had before the
+    call, so a call that breaks off loses at most the pass it was in, and files that land meanwhile open their date
+    again. Returns the mart's coverage.
+    """
+    check_windows(windows_between(configure(spark), first, last), now, retention_days)
+    warehouse, days = Warehouse(spark, root), days_between(first, last)
+    inputs = progress.landing_digests(landed_files(spark, landing, days))
+    pending = progress.open_steps(spark, days, inputs, warehouse.backfill_steps()).collect()  # at most three per date
+    landed = {r["window_date"]: r for r in pending}
+    steps = {step: {r["window_date"] for r in pending if r["step"] == step} for step in progress.STEPS}
+    left = sorted(landed)
+
+    def note(step: str, done: list[date]) -> None:
+        stamp = datetime.now(timezone.utc)
+        rows = [(d, step, *[landed[d][c] for c in progress.DIGEST], stamp) for d in done]
+        warehouse.append_backfill_steps(spark.createDataFrame(rows, BACKFILL_STEPS))
+
+    for at in range(0, len(left), pass_days or max(len(left), 1)):
+        part = left[at : at + (pass_days or len(left))]
+        load, refreshed, checked = ([d for d in part if d in steps[step]] for step in progress.STEPS)
+        if load:
+            load_pages(warehouse, read_lines(spark, landing, load), max_pages, asked=daily_windows(spark, load))
+            note(progress.LOAD, load)
+        if refreshed:
+            refresh(warehouse, loaded_days(warehouse.load_stats(refreshed)))
+            note(progress.REFRESH, refreshed)
+        if checked:
+            check(warehouse, strict, loaded_days(warehouse.load_stats(checked)))
+            note(progress.CHECK, checked)
+    return backfill_coverage(warehouse.mart())
+
+
 def inject_fault(warehouse: Warehouse) -> None:
     """Double one mart row, so that the grain check must fail until the mart is rebuilt."""
     warehouse.append_mart(materialize(peek(warehouse.mart(), 1, GRAIN), "fault"))

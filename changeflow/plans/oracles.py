@@ -663,6 +663,11 @@ ORACLES: dict[str, str] = {
             cast(sum(bot_changes) as bigint) as bot_changes, cast(sum(anonymous_changes) as bigint) as anonymous_changes
         from mart""",
     ),
+    "backfill_resumed": _q(
+        _MART,
+        """select activity_date, cast(sum(total_changes) as bigint) as total_changes, cast(3 as bigint) as steps,
+            cast(1 as bigint) as loads from mart group by 1""",
+    ),
     "daily_run_stats": _q(
         _JUDGED,
         """select 1 as load, (select count(*) from judged where replay = 0) as fetched,

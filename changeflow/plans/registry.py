@@ -703,6 +703,28 @@ def backfill_run(spark, sf_dir):
     return coverage
 
 
+@query
+def backfill_resumed(spark, sf_dir):
+    """A backfill that breaks off after ten days, as the others have not landed, and goes on when they have: changes per
+    day, how many steps are noted for it, and how many loads brought it."""
+    root, whole = shared_dir(spark, "run"), feed(spark, sf_dir)
+    place, warehouse = (spark, f"{root}/landing", f"{root}/warehouse"), Warehouse(spark, f"{root}/warehouse")
+    first, last = _event_span(spark, sf_dir)
+    early = F.to_date("_window_start") < F.lit(first + timedelta(days=10))
+    for part in (early, ~early):
+        land(spark, whole.filter(part), f"{root}/landing")
+        try:
+            jobs.resume_backfill(*place, first, last, retention_days=None, pass_days=10, strict=False)
+        except jobs.SourceError as error:
+            if "missing_window" not in str(error):
+                raise
+    by_day = lambda df, day, name, what: df.groupBy(F.col(day).alias("activity_date")).agg(what.alias(name))
+    steps = by_day(warehouse.backfill_steps(), "window_date", "steps", F.count("*"))
+    loads = by_day(warehouse.loads(), "event_date", "loads", F.countDistinct("_load_id"))
+    changes = by_day(warehouse.mart(), "activity_date", "total_changes", F.sum("total_changes"))
+    return changes.join(steps, "activity_date", "left").join(loads, "activity_date", "left")
+
+
 @query
 def published_views(spark, sf_dir):
     """SQL over the published views, as a dashboard or an analyst writes it."""

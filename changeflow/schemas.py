@@ -191,6 +191,18 @@ STATE_LOG = T.StructType(
     ]
 )
 
+# Steps of a backfill that are done for a window date, and the digest of the files that had landed for it.
+BACKFILL_STEPS = T.StructType(
+    [
+        T.StructField("window_date", T.DateType()),
+        T.StructField("step", T.StringType()),
+        T.StructField("digest_rows", T.LongType()),
+        T.StructField("digest_sum", T.DecimalType(30, 0)),
+        T.StructField("digest_salted_sum", T.DecimalType(30, 0)),
+        T.StructField("done_at", T.TimestampType()),
+    ]
+)
+
 # A landed line: one source page with the window and page number it was fetched for, and perhaps when.
 LANDED_LINE = (
     "window_start string, window_end string, page bigint, fetched_at string, "

@@ -40,6 +40,12 @@ def read_lines(spark: SparkSession, path: str, window_dates: list | None = None)
     return lines
 
 
+def landed_files(spark: SparkSession, path: str, window_dates: list) -> DataFrame:
+    """``path, modificationTime, length`` of the files of the dates; nothing is read of them."""
+    files = spark.read.format("binaryFile").load(path).withColumn("window_date", F.col("window_date").cast("date"))
+    return files.filter(F.col("window_date").isin(window_dates)).select("window_date", "path", "modificationTime", "length")
+
+
 def stream_lines(spark: SparkSession, path: str, **options: str) -> DataFrame:
     return spark.readStream.options(**options).schema("value string, window_date date").text(path)
 

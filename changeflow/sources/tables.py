@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from changeflow.operators.inserts import broken_constraints
-from changeflow.schemas import BAD_PAGES, DAY_COUNTERS, DAY_USERS, ERRORS, KEY_FILTERS, LOAD_STATS, LOADS, MART, PAGE_LEDGER, RAW, STAGING, STATE_LOG, USER_NUMBERS
+from changeflow.schemas import BACKFILL_STEPS, BAD_PAGES, DAY_COUNTERS, DAY_USERS, ERRORS, KEY_FILTERS, LOAD_STATS, LOADS, MART, PAGE_LEDGER, RAW, STAGING, STATE_LOG, USER_NUMBERS
 
 # The raw id breaks ties between rows without a typed key, of which one survives.
 STORED_STAGING = T.StructType(
@@ -116,6 +116,12 @@ class Warehouse:
         """One row per event date of a load and one without a date, in one file."""
         rows.select(LOADS.fieldNames()).coalesce(1).write.mode("append").parquet(f"{self.root}/loads")
 
+    def backfill_steps(self) -> DataFrame:
+        return self._read("backfill_steps", BACKFILL_STEPS)
+
+    def append_backfill_steps(self, rows: DataFrame) -> None:
+        rows.select(BACKFILL_STEPS.fieldNames()).coalesce(1).write.mode("append").parquet(f"{self.root}/backfill_steps")
+
     def append_key_filters(self, rows: DataFrame) -> None:
         # one file per day, blocks in order: a reader skips the row groups of blocks it does not ask for
         ordered = rows.repartition("event_date").sortWithinPartitions("event_date", "level", "block")

@@ -107,6 +107,70 @@ def test_a_day_by_day_warehouse_equals_one_backfill(spark, tmp_path):
     assert sorted((tuple(r) for r in full.collect()), key=str) == daily.mart()
 
 
+def _day(n):
+    return DAY + timedelta(days=n)
+
+
+def _resume(place, days=7, **options):
+    return jobs.resume_backfill(place.spark, place.landing, place.root, DAY.date(), _day(days - 1).date(), retention_days=None, **options)
+
+
+def _steps(place):
+    return sorted((r["window_date"], r["step"]) for r in place.warehouse.backfill_steps().collect())
+
+
+def test_a_broken_backfill_goes_on_where_it_broke(place, spark, tmp_path, monkeypatch):
+    triples = [(_day(d), 1, page([record(10 * d + i, day=_day(d), ns=i) for i in range(3)] + [{"rcid": f"x{d}"}])) for d in range(7)]
+    place.land(*triples)
+    whole = Place(spark, str(tmp_path / "whole"))
+    whole.land(*triples)
+    jobs.backfill(spark, whole.landing, whole.root, DAY.date(), _day(6).date(), retention_days=None)
+    asked, inner = [], jobs.load_pages
+
+    def load(warehouse, lines, *args, **options):
+        asked.append(sorted(r["window_date"] for r in lines.select("window_date").distinct().collect()))
+        if _day(3).date() in asked[-1] and len(asked) == 4:
+            raise OSError("lost")
+        return inner(warehouse, lines, *args, **options)
+
+    monkeypatch.setattr(jobs, "load_pages", load)
+    with pytest.raises(OSError):
+        _resume(place, pass_days=1)
+    assert _steps(place) == sorted((_day(d).date(), s) for d in range(3) for s in ("load", "refresh", "check"))
+    asked.clear()
+    _resume(place, pass_days=2)
+    assert asked == [[_day(3).date(), _day(4).date()], [_day(5).date(), _day(6).date()]]
+    assert place.mart() == whole.mart() and place.keys() == whole.keys()
+    asked.clear()
+    assert _resume(place).first()["total_changes"] == 21 and not asked
+    assert len(_steps(place)) == 21
+
+
+def test_a_date_with_new_files_is_open_again_and_a_missing_step_alone_is_done(place, monkeypatch):
+    place.land(*[(_day(d), 1, page([record(d + 1, day=_day(d))], {"c": 1} if d == 1 else None)) for d in range(3)])
+    with pytest.raises(jobs.SourceError, match="incomplete_window"):
+        _resume(place, 3, pass_days=1)
+    assert {d for d, _ in _steps(place)} == {DAY.date()}
+    place.land((_day(1), 2, page([record(50, day=_day(1))])))
+    monkeypatch.setattr(jobs, "refresh", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        _resume(place, 3)
+    assert [s for d, s in _steps(place) if d != DAY.date()] == ["load", "load"]
+    monkeypatch.undo()
+    monkeypatch.setattr(jobs, "load_pages", lambda *a, **o: pytest.fail("loaded again"))
+    assert _resume(place, 3).first()["total_changes"] == 4
+    assert len(_steps(place)) == 9
+
+
+def test_a_resumed_backfill_of_dates_that_never_landed_fails(place):
+    place.land((DAY, 1, page([record(1)])))
+    with pytest.raises(jobs.SourceError, match="missing_window"):
+        _resume(place, 2, pass_days=1)
+    assert place.keys() == [1] and {d for d, _ in _steps(place)} == {DAY.date()}
+    plan = plan_of(landing.landed_files(place.spark, place.landing, [DAY.date()]))
+    assert "ReadSchema: struct<path:string,modificationTime:timestamp,length:bigint>" in plan, plan
+
+
 def test_good_pages_before_an_error_page_stay(place):
     place.land(
         (DAY, 1, page([record(1)], {"c": 1})),
