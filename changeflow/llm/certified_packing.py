@@ -7,7 +7,10 @@ bins. In the others the bins that are not full are taken apart, as is the emptie
 rounding up leaves open in each group may add up to whole bins); their remainders are dealt anew over fewer groups, so
 that documents change places between groups, and packed again, until one group holds them all or a round gains nothing,
 in which case its bins stay as they were. Where no bin at all may stay, groups are merged, two into one; only then do they
-grow beyond their size. No remainder is ever cut further.
+grow beyond their size, up to ``MOST_ITEMS``. No remainder is ever cut further.
+
+The same bound over the lengths of all remainders, of which there are fewer than a sequence has tokens, certifies the
+whole: once all bins together are no more than it, no exchange can gain one, and it ends.
 """
 
 import json
@@ -33,6 +36,8 @@ from .common import arrow, ship, stored
 CAPACITY = 1024
 END_ID = 2
 GROUP_ITEMS = 20_000
+#: What merging groups may bring one to. Beyond it, remainders only change places by being dealt anew.
+MOST_ITEMS = 640_000
 #: A stretch without a break of this many characters is left to the tokenizers library.
 LONG_STRETCH = 2_000
 
@@ -160,7 +165,11 @@ def lower_bound(lengths: np.ndarray, capacity: int = CAPACITY) -> int:
     lengths themselves; rounding to multiples of 1/(k+1) of a bin; and dropping lengths of at most t while lengths above
     capacity - t count as whole bins. A sum is worked out once per different length.
     """
-    counts = Counter(lengths.tolist())
+    return bound_of_counts(Counter(lengths.tolist()), capacity)
+
+
+def bound_of_counts(counts: dict[int, int], capacity: int = CAPACITY) -> int:
+    """``lower_bound`` of lengths given as how often each occurs."""
     if not counts:
         return 0
     x = np.array(sorted(counts), dtype=np.int64)
@@ -197,7 +206,8 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group_items: int = GROUP_I
     """``pieces`` with ``sequence_id`` and ``offset``, and the certificates: a row per round and group.
 
     ``pieces`` needs ``length`` (1 to ``capacity``) and must be stored, for it is read more than once; rows may repeat.
-    ``rounds``, if given, ends the exchange early. A certificate tells a group's bins, its bound, and how many of its bins stayed (``kept``) rather than being taken apart.
+    ``rounds``, if given, ends the exchange early. A certificate tells a group's bins, its bound, and how many of its bins stayed (``kept``) rather than being taken apart;
+    ``total_bound`` is the bound of all remainders together, so the bins that stayed in all rounds cannot be fewer.
     """
     payload = pieces.columns
     inner = [f"c{n}" for n in range(len(payload))]
@@ -207,7 +217,9 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group_items: int = GROUP_I
     left_over = stored(small.select(*inner, length.cast("long").alias("length"), F.monotonically_increasing_id().alias("uid")), "remainders")
     items = left_over.columns
     done, certificates = [], []
-    left, taken, apart = left_over.count(), None, 0
+    counts = {r["length"]: r["count"] for r in left_over.groupBy("length").count().collect()}  # fewer than ``capacity``
+    total = bound_of_counts(counts, capacity)
+    left, taken, apart, stayed = sum(counts.values()), None, 0, 0
     for turn in count():
         groups = max(1, -(-left // group_items))
         packed = stored(_pack_groups(left_over, groups, turn, capacity), "packed").withColumn("round", F.lit(turn))
@@ -220,19 +232,20 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group_items: int = GROUP_I
             done.append(taken)
             break
         before, left = left, bins["items"] or 0
-        last = groups == 1 or turn + 1 == rounds or left == 0
+        last = groups == 1 or turn + 1 == rounds or left == 0 or stayed + bins["all"] <= total
         keep = F.lit(True) if last else ~loose
         certificates.append(
             packed.groupBy("round", "grp").agg(
-                F.max("bins").alias("bins"), F.max("bound").alias("bound"), F.countDistinct(F.when(keep, F.col("bin"))).alias("kept")
+                F.max("bins").alias("bins"), F.max("bound").alias("bound"), F.countDistinct(F.when(keep, F.col("bin"))).alias("kept"), F.lit(total).cast("long").alias("total_bound")
             )
         )
         done.append(packed.filter(keep))
         if last:
             break
         if left == before:
-            group_items *= 2
-        taken, apart = packed.filter(loose), bins["loose"]
+            group_items = max(group_items, min(2 * group_items, MOST_ITEMS))
+        taken, apart = packed.filter(loose), bins["loose"] or 0
+        stayed += bins["all"] - apart
         left_over = taken.select(items)
     full = pieces.filter(F.col("length") == capacity)
     # full pieces take even numbers, bins of remainders odd ones: round, group and bin in separate bits

@@ -155,3 +155,32 @@ def test_exchange_goes_on_while_rounds_gain(spark):
     four = cp.pack(df, group_items=6, rounds=4)[0].select("sequence_id").distinct().count()
     assert packed.select("sequence_id").distinct().count() < four
     assert packed.count() == len(lengths) and packed.groupBy("sequence_id").agg(F.sum("length").alias("n")).filter("n > 1024").count() == 0
+
+
+def test_the_exchange_ends_once_the_whole_is_certified(spark):
+    lengths = [600, 424] * 60 + [1000] * 5
+    df = spark.createDataFrame(list(enumerate(lengths)), "doc_id long, length long").coalesce(1)
+    packed, certificates = cp.pack(df, group_items=125)
+    assert packed.select("sequence_id").distinct().count() == 65
+    rows = certificates.collect()
+    assert {r["total_bound"] for r in rows} == {65} and {r["round"] for r in rows} == {0}
+    # many groups, each with its own bound
+    df = spark.createDataFrame([(i, 600) for i in range(90)], "doc_id long, length long").coalesce(1)
+    packed, certificates = cp.pack(df, group_items=10)
+    rows = certificates.collect()
+    assert len(rows) > 1 and sum(r["kept"] for r in rows) == rows[0]["total_bound"] == 90
+    assert packed.select("sequence_id").distinct().count() == 90
+
+
+def test_merged_groups_stay_within_their_limit(spark, monkeypatch):
+    rng = random.Random(3)
+    lengths = [2 * rng.randint(90, 260) for _ in range(200)]
+    df = spark.createDataFrame(list(enumerate(lengths)), "doc_id long, length long").coalesce(1)
+    monkeypatch.setattr(cp, "MOST_ITEMS", 40)
+    sizes, inner = [], cp._pack_groups
+    monkeypatch.setattr(cp, "_pack_groups", lambda items, groups, salt, capacity: sizes.append(items.count() / groups) or inner(items, groups, salt, capacity))
+    packed, certificates = cp.pack(df, 1025, group_items=30)
+    assert len(sizes) > 1 and max(sizes) <= 40
+    assert packed.select("sequence_id").distinct().count() >= certificates.first()["total_bound"]
+    assert sorted(r["doc_id"] for r in packed.collect()) == list(range(200))
+    assert packed.groupBy("sequence_id").agg(F.sum("length").alias("n")).filter("n > 1025").count() == 0
