@@ -106,3 +106,33 @@ def test_a_load_without_a_filter_is_read_whole(place, spark):
 
     older, keys = Older(spark, place.root), spark.createDataFrame([(105,)], "_key long")
     assert jobs.days_with_keys(older, keys, older.loads(), days) == [DAY.date()]
+
+
+def test_a_day_hit_by_its_own_keys_is_not_asked_again(place, spark, monkeypatch):
+    land_days(place, 3)
+    days, asked_days, ask = [(DAY + timedelta(days=n)).date() for n in range(3)], [], jobs.possible_days
+
+    def noting(keys, filters, *more):
+        asked_days.append((keys.count(), {r["event_date"] for r in filters.select("event_date").distinct().collect()}))
+        return ask(keys, filters, *more)
+
+    monkeypatch.setattr(jobs, "possible_days", noting)
+    rows = [(10, days[0]), (11, days[1]), (42, days[0])]
+    keys = spark.createDataFrame(rows, "_key long, event_date date")
+    assert jobs.days_with_keys(place.warehouse, keys, place.warehouse.loads(), days) == days
+    assert asked_days == [(3, {days[2]})]
+
+
+def test_some_of_many_keys_ask_before_all_do(place, spark, monkeypatch):
+    land_days(place, 2)
+    days, counts, ask = [(DAY + timedelta(days=n)).date() for n in range(2)], [], jobs.possible_days
+
+    def noting(keys, *more):
+        counts.append(keys.count())
+        return ask(keys, *more)
+
+    monkeypatch.setattr(jobs, "possible_days", noting)
+    monkeypatch.setattr(jobs, "SOME_KEYS", 100)
+    keys = spark.range(10_000).select((F.col("id") * 10 + 1).alias("_key"))
+    assert jobs.days_with_keys(place.warehouse, keys, place.warehouse.loads(), days, 10_000) == [days[1]]
+    assert 20 < counts[0] < 500 and counts[-1] == 10_000
