@@ -17,7 +17,7 @@ from changeflow.session import materialize, shared_dir
 from changeflow.sources import fixture, landing
 from changeflow.sources.tables import Warehouse
 
-from .helpers import DAY, page, pages_frame, plan_of, record
+from .helpers import DAY, optimized, page, pages_frame, plan_of, record
 
 NEXT = DAY + timedelta(days=1)
 
@@ -411,6 +411,24 @@ def test_the_fixture_splits_into_bounded_pages(spark, sf_dir):
     assert sizes[0] <= fixture.PAGE_SIZE and sizes[1] == 1100
 
 
+def test_the_feed_moves_events_and_not_their_texts(spark, sf_dir):
+    plan = plan_of(fixture.deliveries(spark, sf_dir))
+    assert "concat_ws" in plan and "concat_ws" not in plan[plan.index("Exchange") :]
+
+
+def test_an_error_is_fingerprinted_once(place, monkeypatch):
+    plans, insert = {}, jobs.insert_if_absent
+
+    def noting(incoming, existing, key, order):
+        plans[key] = optimized(incoming)
+        return insert(incoming, existing, key, order)
+
+    monkeypatch.setattr(jobs, "insert_if_absent", noting)
+    place.land((DAY, 1, page([record(1), record("x"), record("x"), record("y")])))
+    assert place.counters(place.run())["quarantined"] == 2
+    assert "Project" not in plans["_error_fingerprint"] and "Filter" not in plans["_error_fingerprint"]
+
+
 @pytest.mark.parametrize("scale", ["sf0.01", "sf0.1"])
 def test_the_undisturbed_feed_has_no_gap_at_any_scale(spark, scale):
     feed = fixture.deliveries(spark, f"/root/testdata/{scale}")
