@@ -17,7 +17,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from struct import pack
+from struct import Struct, pack
 
 import numpy as np
 import pyarrow as pa
@@ -41,9 +41,11 @@ SLICE_CHARACTERS = 1 << 20
 #: letters of Latin-1 (fixed values).
 _PLAIN = re.compile("[\t-\r -~À-ÖØ-öø-ÿ]*")
 #: How the vocabulary's file divides text into words (fixed value), for plain characters.
-_WORDS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\\sa-z0-9ß-öø-ÿ]+")
+_WORDS = re.compile("[a-zß-öø-ÿ]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^\t-\r a-z0-9ß-öø-ÿ]+")
 #: Python takes these as blanks, the library does not.
 _NO_BLANKS = re.compile("[\x1c-\x1f]")
+#: How few ids are packed; the formats are parsed once.
+_PACKED = [Struct(f"<{n}I").pack for n in range(33)]
 
 
 def _byte_letters() -> dict[int, str]:
@@ -54,37 +56,46 @@ def _byte_letters() -> dict[int, str]:
     return {c: "".join(letter[b] for b in chr(c).encode()) for c in range(0x80, 0x100)}
 
 
+class _Remembered(dict):
+    """Ids by word; what is not there yet is asked of ``make``, which may put it in."""
+
+    def __init__(self, make):
+        self.make = make
+
+    def __missing__(self, word: str) -> bytes:
+        return self.make(word)
+
+
 class WordEncoder:
     """Ids of whole texts, as little-endian unsigned 32-bit integers."""
 
     def __init__(self, path: str, remembered: int = REMEMBERED):
         self.library = Tokenizer.from_file(path)
+        self.model = self.library.model
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.letters = _byte_letters()
         self.remembered = remembered
         # the chunks and words of now, and those of the generation before
         self.chunks: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = _Remembered(self._word)
         self.old_chunks: dict[str, bytes] = {}
         self.old_words: dict[str, bytes] = {}
 
     def _word(self, word: str) -> bytes:
-        found = self.words.get(word)
+        """A word that is not among those of now."""
+        found = self.old_words.get(word)
         if found is None:
-            found = self.old_words.get(word)
-            if found is None:
-                tokens = self.library.model.tokenize(word if word.isascii() else word.translate(self.letters))
-                found = pack(f"<{len(tokens)}I", *[t.id for t in tokens])
-            if len(word) <= LONGEST_REMEMBERED:
-                self.words[word] = found
+            tokens = self.model.tokenize(word if word.isascii() else word.translate(self.letters))
+            found = _PACKED[len(tokens)](*[t.id for t in tokens]) if len(tokens) < len(_PACKED) else pack(f"<{len(tokens)}I", *[t.id for t in tokens])
+        if len(word) <= LONGEST_REMEMBERED:
+            self.words[word] = found
         return found
 
     def _is_plain(self, text: str) -> bool:
         return _PLAIN.fullmatch(text) is not None and not any(s in text for s in self.special)
 
     def _plain(self, text: str) -> bytes:
-        known = self.words
-        return b"".join([known[w] if w in known else self._word(w) for w in _WORDS.findall(text.lower())])
+        return b"".join(map(self.words.__getitem__, _WORDS.findall(text.lower())))
 
     def _chunk(self, chunk: str) -> bytes:
         found = self.old_chunks.get(chunk)
@@ -98,7 +109,7 @@ class WordEncoder:
 
     def encode(self, text: str) -> bytes:
         if len(self.words) > self.remembered:
-            self.words, self.old_words = {}, self.words
+            self.words, self.old_words = _Remembered(self._word), self.words
         if self._is_plain(text):
             return self._plain(text)
         if _NO_BLANKS.search(text):
@@ -144,7 +155,7 @@ def encoded(docs: DataFrame, tokenizer: str, id_column: str = "doc_id", text: st
                 counts = np.array([len(m) // 4 for m in made], dtype=np.int64)
                 ends = np.cumsum(counts)
                 ids = pa.ListArray.from_arrays(
-                    pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(np.frombuffer(b"".join(made), dtype="<u4").astype(np.int32))
+                    pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(np.frombuffer(b"".join(made), dtype="<i4"))
                 )
                 columns = [batch.column(0).slice(first, len(made)), np.full(len(made), part, dtype=np.int32), start + ends - counts, counts, ids]
                 yield pa.RecordBatch.from_arrays([pa.array(c) if isinstance(c, np.ndarray) else c for c in columns], names=["doc_id", "part", "part_start", "n_tokens", "ids"])
@@ -218,7 +229,7 @@ def with_crc(rows: DataFrame, ids: str = "ids", to: str = "ids_crc32") -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column(batch.schema.get_field_index(ids))
-            values = memoryview(np.ascontiguousarray(lists.values.to_numpy(zero_copy_only=False), dtype="<u4")).cast("B")
+            values = memoryview(np.ascontiguousarray(lists.values.to_numpy(zero_copy_only=False), dtype="<i4")).cast("B")
             ends = lists.offsets.to_numpy()
             sums = [zlib.crc32(values[4 * a : 4 * b]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
             columns = [batch.column(batch.schema.get_field_index(c)) for c in kept]

@@ -62,6 +62,15 @@ def test_every_character_of_the_lower_planes(library):
             assert np.frombuffer(encoder.encode(text), dtype="<u4").tolist() == ids_of(library, text), hex(c)
 
 
+def test_a_word_not_seen_yet_is_made_when_it_is_looked_up(library):
+    encoder, long = ts.WordEncoder(PATH, remembered=3), "ab" * 60
+    for word in ("hello", "été", long):
+        assert np.frombuffer(encoder.words[word], dtype="<u4").tolist() == ids_of(library, word)
+    assert set(encoder.words) == {"hello", "été"}
+    for text in ("one two three four", "five", "hello one"):
+        assert np.frombuffer(encoder.encode(text), dtype="<u4").tolist() == ids_of(library, text)
+
+
 def test_round_trip_says_what_a_plain_version_says(spark, library):
     rows = corpus() + [(None, "no id")]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
