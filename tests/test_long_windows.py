@@ -10,11 +10,11 @@ from check_oracles import compare
 
 @pytest.fixture(scope="module")
 def long_dir(spark, tmp_path_factory):
-    """Two windows eleven days apart: ids a page's length apart make one page per event, as pages are cut by id."""
+    """A long window and eleven short ones: ids a page's length apart make one page per event, as pages are cut by id."""
     path = str(tmp_path_factory.mktemp("long"))
     spark.range(MAX_PAGES + 300).selectExpr(
         "id * 500 + 1 as event_id",
-        "to_timestamp_ntz('2024-01-01 00:00:00') + make_dt_interval(if(id < 5200, 0, 11), 0, 0, id * 10) as ts",
+        "to_timestamp_ntz('2024-01-01 00:00:00') + make_dt_interval(if(id < 5200, 0, id % 11 + 1), 0, 0, id * 10) as ts",
         "id % 50 as user_id",
         "element_at(array('click', 'view', 'signup', 'purchase', 'error'), int(id % 5) + 1) as event_type",
         "double(id % 90) as value",
@@ -31,7 +31,7 @@ def events_db(long_dir):
     return db
 
 
-@pytest.mark.parametrize("name", ["daily_run_report", "daily_run_stats"])
+@pytest.mark.parametrize("name", ["daily_run_report", "daily_run_stats", "backfill_resumed"])
 def test_windows_of_very_many_pages_are_loaded_whole(spark, events_db, long_dir, name):
     good, note = compare(spark, events_db, name, long_dir)
     assert good, note
