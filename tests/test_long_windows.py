@@ -31,7 +31,7 @@ def events_db(long_dir):
     return db
 
 
-@pytest.mark.parametrize("name", ["daily_run_report", "daily_run_stats", "backfill_resumed"])
+@pytest.mark.parametrize("name", ["daily_run_report", "daily_run_stats", "backfill_resumed", "backfill_run"])
 def test_windows_of_very_many_pages_are_loaded_whole(spark, events_db, long_dir, name):
     good, note = compare(spark, events_db, name, long_dir)
     assert good, note
